@@ -5,6 +5,6 @@ the driver except the one-row-per-cluster and per-model facts that ``pyspark.ml`
 itself keeps there.
 """
 
-from basketry.session import build_session, configure, work_dir
+from basketry.session import build_session, configure, materialise, work_dir
 
-__all__ = ["build_session", "configure", "work_dir"]
+__all__ = ["build_session", "configure", "materialise", "work_dir"]

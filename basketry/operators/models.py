@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
@@ -25,7 +27,7 @@ from basketry.operators.segmentation import (
     standardise,
 )
 from basketry.params import ModelParams, SegmentParams, VipParams
-from basketry.session import work_dir
+from basketry.session import materialise, work_dir
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -220,9 +222,10 @@ def linear_shap(
     names = list(coefficients)
     mean = df.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
     parts = [
-        F.avg(F.abs(F.lit(w) * (F.col(c) - mean[c]))).alias(c) for c, w in coefficients.items()
+        F.avg(F.abs(F.lit(w) * (F.col(c) - F.col(f"_mean.{c}")))).alias(c)
+        for c, w in coefficients.items()
     ]
-    return df.agg(*parts).unpivot([], names, "feature", "mean_abs_shap")
+    return df.withColumn("_mean", mean).agg(*parts).unpivot([], names, "feature", "mean_abs_shap")
 
 
 # --- K-Means --------------------------------------------------------------------
@@ -240,13 +243,29 @@ def _kmeans(k: int, seed: int) -> KMeans:
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
 
 
+def _fit_all(vectors: DataFrame, settings: Sequence[tuple[int, int]], judge, threads: int = 4) -> list:
+    """``judge(k, model)`` for every (k, seed), a few fits at a time over one cached table."""
+    estimator = _kmeans(2, 0)
+    maps = [{estimator.k: k, estimator.seed: seed} for k, seed in settings]
+    fits = estimator.fitMultiple(vectors, maps)
+
+    def one(_):
+        i, model = next(fits)
+        return i, judge(settings[i][0], model)
+
+    with ThreadPool(min(threads, len(maps))) as pool:
+        done = pool.map(inheritable_thread_target(vectors.sparkSession)(one), maps)
+    return [result for _, result in sorted(done, key=lambda pair: pair[0])]
+
+
 def elbow_scan(matrix: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
-    """Inertia and silhouette per number of clusters."""
+    """Inertia and silhouette per number of clusters, over all rows."""
     vectors = _vectors(matrix, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for k in ks:
-        model = _kmeans(k, seed).fit(vectors)
-        rows.append((k, float(model.summary.trainingCost), float(_silhouette(model.transform(vectors)))))
+
+    def judge(k, model):
+        return k, float(model.summary.trainingCost), float(_silhouette(model.transform(vectors)))
+
+    rows = _fit_all(vectors, [(k, seed) for k in ks], judge)
     vectors.unpersist()
     return matrix.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -261,21 +280,29 @@ def choose_k(matrix: DataFrame, columns: Sequence[str], params: SegmentParams) -
 
 
 def kmeans_segments(features: DataFrame, params: SegmentParams = SegmentParams()) -> DataFrame:
-    """Cluster clients on their scaled features and name the clusters."""
+    """Cluster clients on their scaled features and name the clusters.
+
+    The features are stored first: scaling reads them several times, and K-Means
+    iterates over what follows.
+    """
     columns = [c + "_z" for c in params.features]
-    matrix = prepare_cluster_matrix(features, params.features).persist(StorageLevel.MEMORY_AND_DISK)
+    matrix = prepare_cluster_matrix(materialise(features, "segment-features"), params.features)
     k = params.n_clusters or choose_k(matrix, columns, params)
     vectors = _vectors(matrix, columns)
-    clustered = _kmeans(k, params.seed).fit(vectors).transform(vectors)
+    training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    clustered = _kmeans(k, params.seed).fit(training).transform(vectors)
+    training.unpersist()
     return label_segments_5(clustered.drop("features", *columns))
 
 
 def kmeans_vip(features: DataFrame, params: VipParams = VipParams()) -> DataFrame:
     """Cluster VIP clients, best of several seeds by cost, and name the clusters."""
     columns = [c + "_z" for c in VIP_FEATURES]
-    vectors = _vectors(standardise(features, VIP_FEATURES, "_z"), columns)
-    vectors = vectors.drop(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = [_kmeans(params.n_clusters, params.seed + i).fit(vectors) for i in range(params.restarts)]
-    best = min(fits, key=lambda m: m.summary.trainingCost)
+    vectors = _vectors(standardise(materialise(features, "vip-features"), VIP_FEATURES, "_z"), columns)
+    training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    seeds = [(params.n_clusters, params.seed + i) for i in range(params.restarts)]
+    fits = _fit_all(training, seeds, lambda _, model: (model.summary.trainingCost, model))
+    training.unpersist()
+    best = min(fits, key=lambda fit: fit[0])[1]
     clustered = best.transform(vectors).withColumnRenamed("cluster", "cluster_id")
-    return label_segments_vip(clustered.drop("features"))
+    return label_segments_vip(clustered.drop("features", *columns))

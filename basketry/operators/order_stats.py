@@ -20,7 +20,7 @@ LOG_BUCKETS = 2048
 
 # A key is hot when it holds more distinct values than one aggregation buffer should.
 HOT_VALUES = 1_000_000
-# Upper bound on the number of hot keys, hence on the side that is broadcast.
+# Most hot keys there can be, hence the size of the side that is broadcast.
 MAX_HOT_KEYS = 100_000
 
 # Pieces per level when an order range is cut for running totals.
@@ -109,16 +109,16 @@ def percentiles_by_key(
 ) -> DataFrame:
     """Exact percentiles of many groups of which some may be huge.
 
-    Groups up to ``hot_values`` distinct values use one built-in aggregation. The hot
-    ones, at most ``MAX_HOT_KEYS`` because the limit rises with the table, go through
-    the histogram of :func:`few_group_percentiles`.
+    Groups up to ``hot_values`` distinct values use one built-in aggregation. The
+    largest ones above that, ``MAX_HOT_KEYS`` at most, go through the histogram of
+    :func:`few_group_percentiles`; no other group can then hold more than one in
+    ``MAX_HOT_KEYS`` of all values.
     """
     keys = list(keys)
     counts = value_counts(df, keys, value)
     sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-    total = sizes.agg(F.sum("_d")).scalar()
-    limit = F.greatest(F.lit(float(hot_values)), total / F.lit(float(MAX_HOT_KEYS)))
-    hot = F.broadcast(sizes.where(F.col("_d") > limit).select(*keys))
+    largest = sizes.where(F.col("_d") > hot_values).orderBy(F.desc("_d"), *keys).limit(MAX_HOT_KEYS)
+    hot = F.broadcast(largest.select(*keys))
     usual = (
         counts.join(hot, keys, "left_anti")
         .groupBy(*keys)

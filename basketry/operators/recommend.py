@@ -13,6 +13,7 @@ from basketry.operators.clean import exclude_products, normalise_tx
 from basketry.operators.item_item import item_cosine, recommend_items, user_item_counts
 from basketry.operators.order_stats import few_group_percentiles
 from basketry.params import RecommendParams
+from basketry.session import materialise
 
 
 def filter_calendar_months(df: DataFrame, months: int, date_col: str = "date") -> DataFrame:
@@ -23,25 +24,31 @@ def filter_calendar_months(df: DataFrame, months: int, date_col: str = "date") -
 # --- product popularity -------------------------------------------------------
 
 
-def frequent_descriptions(tx: DataFrame, catalog: DataFrame, params: RecommendParams) -> DataFrame:
-    """Descriptions whose row count reaches the quantile of all descriptions' counts.
+def product_totals(tx: DataFrame) -> DataFrame:
+    """Rows and latest date per product: what the popularity rules need of the lines."""
+    return tx.groupBy("product").agg(F.count(F.lit(1)).alias("_rows"), F.max("date").alias("_last"))
 
-    Rows are counted per product before the catalogue is joined, so the join sees one
-    row per product however hot a product is.
+
+def frequent_products(
+    totals: DataFrame, catalog: DataFrame, params: RecommendParams = RecommendParams()
+) -> DataFrame:
+    """Catalogue products whose description is among the most frequent ones.
+
+    A description counts when its rows reach the quantile over all descriptions. The
+    catalogue meets one row per product, however hot a product is.
     """
-    per_product = tx.groupBy("product").agg(F.count(F.lit(1)).alias("_rows"))
-    named = exclude_products(per_product.join(catalog, "product"), params.excluded)
+    named = exclude_products(totals.join(catalog, "product"), params.excluded)
     freq = named.groupBy("description").agg(F.sum("_rows").alias("freq"))
     limit = few_group_percentiles(freq, "freq", {"_q": params.top_quantile}).scalar()
-    return freq.where(F.col("freq") >= limit)
+    top = freq.where(F.col("freq") >= limit).select("description")
+    return catalog.join(top, "description", "left_semi").select("product").distinct()
 
 
 def product_freq_p90(
     tx: DataFrame, catalog: DataFrame, params: RecommendParams = RecommendParams()
 ) -> DataFrame:
     """All product ids whose description is among the most frequent ones."""
-    top = frequent_descriptions(tx, catalog, params)
-    return catalog.join(top.select("description"), "description", "left_semi").select("product").distinct()
+    return frequent_products(product_totals(tx), catalog, params)
 
 
 def product_freq_p90_by_id(tx: DataFrame, quantile: float = 0.90) -> DataFrame:
@@ -65,9 +72,9 @@ def join_top_pairs(tx: DataFrame, top: DataFrame) -> DataFrame:
 
 def map_names(df: DataFrame, catalog: DataFrame, product_col: str, name_col: str) -> DataFrame:
     """Add the product's description, or its id where the catalogue has none."""
-    names = catalog.select(F.col("product").alias(product_col), F.col("description").alias("_name"))
+    names = catalog.select(F.col("product").alias(product_col), F.col("description").alias("_catalog_name"))
     named = df.join(names, product_col, "left")
-    return named.withColumn(name_col, F.coalesce("_name", product_col)).drop("_name")
+    return named.withColumn(name_col, F.coalesce("_catalog_name", product_col)).drop("_catalog_name")
 
 
 def ordered_list(rank: str, value: str) -> Column:
@@ -79,17 +86,43 @@ def ordered_list(rank: str, value: str) -> Column:
 # --- recommenders -------------------------------------------------------------
 
 
+def global_counts(
+    product_day: DataFrame, catalog: DataFrame, params: RecommendParams = RecommendParams()
+) -> DataFrame:
+    """Client-product counts of the frequent products in the last months."""
+    tx = normalise_tx(product_day)
+    totals = product_totals(tx)
+    ids = frequent_products(totals, catalog, params)
+    # Stored: two later steps read it, and it is a tenth of the catalogue at most.
+    frequent = materialise(totals.join(ids, "product", "left_semi").select("product", "_last"), "products")
+    cutoff = calendar_cutoff(frequent, params.months, "_last")
+    recent = tx.where(F.col("date") >= cutoff)
+    return user_item_counts(recent.join(frequent, "product", "left_semi"))
+
+
 def recs_global(
     product_day: DataFrame, catalog: DataFrame, params: RecommendParams = RecommendParams()
 ) -> DataFrame:
     """Item-to-item recommendations over the most frequent products."""
-    tx = normalise_tx(product_day)
-    ids = product_freq_p90(tx, catalog, params)
-    frequent = tx.join(ids, "product", "left_semi")
-    counts = user_item_counts(filter_calendar_months(frequent, params.months))
+    counts = materialise(global_counts(product_day, catalog, params), "user-item")
     return recommend_items(counts, item_cosine(counts), params.n_recs, params.score_decimals)
 
 
+def client_top_counts(product_day: DataFrame, params: RecommendParams = RecommendParams()) -> DataFrame:
+    """Counts of each client's top products in the last months.
+
+    Products are chosen by all their rows and counted by their distinct ones, both
+    from one aggregation.
+    """
+    tx = filter_calendar_months(normalise_tx(product_day), params.months)
+    pairs = tx.groupBy("client", "product").agg(
+        F.count(F.lit(1)).alias("_rows"), F.countDistinct(F.struct(*tx.columns)).alias("cnt")
+    )
+    order = W.partitionBy("client").orderBy(F.desc("_rows"), F.asc("product"))
+    ranked = pairs.withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= params.products_per_client).select("client", "product", "cnt")
+
+
 def recs_by_client(
     product_day: DataFrame, catalog: DataFrame, params: RecommendParams = RecommendParams()
 ) -> DataFrame:
@@ -97,8 +130,7 @@ def recs_by_client(
 
     A client keeps at most ``products_per_client`` products, which bounds its pairs.
     """
-    tx = filter_calendar_months(normalise_tx(product_day), params.months)
-    counts = user_item_counts(join_top_pairs(tx, topn_per_client(tx, params.products_per_client)))
+    counts = materialise(client_top_counts(product_day, params), "user-item")
     recs = recommend_items(counts, item_cosine(counts), params.n_recs, params.score_decimals)
     named = map_names(recs, catalog, "recommended_product", "_name")
     lists = named.groupBy("client").agg(

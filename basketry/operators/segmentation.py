@@ -196,22 +196,32 @@ def impute_and_log(features: DataFrame, columns, suffix: str = "") -> DataFrame:
     median = medians.agg(
         F.struct(*[F.max(F.when(F.col("_feature") == c, F.col("_median"))).alias(c) for c in columns])
     ).scalar()
-    filled = {c: F.coalesce(F.col(c).cast("double"), median[c]) for c in columns}
-    return features.withColumns(
-        {c + suffix: log_amount(v) if c in LOG_FEATURES else v for c, v in filled.items()}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median.{c}")) for c in columns}
+    return (
+        features.withColumn("_median", median)
+        .withColumns({c + suffix: log_amount(v) if c in LOG_FEATURES else v for c, v in filled.items()})
+        .drop("_median")
     )
 
 
 def standardise(df: DataFrame, columns, with_suffix: str = "") -> DataFrame:
     """Centre and scale by the population deviation; a constant column becomes zero."""
-    mean = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    deviation = df.agg(F.struct(*[F.stddev_pop(c).alias(c) for c in columns])).scalar()
-    return df.withColumns(
-        {
-            c + with_suffix: (F.col(c) - mean[c])
-            / F.when(deviation[c] > 0, deviation[c]).otherwise(F.lit(1.0))
-            for c in columns
-        }
+    stats = df.agg(
+        F.struct(
+            *[F.avg(c).alias(f"mean_{c}") for c in columns],
+            *[F.stddev_pop(c).alias(f"dev_{c}") for c in columns],
+        )
+    ).scalar()
+
+    def scaled(c: str) -> Column:
+        deviation = F.col(f"_stats.dev_{c}")
+        centred = F.col(c) - F.col(f"_stats.mean_{c}")
+        return F.when(deviation > 0, centred / deviation).otherwise(centred)
+
+    return (
+        df.withColumn("_stats", stats)
+        .withColumns({c + with_suffix: scaled(c) for c in columns})
+        .drop("_stats")
     )
 
 

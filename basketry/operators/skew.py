@@ -13,18 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 100_000
-# The row limit rises with the table, so no more keys than this are ever hot.
+# Most keys that are ever salted, hence the size of the broadcast side. Any other key
+# holds less than one in this many of all rows.
 MAX_HOT_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Keys with more rows than one task should take, with their number of salts."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = sizes.agg(F.sum("_rows")).scalar()
-    limit = F.greatest(F.lit(float(rows_per_salt)), total / F.lit(float(MAX_HOT_KEYS)))
-    return sizes.where(F.col("_rows") > limit).select(
-        key, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts")
-    )
+    largest = sizes.where(F.col("_rows") > rows_per_salt).orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
+    return largest.select(key, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
 
 
 def spread(df: DataFrame, hot: DataFrame, key: str, by: Sequence[str]) -> DataFrame:

@@ -286,11 +286,10 @@ def job_segment_recs(
     Without any such client an empty table of the right shape is written.
     """
     recent = filter_recent_clients(normalise_sales(validate_client_ids(sales)), params.recent_months)
-    features = segmentation_features(recent)
-    if features.isEmpty():
+    if recent.isEmpty():
         sink_parquet(empty_table(spark, schemas.CLUSTER_RECS), recs_path)
         return
-    sink_parquet(models.kmeans_segments(features, params), assignments_path)
+    sink_parquet(models.kmeans_segments(segmentation_features(recent), params), assignments_path)
     assignments = scan_parquet(spark, assignments_path)
     sink_parquet(recs_by_cluster(recent, assignments, catalog, excluded), recs_path)
 

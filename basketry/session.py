@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results or the skew handling rely on. All are runtime settings, so
 # they can be applied to a session somebody else built.
@@ -50,3 +50,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="basketry-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage before iterative work: a lost executor costs a re-read, not the
+    whole chain of joins, and every later plan starts at a plain scan.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
