@@ -102,6 +102,14 @@ def id_rejection_reason(
     )
 
 
+def is_valid_id(
+    col: Column, min_length: int = MIN_ID_LENGTH, max_length: int = MAX_ID_LENGTH
+) -> Column:
+    """Whether a stripped id breaks no rule: one pattern and one set lookup per row."""
+    pattern = rf"^(?!(.)\1*$)[1-9][0-9]{{{min_length - 1},{max_length - 1}}}$"
+    return col.rlike(pattern) & ~col.isin(*GENERIC_IDS)
+
+
 def parse_literal_list(col: Column | str, element: T.StructType = DETAIL) -> Column:
     """Array of structs from the text of a Python list of dicts.
 

@@ -13,6 +13,7 @@ from basketry.functions.text import (
     MAX_ID_LENGTH,
     MIN_ID_LENGTH,
     id_rejection_reason,
+    is_valid_id,
     strip,
 )
 from basketry.schemas import SALES_VALUE, VIP_COLUMNS
@@ -35,7 +36,7 @@ def validate_client_ids(
     hottest keys in the sales.
     """
     clean = df.withColumn(id_col, strip(id_col))
-    return clean.where(id_rejection_reason(F.col(id_col), min_length, max_length).isNull())
+    return clean.where(is_valid_id(F.col(id_col), min_length, max_length))
 
 
 def id_rejection_report(

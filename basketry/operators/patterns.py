@@ -30,28 +30,45 @@ def gap_days(
     return days.withColumn("days_between", F.datediff(F.col(date_col), previous))
 
 
-def purchase_patterns(
+def client_regularity(
     df: DataFrame,
     client_col: str = "id_client",
     date_col: str = "date_sale",
     product_col: str = "product",
 ) -> DataFrame:
-    """Purchase days, median and sample deviation of the gaps, distinct products.
+    """Purchase patterns and the last purchase of every client, in one pass of the sales.
 
-    The gap statistics work on distinct days, so a client's group is bounded by the
-    length of the calendar however many lines the client has.
+    Each line leaves two marks, its day and its product; distinct marks are what every
+    measure counts. They are reduced where the lines are read, so a hot client shrinks
+    to its days and products before its rows come together.
     """
-    regularity = (
-        gap_days(df, client_col, date_col)
+    day = F.struct(F.col(date_col).alias("_day"), F.lit(None).cast("string").alias("_product"))
+    item = F.struct(F.lit(None).cast("date").alias("_day"), F.col(product_col).alias("_product"))
+    marks = df.select(client_col, F.explode(F.array(day, item)).alias("_m"))
+    marks = marks.select(client_col, "_m.*").distinct()
+    # Product marks have no day and sort first, so they take no part in the gaps.
+    previous = F.lag("_day").over(W.partitionBy(client_col).orderBy(F.asc_nulls_first("_day")))
+    return (
+        marks.withColumn("_gap", F.datediff("_day", previous))
         .groupBy(client_col)
         .agg(
-            F.count(F.lit(1)).alias("purchase_days"),
-            F.median("days_between").alias("median_days_between"),
-            F.stddev_samp("days_between").alias("std_days_between"),
+            F.count("_day").alias("purchase_days"),
+            F.median("_gap").alias("median_days_between"),
+            F.stddev_samp("_gap").alias("std_days_between"),
+            F.count("_product").alias("product_distinct"),
+            F.max("_day").alias("last_purchase"),
         )
     )
-    variety = df.groupBy(client_col).agg(F.countDistinct(product_col).alias("product_distinct"))
-    return regularity.join(variety, client_col, "left")
+
+
+def purchase_patterns(
+    df: DataFrame,
+    client_col: str = "id_client",
+    date_col: str = "date_sale",
+    product_col: str = "product",
+) -> DataFrame:
+    """Purchase days, median and sample deviation of the gaps, distinct products."""
+    return client_regularity(df, client_col, date_col, product_col).drop("last_purchase")
 
 
 def pay_amount_mean(
@@ -120,13 +137,15 @@ def segmentation_features(
 ) -> DataFrame:
     """Six features per client: frequency, ticket value, regularity and variety.
 
-    One row per client-day first, so every later group is bounded by the calendar.
+    Lines are first summed per client, day and product. Both branches below start from
+    that one exchange; later groups are bounded by the calendar or the catalogue.
     """
     has_amount = amount_col in df.columns
     total_months = df.agg(months_inclusive(F.min(date_col), F.max(date_col))).scalar()
-    amount = F.sum(amount_col) if has_amount else F.lit(None).cast("double")
-    daily = df.groupBy(client_col, date_col).agg(
-        amount.alias("_amount"), F.countDistinct(product_col).alias("_products")
+    amount = F.sum(amount_col) if has_amount else F.sum(F.lit(None).cast("double"))
+    bought = df.groupBy(client_col, date_col, product_col).agg(amount.alias("_amount"))
+    daily = bought.groupBy(client_col, date_col).agg(
+        F.sum("_amount").alias("_amount"), F.count(product_col).alias("_products")
     )
     # The months of one client are a handful of values, so the set stays small.
     active = F.greatest(F.lit(1), F.size(F.collect_set(month_start(date_col))))
@@ -134,11 +153,13 @@ def segmentation_features(
         (F.count(F.lit(1)) / active).alias("tickets_per_month"),
         (active / total_months).alias("months_active_ratio"),
         F.median("_amount").alias("ticket_median"),
-        F.sum("_amount").alias("monetary_total"),
         F.avg("_products").alias("products_per_visit"),
     )
-    variety = df.groupBy(client_col).agg(F.countDistinct(product_col).alias("product_distinct"))
-    return visits.join(variety, client_col, "left")
+    totals = bought.groupBy(client_col).agg(
+        F.sum("_amount").alias("monetary_total"),
+        F.countDistinct(product_col).alias("product_distinct"),
+    )
+    return visits.join(totals, client_col, "left")
 
 
 def seg_monetary(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import schemas
+from basketry.functions.dates import days_cutoff
 from basketry.operators import models
 from basketry.operators.calendar import calendar_features
 from basketry.operators.clean import (
@@ -44,9 +45,9 @@ from basketry.operators.metrics import (
 from basketry.operators.patterns import (
     agg_client_product_day,
     agg_daily_client,
+    client_regularity,
     filter_patterns,
     filter_recent_clients,
-    purchase_patterns,
     segmentation_features,
 )
 from basketry.operators.recommend import (
@@ -68,6 +69,7 @@ from basketry.params import (
     VipParams,
     WindowParams,
 )
+from basketry.session import materialise
 from basketry.sources.readers import (
     empty_table,
     load_calendar,
@@ -118,9 +120,27 @@ def job_load(
 def regular_clients(
     sales: DataFrame, params: PatternParams = PatternParams(), window: WindowParams = WindowParams()
 ) -> DataFrame:
-    """Sales of valid, recent clients who buy regularly."""
-    recent = filter_recent_clients(validate_client_ids(sales), window.recent_months)
-    return semi_join(recent, filter_patterns(purchase_patterns(recent), params), "id_client")
+    """Sales of valid, recent clients who buy regularly.
+
+    The lines are read twice: to measure every valid client, and to keep the lines of
+    those that qualify.
+    """
+    valid = validate_client_ids(sales)
+    return semi_join(valid, regular_ids(valid, params, window), "id_client")
+
+
+def regular_ids(
+    valid: DataFrame, params: PatternParams = PatternParams(), window: WindowParams = WindowParams()
+) -> DataFrame:
+    """Patterns of recent clients within the limits.
+
+    The table of one row per client is stored, so that its latest purchase, which is
+    the latest date of the lines, costs no second pass over them.
+    """
+    found = materialise(client_regularity(valid), "regularity")
+    cutoff = days_cutoff(found, window.recent_months, "last_purchase")
+    recent = found.where(F.col("last_purchase") >= cutoff).drop("last_purchase")
+    return filter_patterns(recent, params)
 
 
 def job_preprocess(

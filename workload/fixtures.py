@@ -155,10 +155,15 @@ class Fixtures:
         """The calendar as a written table, as the model jobs read it."""
         return materialise(self.calendar, "calendar")
 
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        """The segmentation features as a written table, as the segment jobs read them."""
+        return materialise(self.segment_features, "features")
+
     def profiled(self, k: int) -> DataFrame:
         """Segmentation features with fixed cluster ids in place of K-Means."""
         cluster = (F.col("id_client").cast("long") % k).cast("int")
-        return self.segment_features.withColumn("cluster", cluster)
+        return self.stored_features.withColumn("cluster", cluster)
 
     @cached_property
     def raw_tickets(self) -> DataFrame:

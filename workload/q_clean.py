@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from basketry import work_dir
 from basketry.functions.text import parse_literal_list
 from basketry.operators import clean, metrics, patterns, recommend, segmentation
+from basketry.plans.jobs import regular_ids
 from basketry.schemas import RAW_TICKETS, SALES_VALUE
 from basketry.sources import writers
 from basketry.streaming.sync import read_synced, start_sync
@@ -158,8 +159,7 @@ PATTERN = f"id_client, purchase_days, {rnd('median_days_between')} AS median_day
 
 @query("filter_patterns", oracle(f"SELECT {PATTERN} FROM kept"))
 def _filter_patterns(fx):
-    recent = patterns.filter_recent_clients(fx.valid, 3)
-    return rounded(patterns.filter_patterns(patterns.purchase_patterns(recent), FX_PATTERNS))
+    return rounded(regular_ids(fx.valid, FX_PATTERNS))
 
 
 @query(

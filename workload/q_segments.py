@@ -186,7 +186,7 @@ SCALED = ("tickets_per_month", "ticket_median", "months_active_ratio")
 )
 def _matrix(fx):
     """Every id ending in 7 loses its frequency, so the median fill has work."""
-    holes = materialise(fx.segment_features, "features").withColumn(
+    holes = fx.stored_features.withColumn(
         "tickets_per_month", F.when(~F.col("id_client").endswith("7"), F.col("tickets_per_month"))
     )
     out = segmentation.prepare_cluster_matrix(holes, SCALED)
@@ -197,7 +197,7 @@ def _matrix(fx):
 
 
 def assignments(fx):
-    return segmentation.label_segments_5(fx.profiled(5))
+    return materialise(segmentation.label_segments_5(fx.profiled(5)), "assignments")
 
 
 @query(
@@ -205,7 +205,7 @@ def assignments(fx):
     oracle("""SELECT cast(cluster AS INTEGER) AS cluster, description, freq, cast(rank AS INTEGER) AS rank FROM cluster_top"""),
 )
 def _topn_cluster(fx):
-    return recommend.topn_per_cluster(fx.valid, fx.profiled(5), fx.catalog, FX_EXCLUDED)
+    return recommend.topn_per_cluster(fx.valid, assignments(fx), fx.catalog, FX_EXCLUDED)
 
 
 @query(
@@ -393,7 +393,7 @@ def _kmeans(fx):
 def _choose_k(fx):
     params = SegmentParams()
     columns = [c + "_z" for c in params.features]
-    stored = materialise(fx.segment_features, "features")
+    stored = fx.stored_features
     matrix = segmentation.prepare_cluster_matrix(stored, params.features)
     return models.elbow_scan(matrix, columns, range(params.k_min, params.k_max + 1)).orderBy(
         F.desc("silhouette"), F.asc("k")
