@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 DAYS_PER_MONTH = 30
 
 
-def latest(df: DataFrame, date_col: str) -> Column:
-    """Latest date of a table as a scalar subquery, computed inside the same plan."""
-    return df.agg(F.max(date_col)).scalar()
+# The cutoffs are computed inside the scalar subquery: a bare subquery in a filter is
+# replaced by its value at run time and reaches the Parquet reader, which then skips
+# row groups; an expression around it would not.
 
 
 def days_cutoff(df: DataFrame, months: int, date_col: str) -> Column:
     """Latest date minus ``months`` blocks of thirty days."""
-    return F.date_sub(latest(df, date_col), months * DAYS_PER_MONTH)
+    return df.agg(F.date_sub(F.max(date_col), months * DAYS_PER_MONTH)).scalar()
 
 
 def calendar_cutoff(df: DataFrame, months: int, date_col: str) -> Column:
     """Latest date minus ``months`` calendar months, clamped at the month's end."""
-    return F.add_months(latest(df, date_col), -months)
+    return df.agg(F.add_months(F.max(date_col), -months)).scalar()
 
 
 def month_start(col: Column | str) -> Column:

@@ -203,12 +203,19 @@ def backtest_average(daily: DataFrame) -> DataFrame:
 # --- splits and weights ---------------------------------------------------------
 
 
-def last_purchase_day(df: DataFrame, split_days: int) -> Column:
+def _last_purchase(split_days: int) -> Column:
     """Latest day with a purchase; the end of the table minus the split if there is none."""
-    day = F.coalesce(
-        F.max(F.when(F.col("purchased") == 1, F.col("date"))), F.date_sub(F.max("date"), split_days)
-    )
-    return df.agg(day).scalar()
+    bought = F.max(F.when(F.col("purchased") == 1, F.col("date")))
+    return F.coalesce(bought, F.date_sub(F.max("date"), split_days))
+
+
+def last_purchase_day(df: DataFrame, split_days: int) -> Column:
+    return df.agg(_last_purchase(split_days)).scalar()
+
+
+def train_end(df: DataFrame, split_days: int) -> Column:
+    """Last training day, as a bare subquery so that a filter on it reaches the scan."""
+    return df.agg(F.date_sub(_last_purchase(split_days), split_days)).scalar()
 
 
 def temporal_split(df: DataFrame, split_days: int) -> DataFrame:

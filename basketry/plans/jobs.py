@@ -40,7 +40,7 @@ from basketry.operators.metrics import (
     known_clients,
     pr_at,
     pr_curve,
-    temporal_split,
+    train_end,
 )
 from basketry.operators.patterns import (
     agg_client_product_day,
@@ -169,8 +169,9 @@ def job_featurize(
 def job_train(
     spark: SparkSession, calendar_path: str, model_path: str, params: ModelParams = ModelParams()
 ) -> PipelineModel:
-    split = temporal_split(load_calendar(spark, calendar_path), params.split_days)
-    model = models.train(split.where(F.col("split") == "train"), params)
+    calendar = load_calendar(spark, calendar_path)
+    past = calendar.where(F.col("date") <= train_end(calendar, params.split_days))
+    model = models.train(past, params)
     model.write().overwrite().save(model_path)
     return model
 
@@ -190,7 +191,10 @@ def job_evaluate(
     params: ModelParams = ModelParams(),
 ) -> PipelineModel:
     """Calibrate on the first half of the validation days, judge both models on the second."""
-    halves = calibration_split(load_calendar(spark, calendar_path), params.split_days)
+    calendar = load_calendar(spark, calendar_path)
+    # Only the validation days are read; the split repeats the condition.
+    recent = F.col("date") > train_end(calendar, params.split_days)
+    halves = calibration_split(calendar, params.split_days).where(recent)
     base = PipelineModel.load(model_path)
     calibrated = calibrate(base, halves.where(F.col("split") == "calibration"), params)
     calibrated.write().overwrite().save(calibrated_path)
@@ -202,15 +206,17 @@ def job_evaluate(
     scored = scan_parquet(spark, scored_path)
 
     target, at = params.target, params.threshold
-    metrics = None
-    for prefix, prob in (("base", "base_prob"), ("cal", "cal_prob")):
+    judged = {}
+    for model, prob in (("base", "base_prob"), ("cal", "cal_prob")):
         one = binary_metrics(scored, target, prob, at)
-        named = {"precision": f"precision@{at}", "recall": f"recall@{at}", "f05": f"f0.5@{at}"}
-        one = one.select([F.col(c).alias(f"{prefix}_{named.get(c, c)}") for c in one.columns])
-        # Two tables of one row each.
-        metrics = one if metrics is None else metrics.join(one)
-        sink_metrics(classification_report(scored, target, prob, at), f"{report_path}/report_{prefix}")
-        sink_metrics(calibration_curve(scored, target, prob, params.bins), f"{report_path}/bins_{prefix}")
+        judged[model] = one.select(F.struct(*one.columns)).scalar()
+        sink_metrics(classification_report(scored, target, prob, at), f"{report_path}/report_{model}")
+        sink_metrics(calibration_curve(scored, target, prob, params.bins), f"{report_path}/bins_{model}")
+    names = {"roc_auc": "roc_auc", "brier": "brier", "precision": f"precision@{at}", "recall": f"recall@{at}", "f05": f"f0.5@{at}"}
+    both = spark.range(1).select(*[m.alias(f"_{k}") for k, m in judged.items()])
+    metrics = both.select(
+        *[F.col(f"_{k}.{c}").alias(f"{k}_{shown}") for k in judged for c, shown in names.items()]
+    )
     sink_metrics(metrics, f"{report_path}/metrics")
     curve_path = f"{report_path}/pr_curve"
     sink_parquet(pr_curve(scored, target, "cal_prob"), curve_path)

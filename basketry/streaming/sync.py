@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from basketry.functions.dates import days_cutoff
-from basketry.operators.clean import SALES_COLUMNS, dedupe_keep_first, trim_window
+from basketry.functions.dates import DAYS_PER_MONTH
+from basketry.operators.clean import SALES_COLUMNS, dedupe_keep_first
+from basketry.schemas import SALES
 from basketry.sources.readers import or_none
 from basketry.sources.writers import overwrite_partitions
 
+# Stated, as a month read back from its folder name would be taken for a date.
+STORED = T.StructType([*SALES.fields, T.StructField("month", T.StringType())])
 SALES_KEY = ("date_sale", "id_client", "product")
 
 
@@ -39,10 +43,11 @@ def merge_batch(
     staged = f"{staging}/batch-{batch_id}"
     if not _is_complete(spark, staged):
         new = with_month(batch).withColumn("_source", F.lit(1))
-        stored = or_none(spark.read.parquet, target)
+        stored = or_none(spark.read.schema(STORED).parquet, target)
         if stored is not None:
-            touched = new.select("month").distinct()
-            kept = stored.join(touched, "month", "left_semi").withColumn("_source", F.lit(0))
+            # A few month names; as literals they keep the scan to those folders.
+            touched = [r["month"] for r in new.select("month").distinct().collect()]
+            kept = stored.where(F.col("month").isin(touched)).withColumn("_source", F.lit(0))
             new = kept.unionByName(new, allowMissingColumns=True)
         merged = dedupe_keep_first(new, SALES_KEY, ("_source", *line_order))
         merged.select(*SALES_COLUMNS, "month").write.mode("overwrite").parquet(staged)
@@ -73,9 +78,14 @@ def start_sync(
 def read_synced(spark: SparkSession, target: str, months: int) -> DataFrame:
     """The synced sales, trimmed to the last ``months`` x 30 days.
 
-    The month filter lets the scan skip the folders of older months.
+    The latest stored date is looked up first, in the newest month only, so that the
+    months to read are literals and the scan skips the folders of older ones.
     """
-    stored = spark.read.parquet(target)
-    first_month = F.date_format(days_cutoff(stored, months, "date_sale"), "yyyy-MM")
-    recent = stored.where(F.col("month").cast("string") >= first_month)
-    return trim_window(recent, months).select(*SALES_COLUMNS)
+    stored = spark.read.schema(STORED).parquet(target)
+    newest = stored.agg(F.max("month")).first()[0]
+    last = stored.where(F.col("month") == newest).agg(F.max("date_sale")).first()[0]
+    if last is None:
+        return stored.select(*SALES_COLUMNS)
+    first = last - timedelta(days=months * DAYS_PER_MONTH)
+    recent = stored.where(F.col("month") >= f"{first:%Y-%m}")
+    return recent.where(F.col("date_sale") >= F.lit(first)).select(*SALES_COLUMNS)
