@@ -12,7 +12,7 @@ from basketry.plans import jobs
 from basketry.sources import writers
 from workload.fixtures import FX_EXCLUDED
 from workload.oracle_views import oracle
-from workload.registry import query, rnd, rounded
+from workload.registry import joined, query, rnd, rounded
 
 PARAMS = RecommendParams(excluded=FX_EXCLUDED)
 
@@ -200,7 +200,7 @@ def _global(fx):
     return recommend.recs_global(fx.product_day, fx.catalog, PARAMS)
 
 
-BY_CLIENT = """SELECT c.client, coalesce(r.recommended_products, []) AS recommended_products
+BY_CLIENT = """SELECT c.client, array_to_string(coalesce(r.recommended_products, []), ' | ') AS recommended_products
 FROM (SELECT DISTINCT client FROM c_counts) c LEFT JOIN (
   SELECT client, list(coalesce(description, recommended_product) ORDER BY recommendation_rank) AS recommended_products
   FROM c_counts_recs LEFT JOIN fx_catalog ON product = recommended_product GROUP BY 1) r ON r.client = c.client"""
@@ -208,7 +208,7 @@ FROM (SELECT DISTINCT client FROM c_counts) c LEFT JOIN (
 
 @query("recs_by_client", oracle(BY_CLIENT))
 def _by_client(fx):
-    return recommend.recs_by_client(fx.product_day, fx.catalog, PARAMS)
+    return joined(recommend.recs_by_client(fx.product_day, fx.catalog, PARAMS))
 
 
 @query(
@@ -239,7 +239,8 @@ def _campaign(fx):
 @query(
     "combine_recs",
     oracle("""SELECT s.date, s.client, s.prob, r.recommended_product, r.recommendation_score,
-                r.recommendation_rank, d.description, k.cluster_recommended_products
+                r.recommendation_rank, d.description,
+                array_to_string(k.cluster_recommended_products, ' | ') AS cluster_recommended_products
               FROM scored s LEFT JOIN c_counts_recs r USING (client)
               LEFT JOIN fx_catalog d ON d.product = r.recommended_product
               LEFT JOIN (SELECT client, list(product ORDER BY rank) AS cluster_recommended_products
@@ -252,7 +253,7 @@ def _combine(fx):
     lists = recommend.topn_per_client(recent_tx(fx), 5).groupBy("client").agg(
         recommend.ordered_list("rank", "product").alias("recommended_products")
     )
-    return recommend.combine_recs(likely(fx), recs, fx.catalog, lists)
+    return joined(recommend.combine_recs(likely(fx), recs, fx.catalog, lists))
 
 
 @query("job_recs_by_client", oracle(BY_CLIENT))
@@ -260,6 +261,6 @@ def _job_by_client(fx):
     base = work_dir(fx.spark, "recs")
     writers.sink_parquet(fx.product_day, f"{base}/product_day")
     jobs.job_recs_by_client(fx.spark, f"{base}/product_day", fx.catalog, f"{base}/recs", PARAMS)
-    return fx.spark.read.parquet(f"{base}/recs")
+    return joined(fx.spark.read.parquet(f"{base}/recs"))
 
 

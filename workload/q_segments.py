@@ -11,7 +11,7 @@ from basketry.plans import jobs
 from basketry.sources.readers import load_contacts
 from workload.fixtures import FX_EXCLUDED, FX_YEAR
 from workload.oracle_views import oracle
-from workload.registry import query, rnd, rounded
+from workload.registry import joined, query, rnd, rounded
 
 VIP = segmentation.VIP_FEATURES
 VIP_NAMES = """CASE segment WHEN 'reposicion' THEN 'Reposición' WHEN 'intermedio' THEN 'Mercado Intermedio'
@@ -211,14 +211,14 @@ def _topn_cluster(fx):
 @query(
     "recs_by_cluster",
     oracle("""SELECT p.id_client AS client, p.cluster AS purchase_pattern_cluster,
-                coalesce(r.recommended_products, []) AS recommended_products
+                array_to_string(coalesce(r.recommended_products, []), ' | ') AS recommended_products
               FROM profiles p LEFT JOIN (
                 SELECT cluster, list(description ORDER BY rank) AS recommended_products FROM cluster_top GROUP BY 1) r
                 ON r.cluster = p.cluster"""),
 )
 def _recs_cluster(fx):
     out = recommend.recs_by_cluster(fx.valid, assignments(fx), fx.catalog, FX_EXCLUDED)
-    return out.drop("segment", "segment_label")
+    return joined(out.drop("segment", "segment_label"))
 
 
 # --- behaviour ------------------------------------------------------------------------------
@@ -445,6 +445,6 @@ def _job_segment_vip(fx):
 def _job_segment_recs(fx):
     base = work_dir(fx.spark, "segment-recs")
     jobs.job_segment_recs(fx.spark, fx.sales, fx.catalog, f"{base}/clusters", f"{base}/recs", excluded=FX_EXCLUDED)
-    return fx.spark.read.parquet(f"{base}/recs")
+    return joined(fx.spark.read.parquet(f"{base}/recs"))
 
 

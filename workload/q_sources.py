@@ -8,7 +8,7 @@ from basketry import schemas, work_dir
 from basketry.operators.recommend import merge_recommendations, recs_by_cluster
 from basketry.sources import landing, readers, writers
 from workload.oracle_views import oracle
-from workload.registry import query, rnd, rounded
+from workload.registry import joined, query, rnd, rounded
 
 
 def _catalog_csv(fx) -> str:
@@ -181,7 +181,12 @@ def _load_recs_optional(fx):
     return out.withColumnRenamed("recommended_product", "top_product")
 
 
-@query("empty_typed_output")
+@query(
+    "empty_typed_output",
+    oracle("""SELECT id_client AS client, 0 AS purchase_pattern_cluster, product AS segment,
+                product AS segment_label, product AS recommended_products
+              FROM valid WHERE date_sale > (SELECT max(date_sale) FROM valid)"""),
+)
 def _empty_typed_output(fx):
     """No sales in the window: the recommendation table keeps its columns and types."""
     none = fx.valid.where(F.col("date_sale") > fx.valid.agg(F.max("date_sale")).scalar())
@@ -191,7 +196,7 @@ def _empty_typed_output(fx):
     features = segmentation_features(none).withColumn("cluster", F.lit(0))
     recs = recs_by_cluster(none, label_segments_5(features), fx.catalog)
     typed = readers.empty_table(fx.spark, schemas.CLUSTER_RECS)
-    return typed.unionByName(recs)
+    return joined(typed.unionByName(recs))
 
 
 @query(

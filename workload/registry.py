@@ -42,6 +42,18 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
+def joined(df: DataFrame) -> DataFrame:
+    """Text lists as one text each, so that every engine hands them over alike."""
+    return df.select(
+        *[
+            F.array_join(f"`{f.name}`", " | ").alias(f.name)
+            if isinstance(f.dataType, T.ArrayType)
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
 def rnd(expression: str, digits: int = 4) -> str:
     """SQL twin of :func:`rounded`.
 
