@@ -11,7 +11,10 @@ from pyspark.sql.window import Window
 
 from basketry.session import materialise, work_dir
 
-__all__ = ["connected", "distributed_rank", "materialise", "own_names", "read_table", "tune", "work_dir"]
+__all__ = [
+    "connected", "distributed_rank", "free_name", "materialise", "own_names", "read_table", "tune",
+    "with_fields", "work_dir",
+]
 
 # Rows that one Arrow batch hands to Python. Texts are a few kB on average and some are
 # very long, so batches stay small next to a worker's memory.

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import near_dup
+from basketry.llm import bpe, decontaminate, near_dup, pii, quality
 from basketry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "word_bpe_49k.json"
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,6 +27,61 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_and_decode(read_table(spark, folder, "documents"), vocabulary_path(), stored=True)
+
+
 @query("op5_near_dup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op9_decontaminate",
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS pattern
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS pattern
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN sizes ON len(w) >= n)),
+found AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, pattern)),
+hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM found))
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(read_table(spark, folder, "documents"))
