@@ -3,7 +3,8 @@
 Every line of a text is good or bad. A line is described by a few counts of its bytes and
 words, and by the same counts of the line before and the line after it; the chain adds a
 weight for each pair of neighbouring states. Forward-backward gives each line the
-probability of being good, and a document's quality is their mean, weighted by line length.
+probability of being good, and their mean, weighted by line length, is the share of good text.
+A logistic curve over that share, fitted on the same sample, gives the document's quality.
 
 Labels exist for whole documents, so in training each line carries its document's label; the
 chain learns which lines tell. Training is full-batch ascent of the conditional likelihood
@@ -18,7 +19,7 @@ sample, or 0.5 if there is no label at all. Repeated rows get equal scores.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,12 @@ from pyspark.sql import types as T
 from basketry.llm import wordarrays as wa
 from basketry.llm.common import free_name, own_names, tune, with_fields
 
-SAMPLE = 6000
-MAX_LINES = 400
+SAMPLE = 4000
+MAX_LINES = 100
 THRESHOLD = 0.3
-STEPS = 250
-RATE = 0.08
-PENALTY = 1e-3
+STEPS = 120
+RATE = 0.15
+PENALTY = 1e-4
 
 # Kinds of bytes.
 UPPER, LOWER, DIGIT, SPACE, STOP, SIGN, BANG, BAR, HIGH = range(9)
@@ -127,11 +128,13 @@ def with_neighbours(features: np.ndarray, first_line: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class ChainModel:
-    """Weights of a good line's features, of neighbouring states, and the score without lines."""
+    """Weights of a good line's features and of neighbouring states; the score without lines;
+    slope and offset of the quality over the logit of the share of good text."""
 
     weights: np.ndarray
     pairs: np.ndarray
     base: float
+    curve: tuple[float, float] = (1.0, 0.0)
 
     def marginals(self, features: np.ndarray, first_line: np.ndarray) -> np.ndarray:
         return chain_marginals(features @ self.weights, self.pairs, first_line)[0]
@@ -192,18 +195,54 @@ def train(features: np.ndarray, first_line: np.ndarray, labels: np.ndarray) -> C
         return ChainModel(weights, pairs, base)
     gold = np.repeat(labels, np.diff(first_line)).astype(int)
     n = len(wide)
-    state = np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)
+    # Features on one scale while training; the weights are put back to the raw scale after.
+    centre, spread = wide.mean(axis=0), np.maximum(wide.std(axis=0), 1e-3)
+    centre[-1], spread[-1] = 0, 1
+    even = (wide - centre) / spread
+    mean, square = np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)
     for step in range(1, STEPS + 1):
-        good, slope = chain_marginals(wide @ weights, pairs, first_line, gold)
-        gradient = np.concatenate([wide.T @ (gold - good) / n - PENALTY * weights, slope.ravel() / n - PENALTY * pairs.ravel()])
-        state[0][:] = 0.9 * state[0] + 0.1 * gradient
-        state[1][:] = 0.99 * state[1] + 0.01 * gradient**2
-        move = RATE * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
+        good, slope = chain_marginals(even @ weights, pairs, first_line, gold)
+        gradient = np.concatenate(
+            [even.T @ (gold - good) / n - PENALTY * weights, slope.ravel() / n - PENALTY * pairs.ravel()]
+        )
+        mean = 0.9 * mean + 0.1 * gradient
+        square = 0.99 * square + 0.01 * gradient**2
+        move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
         weights = weights + move[:-4]
         pairs = pairs + move[-4:].reshape(2, 2)
+    weights = weights / spread
+    weights[-1] -= (weights[:-1] * centre[:-1]).sum()
     return ChainModel(weights, pairs, base)
 
 
+def fit_curve(share: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over the logit of the share of good text.
+
+    Newton steps with a small penalty; one pseudo-document a class keeps the curve finite
+    where the classes do not overlap.
+    """
+    if not len(labels) or labels.min() == labels.max():
+        return 1.0, 0.0
+    x = np.column_stack([_logit(share), np.ones(len(share))])
+    good = labels.sum()
+    target = np.where(labels == 1, (good + 1) / (good + 2), 1 / (len(labels) - good + 2))
+    at = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        slope = x.T @ (target - p) - 1e-3 * at
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        move = np.linalg.solve(curve, slope)
+        at = at + np.clip(move, -2, 2)
+        if np.abs(move).max() < 1e-9:
+            break
+    return max(float(at[0]), 0.0), float(at[1])
+
+
+def _logit(share: np.ndarray) -> np.ndarray:
+    share = np.clip(share, 1e-4, 1 - 1e-4)
+    return np.log(share / (1 - share))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for documents that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
@@ -211,9 +250,14 @@ def held_out(doc_id: Column) -> Column:
 
 def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        features, _, first = line_features(batch.column(1))
-        rows = [features[a:b].astype(np.float32).ravel() for a, b in zip(first[:-1], first[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float32()))], ["label", "lines"])
+        features, size, first = line_features(batch.column(1))
+        ranges = list(zip(first[:-1], first[1:]))
+        lines = [features[a:b].astype(np.float32).ravel() for a, b in ranges]
+        sizes = [size[a:b].astype(np.float32) for a, b in ranges]
+        floats = pa.list_(pa.float32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(lines, floats), pa.array(sizes, floats)], ["label", "lines", "sizes"]
+        )
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_lines: int = MAX_LINES) -> ChainModel:
@@ -231,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_lines: int
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
     rows = (
         texts.where(lines <= max_lines)
-        .mapInArrow(_train_rows, "label int, lines array<float>")
+        .mapInArrow(_train_rows, "label int, lines array<float>, sizes array<float>")
         .where(F.size("lines") > 0)
         .limit(2 * sample)
         .collect()
@@ -239,17 +283,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_lines: int
     parts = [np.array(r["lines"], np.float64).reshape(-1, OWN) for r in rows]
     first = np.cumsum([0, *map(len, parts)])
     features = np.vstack(parts) if parts else np.zeros((0, OWN))
-    return train(features, first, np.array([r["label"] for r in rows], float))
+    marks = np.array([r["label"] for r in rows], float)
+    model = train(features, first, marks)
+    share = good_share(model, features, np.array([x for r in rows for x in r["sizes"]]), first)
+    return replace(model, curve=fit_curve(share, marks))
+
+
+def good_share(model: ChainModel, features: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Share of each text, by length of lines, that is good; not a number without lines."""
+    good = model.marginals(with_neighbours(features, first), first)
+    length, total = (np.concatenate(([0.0], np.cumsum(x))) for x in (size, size * good))
+    with np.errstate(invalid="ignore"):
+        return (total[first[1:]] - total[first[:-1]]) / (length[first[1:]] - length[first[:-1]])
 
 
 def score_texts(model: ChainModel, texts: pa.Array) -> np.ndarray:
     """Quality of each text."""
     features, size, first = line_features(texts)
-    good = model.marginals(with_neighbours(features, first), first)
-    weight, total = np.concatenate(([0], np.cumsum(size))), np.concatenate(([0], np.cumsum(size * good)))
-    length = weight[first[1:]] - weight[first[:-1]]
-    quality = (total[first[1:]] - total[first[:-1]]) / np.maximum(length, 1)
-    return np.clip(np.where(length > 0, quality, model.base), 0, 1)
+    share = good_share(model, features, size, first)
+    slope, offset = model.curve
+    quality = 1 / (1 + np.exp(-(slope * _logit(share) + offset)))
+    return np.where(np.isnan(share), model.base, quality)
 
 
 def scored(docs: DataFrame, model: ChainModel, name: str = "score") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontaminate, near_dup, pii, quality
+from basketry.llm import bpe, decontaminate, near_dup, pii, quality, token_files
 from basketry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(read_table(spark, folder, "documents"))
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.written_and_read(read_table(spark, folder, "documents"), vocabulary_path())
