@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from basketry.session import materialise, work_dir
 
 __all__ = [
-    "connected", "distributed_rank", "free_name", "materialise", "own_names", "read_table", "tune",
+    "connected", "distributed_rank", "free_name", "let", "materialise", "own_names", "read_table", "tune",
     "with_fields", "work_dir",
 ]
 
@@ -52,6 +52,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, even where ``body`` uses it in a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def distributed_rank(df: DataFrame, key: Sequence[str], order: Column, rows: int, name: str = "_rank",
                      per_bucket: int = 50_000) -> DataFrame:
     """Add the 0-based rank of each row within its key, without one task per key.

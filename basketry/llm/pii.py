@@ -77,11 +77,13 @@ SPAN = "struct<kind:string,s:bigint,e:bigint,base:boolean,votes:array<int>,feats
 
 def _found(text: Column, pattern: str) -> Column:
     """Matches of a pattern with their places: array of (``m``, ``s``, ``e``)."""
-    match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # The texts between matches give the places: a match starts where they and the earlier
-    # matches end.
-    between = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(match.alias("m"), F.slice(between, 1, F.size(match)).alias("g"))
+    # matches end. There is one more of them than of matches.
+    zipped = F.zip_with(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
+        lambda m, g: F.struct(m.alias("m"), g.alias("g")),
+    )
+    zipped = F.filter(zipped, lambda x: x["m"].isNotNull())
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<m:string,s:bigint,e:bigint>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:

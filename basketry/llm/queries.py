@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontaminate, near_dup, pii, quality, token_files
+from basketry.llm import bpe, decontaminate, fingerprint, language_id, near_dup, pii, quality, token_files
 from basketry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_token_files")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.written_and_read(read_table(spark, folder, "documents"), vocabulary_path())
+
+
+@query("op7_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(read_table(spark, folder, "documents"))
+
+
+@query("op1_fingerprint")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.edited_likeness(read_table(spark, folder, "documents"))
