@@ -24,6 +24,10 @@ ARROW_ROWS = 1000
 def tune(spark: SparkSession) -> SparkSession:
     """Runtime settings the operators rely on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # Otherwise the borders of file splits follow the number of cores at hand, and an
+        # executor lost between two scans of a table would move them.
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -74,10 +78,14 @@ def distributed_rank(df: DataFrame, key: Sequence[str], order: Column, rows: int
     offsets = sizes.select(*key, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*key, "_bucket").orderBy("_order")
     numbered = hashed.withColumn("_inside", F.row_number().over(inside) - 1)
+    named = offsets.withColumnsRenamed({"_bucket": "_bucket2"} | {k: f"_key_{k}" for k in key})
+    same = F.col("_bucket") == F.col("_bucket2")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     return (
-        numbered.join(offsets, [*key, "_bucket"])
+        numbered.join(named, same)
         .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long"))
-        .drop("_order", "_bucket", "_inside", "_offset")
+        .select(*df.columns, name)
     )
 
 

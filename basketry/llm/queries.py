@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontaminate, fingerprint, language_id, near_dup, pii, quality, token_files
+from basketry.llm import (
+    bpe,
+    decontaminate,
+    fingerprint,
+    language_id,
+    near_dup,
+    pii,
+    quality,
+    sharding,
+    suffix_dedup,
+    token_files,
+)
 from basketry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +111,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_fingerprint")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_likeness(read_table(spark, folder, "documents"))
+
+
+@query("op3_sharding")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, folder, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.repeated_passages(read_table(spark, folder, "documents"), stored=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
