@@ -16,11 +16,11 @@ How it goes:
    smallest node of its buckets (a star, never all pairs). The share of equal 4-bit minima,
    corrected for the 1/16 of chance matches, estimates the similarity; pairs that are five
    standard errors below the threshold are given up, the rest are checked on full sets.
-3. Components form from the confirmed links. Buckets that still touch several components
-   get two rounds of neighbour pairs in an order of their own, then the exact tail: every
-   node outside a bucket's largest component is held against every node of another
-   component in it. The tail runs in blocks of bounded size, on packed signatures, and
-   gives out only pairs that pass the estimate; these are checked on full sets as well.
+3. Components form from the confirmed links. In buckets that still touch several components,
+   every node outside the bucket's largest component is held against every node of another
+   component in it. This exact tail runs in blocks of bounded size: signatures first, then the
+   full sets, and a pair that the block has connected already is not tried again, so a block
+   gives out fewer links than it has rows.
 
 No bucket is cut off, so a pair is missed only if none of 32 bands collides: 5 in a million
 at a similarity of 0.75, less above it.
@@ -38,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from basketry.llm import wordarrays as wa
 from basketry.llm.common import connected, free_name, materialise, own_names, tune
@@ -132,7 +131,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = list(_rows(batch.column(0)))
         longs = [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], *longs, _longs([r[2].view(np.int64) for r in rows])],
+            [*batch.columns[1:], *longs, _longs([np.sort(r[2].view(np.int64)) for r in rows])],
             ["node", "c1", "c2", "k1", "k2", "shingles"],
         )
 
@@ -154,41 +153,69 @@ def matches(a: str, b: str):
     return total
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """Rows of a list column as numpy arrays, without a Python object per element."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    at = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
+    return [values[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of values that two sorted arrays of distinct values share."""
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum())
+
+
 def _tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that lie in different components and pass the estimate.
+    """Links between different components found in one block.
 
-    Input rows are sorted by block; a block holds at most about twice ``BLOCK`` rows.
+    Input rows are sorted by block; a block holds at most about twice ``BLOCK`` rows. A pair
+    is tried in the first of the buckets it shares, if the estimate passes and the block has
+    not connected it yet, and always on the full sets.
     """
     need, held, key = least_matches(), [], None
 
-    def pairs(rows) -> pa.RecordBatch:
-        node = np.array([r[0] for r in rows], np.int64)
-        root = np.array([r[1] for r in rows], np.int64)
-        sig = np.array([r[2] for r in rows], np.int64).view(np.uint64)
-        own = np.array([r[3] for r in rows], bool)
-        left, right = np.flatnonzero(~own), np.flatnonzero(own)
-        a, b = [], []
-        for i in left:
+    def links(bucket: int, rows) -> pa.RecordBatch:
+        node, root, own, sig, bands, sets = zip(*rows)
+        node, root, own = np.array(node), np.array(root), np.array(own)
+        sig, bands = np.array(sig).view(np.uint64), np.array(bands)
+        parent = {int(r): int(r) for r in root}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        right, found = np.flatnonzero(own), []
+        for i in np.flatnonzero(~own):
             x = sig[right] ^ sig[i]
             x |= x >> np.uint64(1)
             x |= x >> np.uint64(2)
             same = HASHES - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
-            ok = right[(same >= need) & (root[right] != root[i])]
-            a.append(np.full(len(ok), node[i], np.int64))
-            b.append(node[ok])
-        flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-        low, high = np.minimum(*flat), np.maximum(*flat)
-        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+            maybe = right[(same >= need) & (root[right] != root[i])]
+            first = (bands[maybe] == bands[i]).argmax(axis=1)
+            for j in maybe[bands[i][first] == bucket]:
+                u, v = top(int(root[i])), top(int(root[j]))
+                if u == v:
+                    continue
+                common = _shared(sets[i], sets[j])
+                if 100 * common >= PERCENT * (len(sets[i]) + len(sets[j]) - common):
+                    parent[max(u, v)] = min(u, v)
+                    found.append((int(node[i]), int(node[j])))
+        columns = list(zip(*found)) if found else [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
+        plain = [c.to_pylist() for c in batch.columns[:6]]
+        lists = [_lists(c) for c in batch.columns[6:]]
+        for row in zip(*plain, *lists):
             if row[:3] != key:
                 if held:
-                    yield pairs(held)
+                    yield links(key[0], held)
                 key, held = row[:3], []
             held.append(row[3:])
     if held:
-        yield pairs(held)
+        yield links(key[0], held)
 
 
 def link_components(docs: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -213,59 +240,20 @@ def link_components(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     )
     buckets = materialise(members.join(shared, "bucket"), "buckets")
     involved = materialise(
-        nodes.select("node", "k1", "k2", "sig", "first_id").join(buckets.select("node").distinct(), "node", "left_semi"),
+        nodes.select("node", "k1", "k2", "sig", "bands", "first_id").join(buckets.select("node").distinct(), "node", "left_semi"),
         "involved",
     )
     sets = materialise(_class_sets(docs, sketched, involved), "sets")
-    signatures = involved.select("node", "sig")
-
-    def confirmed(pairs: DataFrame, estimated: bool = False) -> DataFrame:
-        """The pairs whose full sets reach the threshold, stored."""
-        pairs = pairs.distinct()
-        if not estimated:
-            pairs = (
-                pairs.join(signatures.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
-                .join(signatures.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-                .where(matches("sa", "sb") >= least_matches())
-                .select("a", "b")
-            )
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
-        )
-        common = F.size(F.array_intersect("x", "y"))
-        return materialise(
-            both.withColumn("common", common)
-            .where(100 * F.col("common") >= PERCENT * (F.size("x") + F.size("y") - F.col("common")))
-            .select("a", "b"),
-            "links",
-        )
-
-    links = confirmed(buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-    for turn in range(3):
-        roots = materialise(connected(links), "roots")
-        rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
-        unsettled = materialise(rooted.join(split.select("bucket"), "bucket", "left_semi"), "unsettled")
-        if unsettled.isEmpty():
-            break
-        if turn < 2:
-            # Neighbours in an order of the bucket's own, within parts of bounded size.
-            part = Window.partitionBy(
-                "bucket", F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / BLOCK))
-            ).orderBy(F.xxhash64("node", "bucket", F.lit(turn)))
-            beside = unsettled.select(
-                "node", "root", F.lag("node").over(part).alias("other"), F.lag("root").over(part).alias("other_root")
-            )
-            pairs = beside.where("root != other_root").select(
-                F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
-            )
-            more = confirmed(pairs)
-        else:
-            more = confirmed(_tail_pairs(unsettled, signatures), estimated=True)
+    star = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = materialise(_confirmed(star, involved, sets), "links")
+    roots = materialise(connected(links), "roots")
+    rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
+    unsettled = materialise(rooted.join(split.select("bucket"), "bucket", "left_semi"), "unsettled")
+    more = materialise(_tail_links(unsettled, involved.select("node", "sig", "bands").join(sets, "node")), "links")
+    if not more.isEmpty():
         # What is connected already needs one link to its root, however many it had.
-        links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more)
-    else:
-        roots = connected(links)
+        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return named.join(lowest, "root").select("k1", "k2", "component_id")
@@ -292,8 +280,33 @@ def _class_sets(docs: DataFrame, sketched: DataFrame, involved: DataFrame) -> Da
     return found
 
 
-def _tail_pairs(unsettled: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Cross-component pairs of unsettled buckets that pass the estimate, block by block."""
+def _confirmed(pairs: DataFrame, involved: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that pass the estimate and whose full sets reach the threshold."""
+    sig = involved.select("node", "sig")
+    near = (
+        pairs.distinct()
+        .join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
+        .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
+        .where(matches("sa", "sb") >= least_matches())
+        .select("a", "b")
+    )
+    both = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
+    )
+    return (
+        both.withColumn("common", F.size(F.array_intersect("x", "y")))
+        .where(100 * F.col("common") >= PERCENT * (F.size("x") + F.size("y") - F.col("common")))
+        .select("a", "b")
+    )
+
+
+def _tail_links(unsettled: DataFrame, payload: DataFrame) -> DataFrame:
+    """Links across components within the unsettled buckets, block by block.
+
+    A bucket's nodes are dealt into strips; those outside its largest component, also into
+    lanes. A block is one strip against one lane, so every such pair meets in one block, and
+    no block outgrows ``BLOCK`` rows a side, but for chance.
+    """
     per_root = unsettled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = per_root.groupBy("bucket").agg(
         F.max(F.struct("n", F.negate("root").alias("r"))).alias("m"), F.sum("n").alias("total")
@@ -303,16 +316,15 @@ def _tail_pairs(unsettled: DataFrame, signatures: DataFrame) -> DataFrame:
         F.ceil(F.col("total") / BLOCK).cast("int").alias("strips"),
         F.ceil((F.col("total") - F.col("m.n")) / BLOCK).cast("int").alias("lanes"),
     )
-    rows = unsettled.select("bucket", "node", "root").join(main, "bucket").join(signatures, "node")
+    rows = unsettled.select("bucket", "node", "root").join(main, "bucket").join(payload, "node")
     strip = F.pmod(F.xxhash64("node"), F.col("strips")).cast("int")
     lane = F.pmod(F.xxhash64("node", F.lit(1)), F.col("lanes")).cast("int")
-    held = rows.select(
-        "bucket", strip.alias("strip"), F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
-        "node", "root", "sig", F.lit(True).alias("own"),
+    last = ["node", "root", "own", "sig", "bands", "shingles"]
+    held = rows.withColumn("own", F.lit(True)).select(
+        "bucket", strip.alias("strip"), F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), *last
     )
-    tried = rows.where("root != main").select(
-        "bucket", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("strip"), lane.alias("lane"),
-        "node", "root", "sig", F.lit(False).alias("own"),
+    tried = rows.where("root != main").withColumn("own", F.lit(False)).select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("strip"), lane.alias("lane"), *last
     )
     blocks = held.union(tried).repartition("bucket", "strip", "lane").sortWithinPartitions("bucket", "strip", "lane")
     return blocks.mapInArrow(_tail, "a bigint, b bigint")
