@@ -125,7 +125,7 @@ def _log_rows(rows, totals: dict, languages: list[str]) -> tuple[dict[str, int],
     for item, by in rows:
         index[item] = len(table)
         table.append([by.get(lang, 0) for lang in languages])
-    counts = np.array(table, np.float64).reshape(-1, len(languages))
+    counts = np.array(table, np.float64).reshape(len(table), len(languages))
     size = np.array([totals[lang][0] + SMOOTH * totals[lang][1] for lang in languages])
     return index, np.log((counts + SMOOTH) / size).astype(np.float32)
 
