@@ -110,14 +110,21 @@ def is_valid_id(
     return col.rlike(pattern) & ~col.isin(*GENERIC_IDS)
 
 
+# A quoted string as one unit; whatever precedes a bare word consists of such units.
+QUOTED = r"""'(?:\\.|[^'\\])*+'|"(?:\\.|[^"\\])*+\""""
+
+
 def parse_literal_list(col: Column | str, element: T.StructType = DETAIL) -> Column:
     """Array of structs from the text of a Python list of dicts.
 
-    Single quotes are accepted; ``None``, ``True`` and ``False`` standing as whole
-    values become their JSON words. Unreadable or missing text gives an empty array.
+    Single quotes are accepted; bare ``None``, ``True`` and ``False`` become their JSON
+    words, and a comma before a closing bracket is dropped. Text inside quotes stays as it
+    is. Unreadable or missing text gives an empty array.
     """
     text = F.col(col) if isinstance(col, str) else col
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"([:\[,]\s*){word}(?=\s*[,}}\]])", f"$1{json_word}")
+        bare = rf"\G((?:{QUOTED}|[^'\"{word[0]}]|{word[0]}(?!{word[1:]}\b))*+){word}"
+        text = F.regexp_replace(text, bare, f"$1{json_word}")
+    text = F.regexp_replace(text, rf"\G((?:{QUOTED}|[^'\",]|,(?!\s*[\]}}]))*+),(?=\s*[\]}}])", "$1")
     kind = T.ArrayType(element)
     return F.coalesce(F.from_json(text, kind), F.array().cast(kind))

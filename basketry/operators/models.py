@@ -14,11 +14,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from basketry.operators.metrics import class_weights
+from basketry.operators.order_stats import spread_rank
 from basketry.operators.segmentation import (
     VIP_FEATURES,
     label_segments_5,
@@ -163,9 +163,10 @@ def coef_importance(model: PipelineModel, params: ModelParams = ModelParams(), t
     return table.orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
 
 
-def _sample(df: DataFrame, rows: int, seed: int, keys: Sequence[str]) -> DataFrame:
-    """A repeatable random sample: the rows with the lowest hash of their key."""
-    return df.withColumn("_h", F.xxhash64(F.lit(seed), *keys)).orderBy("_h", *keys).limit(rows)
+def _sample(df: DataFrame, rows: int | None, seed: int, keys: Sequence[str]) -> DataFrame:
+    """A repeatable random sample: the rows with the lowest hash of their key; all without a number."""
+    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
+    return hashed if rows is None else hashed.orderBy("_h", *keys).limit(rows)
 
 
 def permutation_importance(
@@ -176,20 +177,20 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of accuracy when one feature is shuffled, averaged over the repeats.
 
-    Works on a sample, as the operator is defined; all shuffled copies are scored in
-    one pass.
+    Works on every row, or on a sample of ``permutation_rows``; all shuffled copies are
+    scored in one pass. Row numbers and shuffled orders are ranks spread over hash buckets,
+    so no task orders a whole copy.
     """
     features = list(params.features)
     sample = _sample(df.select(*keys, *features, params.target), params.permutation_rows, params.seed, keys)
-    # The sample bounds the rows of both windows.
-    numbered = sample.withColumn("_row", F.row_number().over(W.orderBy("_h", *keys))).drop("_h")
+    stored = materialise(sample.drop("_h"), "permutation")
+    total = stored.count()
+    numbered = materialise(spread_rank(stored, [], F.xxhash64(F.lit(params.seed), *keys), total, "_row"), "permutation")
     copies = numbered.withColumn(
         "_feature", F.explode(F.array(*[F.lit(f) for f in features]))
     ).withColumn("_repeat", F.explode(F.sequence(F.lit(1), F.lit(params.permutation_repeats))))
     order = F.xxhash64(F.lit(params.seed), "_feature", "_repeat", "_row")
-    shuffled = copies.withColumn(
-        "_other", F.row_number().over(W.partitionBy("_feature", "_repeat").orderBy(order, "_row"))
-    )
+    shuffled = spread_rank(copies, ["_feature", "_repeat"], order, total, "_other")
     others = numbered.select(F.col("_row").alias("_other"), F.struct(*features).alias("_theirs"))
     replaced = shuffled.join(others, "_other").withColumns(
         {
@@ -239,13 +240,25 @@ def _silhouette(clustered: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(clustered)
 
 
-def _kmeans(k: int, seed: int) -> KMeans:
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
+# Enough for a fit to end by convergence.
+KMEANS_ITERATIONS = 300
+KMEANS_TOLERANCE = 1e-4
+
+
+def _kmeans(k: int, seed: int, max_iter: int = KMEANS_ITERATIONS, tol: float = KMEANS_TOLERANCE) -> KMeans:
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
 
 
-def _fit_all(vectors: DataFrame, settings: Sequence[tuple[int, int]], judge, threads: int = 4) -> list:
+def _fit_all(
+    vectors: DataFrame,
+    settings: Sequence[tuple[int, int]],
+    judge,
+    max_iter: int = KMEANS_ITERATIONS,
+    tol: float = KMEANS_TOLERANCE,
+    threads: int = 4,
+) -> list:
     """``judge(k, model)`` for every (k, seed), a few fits at a time over one cached table."""
-    estimator = _kmeans(2, 0)
+    estimator = _kmeans(2, 0, max_iter, tol)
     maps = [{estimator.k: k, estimator.seed: seed} for k, seed in settings]
     fits = estimator.fitMultiple(vectors, maps)
 
@@ -258,14 +271,21 @@ def _fit_all(vectors: DataFrame, settings: Sequence[tuple[int, int]], judge, thr
     return [result for _, result in sorted(done, key=lambda pair: pair[0])]
 
 
-def elbow_scan(matrix: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
+def elbow_scan(
+    matrix: DataFrame,
+    columns: Sequence[str],
+    ks: Sequence[int],
+    seed: int = 42,
+    max_iter: int = KMEANS_ITERATIONS,
+    tol: float = KMEANS_TOLERANCE,
+) -> DataFrame:
     """Inertia and silhouette per number of clusters, over all rows."""
     vectors = _vectors(matrix, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
     def judge(k, model):
         return k, float(model.summary.trainingCost), float(_silhouette(model.transform(vectors)))
 
-    rows = _fit_all(vectors, [(k, seed) for k in ks], judge)
+    rows = _fit_all(vectors, [(k, seed) for k in ks], judge, max_iter, tol)
     vectors.unpersist()
     return matrix.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -275,7 +295,7 @@ def choose_k(matrix: DataFrame, columns: Sequence[str], params: SegmentParams) -
     k_max = min(params.k_max, matrix.count() - 1)
     if params.k_min >= k_max:
         return params.k_min
-    scan = elbow_scan(matrix, columns, range(params.k_min, k_max + 1), params.seed)
+    scan = elbow_scan(matrix, columns, range(params.k_min, k_max + 1), params.seed, params.max_iter, params.tol)
     return scan.orderBy(F.desc("silhouette"), F.asc("k")).first()["k"]
 
 
@@ -287,10 +307,11 @@ def kmeans_segments(features: DataFrame, params: SegmentParams = SegmentParams()
     """
     columns = [c + "_z" for c in params.features]
     matrix = prepare_cluster_matrix(materialise(features, "segment-features"), params.features)
-    k = params.n_clusters or choose_k(matrix, columns, params)
+    given = params.n_clusters is not None and params.n_clusters > 0
+    k = params.n_clusters if given else choose_k(matrix, columns, params)
     vectors = _vectors(matrix, columns)
     training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    clustered = _kmeans(k, params.seed).fit(training).transform(vectors)
+    clustered = _kmeans(k, params.seed, params.max_iter, params.tol).fit(training).transform(vectors)
     training.unpersist()
     return label_segments_5(clustered.drop("features", *columns))
 
@@ -301,7 +322,7 @@ def kmeans_vip(features: DataFrame, params: VipParams = VipParams()) -> DataFram
     vectors = _vectors(standardise(materialise(features, "vip-features"), VIP_FEATURES, "_z"), columns)
     training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     seeds = [(params.n_clusters, params.seed + i) for i in range(params.restarts)]
-    fits = _fit_all(training, seeds, lambda _, model: (model.summary.trainingCost, model))
+    fits = _fit_all(training, seeds, lambda _, model: (model.summary.trainingCost, model), params.max_iter, params.tol)
     training.unpersist()
     best = min(fits, key=lambda fit: fit[0])[1]
     clustered = best.transform(vectors).withColumnRenamed("cluster", "cluster_id")

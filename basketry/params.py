@@ -75,8 +75,9 @@ class ModelParams:
     calibration: str = "sigmoid"
     bins: int = 10
     threshold: float = 0.5
-    shap_rows: int = 1000
-    permutation_rows: int = 5000
+    # None: every row; a number samples, as a quick look may do.
+    shap_rows: int | None = None
+    permutation_rows: int | None = None
     permutation_repeats: int = 10
 
 
@@ -100,6 +101,8 @@ class SegmentParams:
     k_max: int = 7
     features: tuple[str, ...] = ("tickets_per_month", "ticket_median", "months_active_ratio")
     seed: int = 42
+    max_iter: int = 300
+    tol: float = 1e-4
 
 
 @dataclass(frozen=True)
@@ -108,6 +111,8 @@ class VipParams:
     n_clusters: int = 4
     restarts: int = 10
     seed: int = 42
+    max_iter: int = 300
+    tol: float = 1e-4
 
 
 @dataclass(frozen=True)

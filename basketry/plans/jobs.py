@@ -13,15 +13,18 @@ from datetime import date
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.functions.dates import days_cutoff
+from basketry.functions.text import parse_literal_list, strip
 from basketry.operators import models
 from basketry.operators.calendar import calendar_features
 from basketry.operators.clean import (
     clean_new_sales,
     explode_details,
     explode_details_strict,
+    filter_positive_ticket,
     filter_vip_weeks,
     incremental_sync,
     iso_week_key,
@@ -73,6 +76,7 @@ from basketry.session import materialise
 from basketry.sources.readers import (
     empty_table,
     load_calendar,
+    load_contacts,
     load_predictions_csv,
     load_recs_optional,
     or_none,
@@ -207,10 +211,11 @@ def job_evaluate(
 
     target, at = params.target, params.threshold
     judged = {}
-    for model, prob in (("base", "base_prob"), ("cal", "cal_prob")):
+    # The base model is reported by its own decision, which is always at one half.
+    for model, prob, cut in (("base", "base_prob", 0.5), ("cal", "cal_prob", at)):
         one = binary_metrics(scored, target, prob, at)
         judged[model] = one.select(F.struct(*one.columns)).scalar()
-        sink_metrics(classification_report(scored, target, prob, at), f"{report_path}/report_{model}")
+        sink_metrics(classification_report(scored, target, prob, cut), f"{report_path}/report_{model}")
         sink_metrics(calibration_curve(scored, target, prob, params.bins), f"{report_path}/bins_{model}")
     names = {"roc_auc": "roc_auc", "brier": "brier", "precision": f"precision@{at}", "recall": f"recall@{at}", "f05": f"f0.5@{at}"}
     both = spark.range(1).select(*[m.alias(f"_{k}") for k, m in judged.items()])
@@ -271,11 +276,16 @@ def job_backtest(
 def vip_plan(
     raw: DataFrame, catalog: DataFrame | None, params: VipParams = VipParams()
 ) -> DataFrame:
-    """Raw months to the lines of clients active in enough weeks."""
+    """Raw months to the lines of clients active in enough weeks.
+
+    The ticket lines may still be the text of a list, as older exports have them.
+    """
+    if isinstance(raw.schema["invoice_details"].dataType, T.StringType):
+        raw = raw.withColumn("invoice_details", parse_literal_list("invoice_details"))
     lines = normalise_sales(explode_details_strict(raw)).drop("id_client")
     if catalog is not None:
         lines = lines.join(catalog, "product", "left")
-    vip = rename_vip(lines.withColumn("identification_doct", F.trim("identification_doct")))
+    vip = rename_vip(lines.withColumn("identification_doct", strip("identification_doct")))
     return filter_vip_weeks(iso_week_key(vip), params.min_weeks)
 
 
@@ -293,7 +303,7 @@ def job_segment_vip(
     output_path: str,
     params: VipParams = VipParams(),
 ) -> None:
-    lines = validate_client_ids(vip, "user_id")
+    lines = filter_positive_ticket(validate_client_ids(vip, "user_id"))
     segments = models.kmeans_vip(vip_features(lines), params)
     sink_parquet(export_vip(segments, main_point_of_sale(lines), contacts), output_path)
 
@@ -355,8 +365,10 @@ def job_predict(
     calendar = load_calendar(spark, calendar_path)
     days = calendar.where(F.col("date").isin([F.lit(d) for d in dates]))
     scored = models.score(PipelineModel.load(calibrated_path), days)
+    sales = sales.withColumn("product", strip(F.col("product").cast("string")))
     history = recs_recent_history(sales, catalog, filter_prob(scored, threshold).select("client"), recs)
-    out = campaign(scored, contacts, history, dates, threshold)
+    # One call per client, however many contact records there are.
+    out = campaign(scored, load_contacts(contacts), history, dates, threshold)
     sink_csv(out, output_path, [F.asc("date"), F.desc("prob")])
 
 

@@ -1,6 +1,6 @@
 """Checked queries: every operator run on the shared test tables, with its SQL twin."""
 
-from importlib import import_module, util
+from importlib import import_module
 
 MODULES = ("q_sources", "q_clean", "q_patterns", "q_recommend", "q_segments", "q_model")
 
@@ -8,5 +8,4 @@ MODULES = ("q_sources", "q_clean", "q_patterns", "q_recommend", "q_segments", "q
 def load_all() -> None:
     """Import the query modules, which register their queries."""
     for name in MODULES:
-        if util.find_spec(f"workload.{name}"):
-            import_module(f"workload.{name}")
+        import_module(f"workload.{name}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from basketry import materialise, work_dir
 from basketry.operators import behaviour, models, recommend, segmentation
 from basketry.params import SegmentParams, VipParams
+from basketry.schemas import CONTACT_COLUMNS
 from basketry.plans import jobs
 from basketry.sources.readers import load_contacts
 from workload.fixtures import FX_EXCLUDED, FX_YEAR
@@ -14,8 +15,14 @@ from workload.oracle_views import oracle
 from workload.registry import joined, query, rnd, rounded
 
 VIP = segmentation.VIP_FEATURES
-VIP_NAMES = """CASE segment WHEN 'reposicion' THEN 'Reposición' WHEN 'intermedio' THEN 'Mercado Intermedio'
-  WHEN 'masa_critica' THEN 'Masa Crítica' ELSE 'Ballenas' END"""
+
+
+def _case(column: str, texts: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in texts.items()) + " END"
+
+
+VIP_NAMES = _case("segment", {k: v[1] for k, v in segmentation.VIP_SEGMENTS.items()})
+VIP_TEXTS = _case("segment", {k: v[2] for k, v in segmentation.VIP_SEGMENTS.items()})
 
 
 # --- VIP features and export -------------------------------------------------------------
@@ -65,7 +72,8 @@ def _contacts_left(fx):
 
 @query(
     "export_vip",
-    oracle(f"""SELECT v.user_id, v.cluster_id, {VIP_NAMES} AS cluster_nombre, s.id_point_sale, c.name, c.country
+    oracle(f"""SELECT v.user_id, v.cluster_id, {VIP_NAMES} AS cluster_nombre,
+                 {VIP_TEXTS} AS cluster_descripcion, s.id_point_sale, c.name, c.country
                FROM vip_cl v JOIN vip_names USING (cluster_id)
                LEFT JOIN (SELECT user_id, id_point_sale FROM (
                   SELECT user_id, id_point_sale, row_number() OVER
@@ -76,17 +84,20 @@ def _contacts_left(fx):
 def _export(fx):
     contacts = load_contacts(fx.contacts.withColumnRenamed("client", "document"), "user_id")
     out = segmentation.export_vip(fx.vip_named, segmentation.main_point_of_sale(fx.vip_lines), contacts)
-    return out.drop("cluster_descripcion")
+    return out
 
 
 @query(
     "export_vip_no_contact",
-    oracle("""SELECT user_id, cluster_id, NULL::VARCHAR AS name, NULL::VARCHAR AS email, NULL::VARCHAR AS gender
-              FROM vip_cl"""),
+    oracle(f"""SELECT v.user_id, v.cluster_id, {VIP_NAMES} AS cluster_nombre, {VIP_TEXTS} AS cluster_descripcion,
+                 s.id_point_sale, {", ".join(f"NULL::VARCHAR AS {c}" for c in CONTACT_COLUMNS)}
+               FROM vip_cl v JOIN vip_names USING (cluster_id) LEFT JOIN (SELECT user_id, id_point_sale FROM (
+                  SELECT user_id, id_point_sale, row_number() OVER
+                    (PARTITION BY user_id ORDER BY count(*) DESC, id_point_sale) AS r
+                  FROM fx_vip_lines GROUP BY 1, 2) WHERE r = 1) s USING (user_id)"""),
 )
 def _export_plain(fx):
-    out = segmentation.export_vip(fx.vip_named, segmentation.main_point_of_sale(fx.vip_lines))
-    return out.select("user_id", "cluster_id", "name", "email", "gender")
+    return segmentation.export_vip(fx.vip_named, segmentation.main_point_of_sale(fx.vip_lines))
 
 
 # --- names ---------------------------------------------------------------------------------
@@ -130,18 +141,16 @@ n AS (SELECT cluster FROM m3 ORDER BY t, cluster LIMIT 1)
 """
 
 
-def _profile_oracle(k: int, body: str) -> str:
+def _profile_oracle(k: int, body: str, *more: str) -> str:
     views = _profiles_sql(k).strip().removeprefix("WITH RECURSIVE none AS (SELECT 1), ")
-    base = oracle("SELECT 1 FROM segment_features")
+    base = oracle("SELECT 1 FROM segment_features" + "".join(f" JOIN {name} ON true" for name in more))
     return base[: base.rindex("\nSELECT 1")] + ",\n" + views + body
 
 
 SEGMENT = """CASE WHEN cluster IN (SELECT cluster FROM e) THEN 'esporadico'
   WHEN cluster IN (SELECT cluster FROM b) THEN 'ballena' WHEN cluster IN (SELECT cluster FROM h) THEN 'hormiga'
   WHEN cluster IN (SELECT cluster FROM n) THEN 'mensual' ELSE 'cotidiano' END"""
-LABEL = """CASE segment WHEN 'esporadico' THEN 'Esporádico' WHEN 'ballena' THEN 'Ballena (mini-mercado)'
-  WHEN 'hormiga' THEN 'Hormiga (frecuente, bajo monto)' WHEN 'mensual' THEN 'Mensual'
-  ELSE 'Cotidiano (familia)' END"""
+LABEL = _case("segment", segmentation.SEGMENT_LABELS)
 LABELLED = f"SELECT id_client, cluster, segment, {LABEL} AS segment_label FROM (SELECT *, {SEGMENT} AS segment FROM f)"
 
 
@@ -210,15 +219,15 @@ def _topn_cluster(fx):
 
 @query(
     "recs_by_cluster",
-    oracle("""SELECT p.id_client AS client, p.cluster AS purchase_pattern_cluster,
+    _profile_oracle(5, f"""SELECT p.id_client AS client, p.cluster AS purchase_pattern_cluster, p.segment, p.segment_label,
                 array_to_string(coalesce(r.recommended_products, []), ' | ') AS recommended_products
-              FROM profiles p LEFT JOIN (
+              FROM ({LABELLED}) p LEFT JOIN (
                 SELECT cluster, list(description ORDER BY rank) AS recommended_products FROM cluster_top GROUP BY 1) r
-                ON r.cluster = p.cluster"""),
+                ON r.cluster = p.cluster""", "cluster_top"),
 )
 def _recs_cluster(fx):
     out = recommend.recs_by_cluster(fx.valid, assignments(fx), fx.catalog, FX_EXCLUDED)
-    return joined(out.drop("segment", "segment_label"))
+    return joined(out)
 
 
 # --- behaviour ------------------------------------------------------------------------------
@@ -335,18 +344,18 @@ def _cutback(fx):
 
 @query(
     "full_outer_fill0",
-    oracle("""SELECT coalesce(a.product_name, b.product_name) AS product_name, coalesce(a.u, 0) AS units_p1,
-                coalesce(b.u, 0) AS units_p2
-              FROM (SELECT product_name, sum(amount) AS u FROM lines_year WHERE date_sale < DATE '1997-01-04' GROUP BY 1) a
-              FULL JOIN (SELECT product_name, sum(amount) AS u FROM lines_year WHERE date_sale >= DATE '1997-12-29' GROUP BY 1) b
-                ON a.product_name = b.product_name"""),
+    oracle("""SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.product_name, b.product_name) AS product_name,
+                coalesce(a.u, 0) AS units_p1, coalesce(b.u, 0) AS units_p2
+              FROM (SELECT user_id, product_name, sum(amount) AS u FROM lines_year WHERE month(date_sale) <= 7 GROUP BY 1, 2) a
+              FULL JOIN (SELECT user_id, product_name, sum(amount) AS u FROM lines_year WHERE month(date_sale) > 7 GROUP BY 1, 2) b
+                ON a.user_id = b.user_id AND a.product_name = b.product_name"""),
 )
 def _outer_fill(fx):
     year = in_year(fx.lines_cl)
-    first = year.where(F.col("date_sale") < F.lit("1997-01-04").cast("date"))
-    last = year.where(F.col("date_sale") >= F.lit("1997-12-29").cast("date"))
-    units = [d.groupBy("product_name").agg(F.sum("amount").alias(n)) for d, n in ((first, "units_p1"), (last, "units_p2"))]
-    return behaviour.full_outer_fill0(*units, ["product_name"])
+    keys = ["user_id", "product_name"]
+    first, last = year.where(F.month("date_sale") <= 7), year.where(F.month("date_sale") > 7)
+    units = [d.groupBy(*keys).agg(F.sum("amount").alias(n)) for d, n in ((first, "units_p1"), (last, "units_p2"))]
+    return behaviour.full_outer_fill0(*units, keys)
 
 
 STATS = {
@@ -384,32 +393,72 @@ def _histogram(fx):
 # --- K-Means -------------------------------------------------------------------------------
 
 
-@query("kmeans_segments")
+def _settled(clustered, matrix, key: str, columns, cluster: str):
+    """Clients, clusters, and clients that are nearer to another cluster's mean than to
+    their own, of which a converged fit has none but for the last move's tolerance."""
+    points = clustered.select(key, cluster).join(matrix.select(key, *columns), key)
+    means = points.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in columns])
+    # One row per cluster.
+    centres = means.agg(F.collect_list(F.struct(cluster, *columns))).scalar()
+
+    def distance(x):
+        return sum(((x[c] - F.col(c)) * (x[c] - F.col(c)) for c in columns), F.lit(0.0))
+
+    nearest = F.array_min(F.transform(F.col("_centres"), distance))
+    own = F.array_min(
+        F.transform(F.filter(F.col("_centres"), lambda x: x[cluster] == F.col(cluster)), distance)
+    )
+    return points.withColumn("_centres", centres).agg(
+        F.count(F.lit(1)).alias("clients"), F.count_distinct(cluster).alias("clusters"),
+        F.count_if(own > nearest * (1 + 1e-9)).alias("misplaced"),
+    )
+
+
+@query("kmeans_segments", oracle("SELECT count(*) AS clients, cast(5 AS BIGINT) AS clusters, cast(0 AS BIGINT) AS misplaced FROM segment_features"))
 def _kmeans(fx):
-    return models.kmeans_segments(fx.segment_features)
+    params = SegmentParams(tol=0.0)
+    stored = fx.stored_features
+    matrix = segmentation.prepare_cluster_matrix(stored, params.features)
+    columns = [c + "_z" for c in params.features]
+    return _settled(models.kmeans_segments(stored, params), matrix, "id_client", columns, "cluster")
 
 
-@query("choose_k")
+@query(
+    "choose_k",
+    oracle("SELECT count(*) AS clients, true AS best FROM segment_features"),
+)
 def _choose_k(fx):
-    params = SegmentParams()
+    """The chosen number against a scan of all allowed ones."""
+    params = SegmentParams(n_clusters=0)
     columns = [c + "_z" for c in params.features]
-    stored = fx.stored_features
-    matrix = segmentation.prepare_cluster_matrix(stored, params.features)
-    return models.elbow_scan(matrix, columns, range(params.k_min, params.k_max + 1)).orderBy(
-        F.desc("silhouette"), F.asc("k")
-    ).limit(1)
+    matrix = materialise(segmentation.prepare_cluster_matrix(fx.stored_features, params.features), "matrix")
+    chosen = models.choose_k(matrix, columns, params)
+    scan = models.elbow_scan(matrix, columns, range(params.k_min, params.k_max + 1), params.seed)
+    best = scan.agg(F.max_by("k", "silhouette")).scalar()
+    return matrix.agg(F.count(F.lit(1)).alias("clients")).withColumn("best", best == F.lit(chosen))
 
 
-@query("elbow_scan")
+@query(
+    "elbow_scan",
+    oracle("""SELECT cast(k AS INTEGER) AS k, (SELECT count(*) FROM vip) AS clients, true AS below_total
+              FROM (SELECT unnest(range(2, 10)) AS k)"""),
+)
 def _elbow(fx):
+    """Standardised features have a total cost of clients times features."""
     columns = [c + "_z" for c in VIP]
-    matrix = segmentation.standardise(materialise(fx.vip, "features"), VIP, "_z")
-    return models.elbow_scan(matrix, columns, range(2, 10))
+    matrix = materialise(segmentation.standardise(materialise(fx.vip, "features"), VIP, "_z"), "matrix")
+    clients = matrix.agg(F.count(F.lit(1))).scalar()
+    scan = models.elbow_scan(matrix, columns, range(2, 10))
+    below = (F.col("inertia") < F.col("clients") * len(columns)) & F.col("silhouette").between(-1, 1)
+    return scan.withColumn("clients", clients).select("k", "clients", below.alias("below_total"))
 
 
-@query("kmeans_vip")
+@query("kmeans_vip", oracle("SELECT count(*) AS clients, cast(4 AS BIGINT) AS clusters, cast(0 AS BIGINT) AS misplaced FROM vip"))
 def _kmeans_vip(fx):
-    return models.kmeans_vip(fx.vip)
+    stored = materialise(fx.vip, "features")
+    matrix = segmentation.standardise(stored, VIP, "_z")
+    columns = [c + "_z" for c in VIP]
+    return _settled(models.kmeans_vip(stored, VipParams(tol=0.0)), matrix, "user_id", columns, "cluster_id")
 
 
 # --- jobs ----------------------------------------------------------------------------------
@@ -434,17 +483,30 @@ def _job_vip(fx):
     return fx.spark.read.parquet(path).select("tiket_id", "user_id", "periodo_unico", "amount")
 
 
-@query("job_segment_vip")
+@query(
+    "job_segment_vip",
+    oracle(f"""SELECT user_id, id_point_sale, {", ".join(f"NULL::VARCHAR AS {c}" for c in CONTACT_COLUMNS)} FROM (
+                 SELECT user_id, id_point_sale, row_number() OVER
+                   (PARTITION BY user_id ORDER BY count(*) DESC, id_point_sale) AS r
+                 FROM fx_vip_lines WHERE tiket_price > 50000 GROUP BY 1, 2) WHERE r = 1"""),
+)
 def _job_segment_vip(fx):
+    """Cheaper tickets enter with a negative total and must not count."""
     path = work_dir(fx.spark, "vip-segments")
-    jobs.job_segment_vip(fx.spark, fx.vip_lines, None, path)
-    return fx.spark.read.parquet(path)
+    price = F.when(F.col("tiket_price") > 50000, F.col("tiket_price")).otherwise(-F.col("tiket_price"))
+    jobs.job_segment_vip(fx.spark, fx.vip_lines.withColumn("tiket_price", price), None, path)
+    return fx.spark.read.parquet(path).drop("cluster_id", "cluster_nombre", "cluster_descripcion")
 
 
-@query("job_segment_recs")
+@query(
+    "job_segment_recs",
+    oracle("""SELECT DISTINCT id_client AS client FROM valid
+              WHERE date_sale >= (SELECT max(date_sale) FROM valid) - 30"""),
+)
 def _job_segment_recs(fx):
+    """Every client of the last month gets a row."""
     base = work_dir(fx.spark, "segment-recs")
     jobs.job_segment_recs(fx.spark, fx.sales, fx.catalog, f"{base}/clusters", f"{base}/recs", excluded=FX_EXCLUDED)
-    return joined(fx.spark.read.parquet(f"{base}/recs"))
+    return fx.spark.read.parquet(f"{base}/recs").select("client")
 
 

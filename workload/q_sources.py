@@ -11,6 +11,11 @@ from workload.oracle_views import oracle
 from workload.registry import joined, query, rnd, rounded
 
 
+CALENDAR_FRACTIONS = (
+    "qty_tot", "amount_tot", "avg_amount_7d", "avg_amount_30d", "avg_skus_7d", "avg_skus_30d",
+)
+
+
 def _catalog_csv(fx) -> str:
     """A catalogue file whose every code also occurs padded, with another description."""
     path = work_dir(fx.spark, "catalog")
@@ -30,11 +35,10 @@ def _catalog_csv(fx) -> str:
 
 @query(
     "scan_parquet",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "SELECT * FROM orders",
 )
 def _scan_parquet(fx):
-    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
-    return fx.spark.read.schema(schema).parquet(f"{fx.folder}/orders.parquet")
+    return readers.scan_parquet(fx.spark, f"{fx.folder}/orders.parquet")
 
 
 @query(
@@ -63,15 +67,13 @@ def _load_catalog_wide(fx):
 
 @query(
     "load_calendar",
-    oracle(f"""SELECT client, date, purchased, days_since_last, cnt_7d, {rnd('avg_amount_30d')} AS avg_amount_30d
-               FROM calendar"""),
+    oracle(f"""SELECT * REPLACE ({", ".join(f"{rnd(c)} AS {c}" for c in CALENDAR_FRACTIONS)}) FROM calendar"""),
 )
 def _load_calendar(fx):
     path = work_dir(fx.spark, "calendar")
     stored = fx.calendar.withColumn("date", F.col("date").cast("timestamp"))
     writers.sink_parquet(stored.withColumn("client", F.col("client").cast("long")), path)
-    columns = ("client", "date", "purchased", "days_since_last", "cnt_7d", "avg_amount_30d")
-    return rounded(readers.load_calendar(fx.spark, path).select(*columns))
+    return rounded(readers.load_calendar(fx.spark, path))
 
 
 @query(
