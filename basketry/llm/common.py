@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from basketry.operators.order_stats import spread_rank as distributed_rank
 from basketry.session import materialise, work_dir
 
 __all__ = [
@@ -61,34 +61,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def distributed_rank(df: DataFrame, key: Sequence[str], order: Column, rows: int, name: str = "_rank",
-                     per_bucket: int = 50_000) -> DataFrame:
-    """Add the 0-based rank of each row within its key, without one task per key.
-
-    ``order`` is a row's own hash (unique enough; ties broken arbitrarily but once). Rows
-    are dealt into buckets of the hash range; bucket totals, of which there are few, give
-    the offsets, and only rows of one bucket are numbered together. ``rows`` is the number
-    of rows of ``df``, which sets the number of buckets. ``df`` must be stored, as it is
-    read twice.
-    """
-    buckets = max(1, -(-rows // per_bucket))
-    hashed = df.withColumn("_order", order).withColumn("_bucket", F.pmod(F.col("_order"), F.lit(buckets)))
-    sizes = hashed.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*key, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*key, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*key, "_bucket").orderBy("_order")
-    numbered = hashed.withColumn("_inside", F.row_number().over(inside) - 1)
-    named = offsets.withColumnsRenamed({"_bucket": "_bucket2"} | {k: f"_key_{k}" for k in key})
-    same = F.col("_bucket") == F.col("_bucket2")
-    for k in key:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return (
-        numbered.join(named, same)
-        .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long"))
-        .select(*df.columns, name)
-    )
-
-
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (``a``, ``b``, both long): rows (``node``, ``root``).
 
