@@ -85,12 +85,12 @@ def item_cosine(counts: DataFrame) -> DataFrame:
 def score_items(counts: DataFrame, sim: DataFrame) -> DataFrame:
     """Score of every product a client has not bought: sum of similarity x count.
 
-    A product bought by very many clients is salted. The products already bought ride
+    A product whose buyers times neighbours are very many is salted. The products already bought ride
     through the same aggregation as marker rows, which replaces an anti join of the
     large score table.
     """
     bought = counts.select("client", F.col("product").alias("product_i"), "cnt")
-    hot = hot_keys(bought, "product_i")
+    hot = hot_keys(bought, "product_i", partners=sim)
     gains = (
         spread(bought, hot, "product_i", ["client"])
         .join(replicate(sim, hot, "product_i"), ["product_i", "_salt"])

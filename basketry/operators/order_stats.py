@@ -20,8 +20,6 @@ LOG_BUCKETS = 2048
 
 # A key is hot when it holds more distinct values than one aggregation buffer should.
 HOT_VALUES = 1_000_000
-# Most hot keys there can be, hence the size of the side that is broadcast.
-MAX_HOT_KEYS = 100_000
 
 # Pieces per level when an order range is cut for running totals.
 PIECES = 1024
@@ -29,10 +27,12 @@ PIECES = 1024
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per key with their row count; null values are left out."""
+    # Nulls are dropped after the aggregation: a filter on the value would slip below
+    # whatever made the rows, and keep an exchange there from being used twice.
     return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .agg(F.count(value).alias("_n"))
+        .where(F.col("_n") > 0)
     )
 
 
@@ -50,7 +50,7 @@ def few_group_percentiles(
 
 
 def _select_ranks(
-    counts: DataFrame, probabilities: dict[str, float], keys: Sequence[str]
+    counts: DataFrame, probabilities: dict[str, float], keys: Sequence[str], few: bool = True
 ) -> DataFrame:
     v = F.col("_v")
     # Never decreasing in the value, so buckets are ordered like the values.
@@ -79,7 +79,7 @@ def _select_ranks(
     )
     upto_value = F.col("_before") + F.sum("_n").over(W.partitionBy(*group, "_b").orderBy("_v"))
     picked = (
-        pool.join(F.broadcast(wanted), [*group, "_b"])
+        pool.join(F.broadcast(wanted) if few else wanted, [*group, "_b"])
         .withColumn("_to", upto_value)
         .select(*group, "_total", "_v", "_n", "_to", F.explode("_ranks").alias("_rank"))
         .where((F.col("_rank") < F.col("_to")) & (F.col("_rank") >= F.col("_to") - F.col("_n")))
@@ -96,8 +96,10 @@ def _interpolate(p: float) -> Column:
     def at(rank: Column) -> Column:
         return F.max(F.when(F.col("_rank") == rank.cast("long"), F.col("_v")))
 
+    # The formula of the built-in percentile, so that both ways agree to the last digit.
     low, high = at(F.floor(position)), at(F.ceil(position))
-    return low + (high - low) * F.max(position - F.floor(position))
+    weighted = F.max(F.ceil(position) - position) * low + F.max(position - F.floor(position)) * high
+    return F.when(low == high, low).otherwise(weighted)
 
 
 def percentiles_by_key(
@@ -109,22 +111,20 @@ def percentiles_by_key(
 ) -> DataFrame:
     """Exact percentiles of many groups of which some may be huge.
 
-    Groups up to ``hot_values`` distinct values use one built-in aggregation. The
-    largest ones above that, ``MAX_HOT_KEYS`` at most, go through the histogram of
-    :func:`few_group_percentiles`; no other group can then hold more than one in
-    ``MAX_HOT_KEYS`` of all values.
+    Groups up to ``hot_values`` distinct values use one built-in aggregation; all larger
+    ones go through the histogram of :func:`few_group_percentiles`. Whether the list of
+    those is broadcast is left to its measured size.
     """
     keys = list(keys)
     counts = value_counts(df, keys, value)
     sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-    largest = sizes.where(F.col("_d") > hot_values).orderBy(F.desc("_d"), *keys).limit(MAX_HOT_KEYS)
-    hot = F.broadcast(largest.select(*keys))
+    hot = sizes.where(F.col("_d") > hot_values).select(*keys)
     usual = (
         counts.join(hot, keys, "left_anti")
         .groupBy(*keys)
         .agg(*[F.percentile("_v", F.lit(p), F.col("_n")).alias(n) for n, p in probabilities.items()])
     )
-    large = _select_ranks(counts.join(hot, keys, "left_semi"), probabilities, keys)
+    large = _select_ranks(counts.join(hot, keys, "left_semi"), probabilities, keys, few=False)
     return usual.unionByName(large)
 
 

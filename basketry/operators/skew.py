@@ -12,28 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SALT = 100_000
-# Most keys that are ever salted, hence the size of the broadcast side. Any other key
-# holds less than one in this many of all rows.
-MAX_HOT_KEYS = 10_000
+# Output rows of one key that one task should make.
+ROWS_PER_SALT = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys with more rows than one task should take, with their number of salts."""
+def hot_keys(
+    df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT, partners: DataFrame | None = None
+) -> DataFrame:
+    """Keys whose join makes more rows than one task should, with their number of salts.
+
+    A key makes its rows times its rows in ``partners``, or just its rows without that
+    table. There is no limit on the number of such keys: each stands for more than
+    ``rows_per_salt`` rows, so the table is small next to the join, and whether it is
+    broadcast is left to its measured size.
+    """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.where(F.col("_rows") > rows_per_salt).orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
-    return largest.select(key, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
+    weight = F.col("_rows")
+    if partners is not None:
+        sizes = sizes.join(partners.groupBy(key).agg(F.count(F.lit(1)).alias("_partners")), key)
+        weight = weight * F.col("_partners")
+    # More salts than rows would only repeat the partners.
+    salts = F.least(F.ceil(weight / rows_per_salt), F.col("_rows")).cast("int")
+    return sizes.where(weight > rows_per_salt).select(key, salts.alias("_salts"))
 
 
 def spread(df: DataFrame, hot: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
     """Add ``_salt`` to the many-row side, derived from the columns ``by``."""
-    salted = df.join(F.broadcast(hot), key, "left")
+    salted = df.join(hot, key, "left")
     salt = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_salts")).cast("int"), F.lit(0))
     return salted.withColumn("_salt", salt).drop("_salts")
 
 
 def replicate(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat the other side once per salt of its key."""
-    salted = df.join(F.broadcast(hot), key, "left")
+    salted = df.join(hot, key, "left")
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
     return salted.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")

@@ -266,6 +266,8 @@ def job_backtest(
     days = calendar.where(F.col("date").between(first, last))
     likely = filter_prob(models.score(PipelineModel.load(calibrated_path), days), params.threshold)
     daily = backtest_daily(actual, likely, first, last)
+    # Stored once, so that the mean scores do not score the days again.
+    daily = materialise(daily, "backtest")
     sink_csv(daily, output_path, [F.col("fecha")])
     return backtest_average(daily)
 
@@ -321,7 +323,9 @@ def job_segment_recs(
 
     Without any such client an empty table of the right shape is written.
     """
-    recent = filter_recent_clients(normalise_sales(validate_client_ids(sales)), params.recent_months)
+    lines = filter_recent_clients(normalise_sales(validate_client_ids(sales)), params.recent_months)
+    # Stored once: the check for rows, the features and the recommendations all read it.
+    recent = materialise(lines, "recent")
     if recent.isEmpty():
         sink_parquet(empty_table(spark, schemas.CLUSTER_RECS), recs_path)
         return
@@ -364,7 +368,8 @@ def job_predict(
     threshold = params.threshold if threshold is None else threshold
     calendar = load_calendar(spark, calendar_path)
     days = calendar.where(F.col("date").isin([F.lit(d) for d in dates]))
-    scored = models.score(PipelineModel.load(calibrated_path), days)
+    # Stored once: the histories of likely clients and the campaign both read it.
+    scored = materialise(models.score(PipelineModel.load(calibrated_path), days), "scored-days")
     sales = sales.withColumn("product", strip(F.col("product").cast("string")))
     history = recs_recent_history(sales, catalog, filter_prob(scored, threshold).select("client"), recs)
     # One call per client, however many contact records there are.

@@ -59,7 +59,7 @@ def test_salting_spreads_the_hot_client(counts, monkeypatch):
 
 @pytest.mark.parametrize("rows_per_salt", [5, 10**6])
 def test_recommendations(counts, monkeypatch, rows_per_salt):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (rows_per_salt,))
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (rows_per_salt, None))
     cells, sim = brute_similarity()
     bought = defaultdict(dict)
     for (c, p), n in cells.items():

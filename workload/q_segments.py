@@ -338,7 +338,7 @@ def _decline_summary(fx):
                WHERE r <= 15"""),
 )
 def _cutback(fx):
-    declined = behaviour.declining_clients(fx.tickets_cl, year=FX_YEAR)
+    declined = materialise(behaviour.declining_clients(fx.tickets_cl, year=FX_YEAR), "declined")
     return rounded(behaviour.product_cutback(in_year(fx.lines_cl), declined))
 
 
