@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
@@ -43,13 +44,15 @@ from basketry.llm.common import materialise, own_names, tune
 LENGTH = 50
 ANCHOR = 24
 # Bytes of text handled together; positions within a piece take 20 bits.
-PIECE = 1 << 19
+PIECE = 1 << 16
 CHUNK = 2 << 20
 # Chunks that may hold an anchor before its windows go one by one.
 HOT = 1000
 # Bytes of text behind one bucket, of anchors and of strings: about 600,000 anchors, and at most
 # a few MB of distinct strings unless nearly all text repeats.
 BUCKET = 8 << 20
+# Symbols by which a backward extension lengthens a prefix: as many as fit a 64-bit word.
+STEP = 7
 LAST = np.iinfo(np.int64).max
 LOW20 = np.uint64((1 << 20) - 1)
 
@@ -87,10 +90,9 @@ def _piece_runs(data, a, b, starts, ends, first, length, anchor):
     if span > done:
         least = np.minimum(least[: n - length + 1], least[span - done : span - done + n - length + 1])
     at = (least & LOW20).astype(np.int64)
-    owner = np.searchsorted(ends, np.arange(a, a + len(at)), "right")
-    inside = np.arange(a, a + len(at)) + length <= ends[np.minimum(owner, len(ends) - 1)]
-    inside &= np.arange(a, a + len(at)) >= starts[np.minimum(owner, len(ends) - 1)]
-    window = np.flatnonzero(inside)
+    last = a + len(at)
+    owner = np.repeat(np.arange(len(ends)), np.clip(ends, a, last) - np.clip(starts, a, last))
+    window = np.flatnonzero(np.arange(a, last) + length <= ends[owner])
     if not len(window):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = at[window]
@@ -101,6 +103,26 @@ def _piece_runs(data, a, b, starts, ends, first, length, anchor):
     return owner[window[begin]] + first, window[begin] + a, counts, h[at[begin]]
 
 
+@dataclass
+class Strings:
+    """Distinct strings of a chunk, each with its bucket and smallest id, and all their places."""
+
+    texts: list[bytes]
+    bucket: np.ndarray
+    least: np.ndarray
+    start: np.ndarray
+    windows: np.ndarray
+    orders: np.ndarray
+    which: np.ndarray
+
+    def by_bucket(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each bucket with the indices of its strings."""
+        order = np.argsort(self.bucket, kind="stable")
+        values, begin = np.unique(self.bucket[order], return_index=True)
+        for value, members in zip(values.tolist(), np.split(order, begin[1:])):
+            yield value, members
+
+
 class Chunk:
     """Some consecutive documents of one block."""
 
@@ -122,27 +144,29 @@ class Chunk:
             values, place = np.unique(residue[runs], return_inverse=True)
             yield int(b), values, place, runs
 
-    def strings(self, flags: np.ndarray, buckets: int):
-        """Distinct strings of shared anchors by bucket: bytes -> [smallest id, occurrences]."""
-        out: dict[int, dict[bytes, list]] = {}
-        data = self.data.tobytes()
+    def strings(self, flags: np.ndarray, buckets: int) -> Strings:
+        """The strings of shared anchors; those of hot anchors one window each."""
         runs = np.flatnonzero(flags)
-        rows = zip(
-            flags[runs].tolist(), self.start[runs].tolist(), self.windows[runs].tolist(),
-            (self.hash[runs] % np.uint64(buckets)).tolist(), self.orders[self.doc[runs]].tolist(),
+        split = np.where(flags[runs] == 1, 1, self.windows[runs])
+        each = np.repeat(runs, split)
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(split) - split, split)
+        hot = flags[each] != 1
+        start = self.start[each] + nth
+        windows = np.where(hot, 1, self.windows[each])
+        orders = self.orders[self.doc[each]]
+        data, index = self.data.tobytes(), {}
+        which = np.fromiter(
+            (index.setdefault(data[a:b], len(index)) for a, b in zip(start.tolist(), (start + windows + LENGTH - 1).tolist())),
+            np.int64, len(each),
         )
-        for flag, start, count, bucket, order in rows:
-            if flag == 1:
-                pieces = ((bucket, start, count),)
-            else:
-                pieces = [(None, start + i, 1) for i in range(count)]
-            for own, at, n in pieces:
-                string = data[at : at + n + LENGTH - 1]
-                own = zlib.crc32(string) % buckets if own is None else own
-                entry = out.setdefault(own, {}).setdefault(string, [order, []])
-                entry[0] = min(entry[0], order)
-                entry[1].append((at, order))
-        return out
+        least = np.full(len(index), LAST)
+        np.minimum.at(least, which, orders)
+        texts = list(index)
+        bucket = np.zeros(len(index), np.int64)
+        bucket[which] = (self.hash[each] % np.uint64(buckets)).astype(np.int64)
+        for k in np.unique(which[hot]).tolist():
+            bucket[k] = zlib.crc32(texts[k]) % buckets
+        return Strings(texts, bucket, least, start, windows, orders, which)
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -272,9 +296,11 @@ def _ask_strings(folder: str, buckets: int, string_buckets: int):
         answers = Answers(folder)
         for chunk in chunks(batches):
             rows = []
-            for bucket, own in chunk.strings(_flags(chunk, answers, buckets), string_buckets).items():
+            found = chunk.strings(_flags(chunk, answers, buckets), string_buckets)
+            for bucket, members in found.by_bucket() if found.texts else ():
+                own = [found.texts[k] for k in members.tolist()]
                 sizes = np.fromiter(map(len, own), "<u2", len(own))
-                least = np.fromiter((e[0] for e in own.values()), np.int64, len(own))
+                least = found.least[members]
                 rows.append((bucket, chunk.block, chunk.seq, pack(b"".join(own)), pack(sizes.tobytes()), pack(least.tobytes())))
             if rows:
                 yield _batch(rows, ("i4", "i8", "i4", "b", "b", "b"), ["bucket", "block", "seq", "strings", "sizes", "least"])
@@ -282,39 +308,49 @@ def _ask_strings(folder: str, buckets: int, string_buckets: int):
     return run
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of ``symbols`` by the first ``depth`` symbols at least, and its inverse."""
+def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes in the order of their first ``depth`` symbols at least, and its inverse.
+
+    The third array marks the rows whose first ``STEP`` symbols differ from the row before.
+    """
     n = len(symbols)
-    key = np.zeros(n, np.uint64)
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(7, np.uint64)])
-    for i in range(7):
-        key = (key << np.uint64(9)) | padded[i : i + n]
-    done = 7
+    word = np.zeros(n, np.uint64)
+    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(STEP - 1, np.uint64)])
+    for i in range(STEP):
+        word = (word << np.uint64(9)) | padded[i : i + n]
+    key, done = word, STEP
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(n, np.int64)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if done >= depth or rank[order[-1]] == n - 1:
+        order = np.argsort(key)
+        ordered = key[order]
+        new = np.ones(n, np.int32)
+        new[0] = 0
+        new[1:] = ordered[1:] != ordered[:-1]
+        ranks = np.cumsum(new, dtype=np.int32)
+        if done >= depth or ranks[-1] == n - 1:
             break
-        after = np.zeros(n, np.int64)
-        after[: n - done] = rank[done:] + 1
-        key = (rank.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
+        rank = np.empty(n, np.int32)
+        rank[order] = ranks
+        key = rank.astype(np.uint64) << np.uint64(32)
+        key[: n - done] |= (rank[done:] + 1).astype(np.uint64)
         done *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    return order, place
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    words = word[order]
+    border = np.ones(n, bool)
+    border[1:] = words[1:] != words[:-1]
+    return order, place, border
 
 
 def equal_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of every window of ``length`` bytes: (index of the string, offset, class).
 
     The strings, each closed by a mark, form one text. ``border[i]`` says that rows i - 1 and i
-    of the sorted suffixes differ within the first l symbols. At level 1 that is the first
-    symbol; a row's first l symbols are its first symbol and the first l - 1 of the next
-    suffix, so level l follows from level l - 1 by one step along the transform, and only for
-    rows not yet parted. What is not parted at level ``length`` shares that many symbols.
+    of the sorted suffixes differ within the first l symbols. The search starts with the
+    intervals of equal first words of ``STEP`` symbols. A row's first l symbols are its first
+    word and the first l - STEP of the suffix behind that word, so a level follows from the
+    one before by a backward extension along the transform, and only for rows not yet parted.
+    The last step is shorter, so that the search ends at level ``length``; what is not parted
+    then shares that many symbols.
     """
     sizes = np.array([len(s) for s in strings], np.int64)
     begin = np.cumsum(np.concatenate(([0], sizes[:-1] + 1)))
@@ -323,22 +359,24 @@ def equal_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     body = np.ones(n, bool)
     body[begin + sizes] = False
     symbols[body] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    order, place = suffix_order(symbols, 2 * length)
-    first = symbols[order]
-    # Row of the suffix one symbol on: the step from a prefix to the one it extends.
-    onward = place[(order + 1) % n]
-    border = np.ones(n, bool)
-    border[1:] = first[1:] != first[:-1]
-    open_rows = np.flatnonzero(~border)
-    for _ in range(1, length):
-        if not len(open_rows):
-            break
-        group = np.cumsum(border)
-        parted = group[onward[open_rows]] != group[onward[open_rows - 1]]
+    order, place, border = suffix_order(symbols, length)
+    level = STEP
+    if length < STEP:
+        # No whole word: the first level is that of single symbols.
+        border[1:], level = symbols[order][1:] != symbols[order][:-1], 1
+    open_rows = np.flatnonzero(~border).astype(np.int32)
+    while level < length and len(open_rows):
+        step = min(level, STEP, length - level)
+        group = np.cumsum(border, dtype=np.int32)
+        onward = place[(order[open_rows] + step) % n]
+        before = place[(order[open_rows - 1] + step) % n]
+        parted = group[onward] != group[before]
         border[open_rows[parted]] = True
         open_rows = open_rows[~parted]
+        level += step
     group = np.cumsum(border) - 1
-    owner = np.searchsorted(begin, order, "right") - 1
+    string_of = np.repeat(np.arange(len(strings), dtype=np.int32), sizes + 1)
+    owner = string_of[order]
     offset = order - begin[owner]
     whole = offset + length <= sizes[owner]
     return owner[whole], offset[whole], group[whole]
@@ -379,33 +417,39 @@ def _answer_strings(batches):
         yield _batch(replies, ("i8", "i4", "i4", "b"), ["block", "bucket", "seq", "answer"])
 
 
+def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts[i]`` numbers from ``first[i]`` on, for each i."""
+    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
 CUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>"
 
 
 def _cut(anchor_folder: str, buckets: int, string_folder: str, string_buckets: int):
     def covered(chunk: Chunk, anchors: Answers, strings: Answers) -> np.ndarray:
-        edge = np.zeros(len(chunk.data) + 1, np.int32)
         got = strings.of(chunk)
-        for bucket, own in chunk.strings(_flags(chunk, anchors, buckets), string_buckets).items():
+        found = chunk.strings(_flags(chunk, anchors, buckets), string_buckets)
+        if not found.texts:
+            return np.zeros(len(chunk.data), bool)
+        counts = np.fromiter(map(len, found.texts), np.int64, len(found.texts)) - (LENGTH - 1)
+        base = np.cumsum(counts) - counts
+        bits = np.zeros(int(counts.sum()), bool)
+        for bucket, members in found.by_bucket():
             if bucket not in got:
                 raise RuntimeError("the blocks of the scan have changed; run the job again")
-            bits = np.unpackbits(np.frombuffer(got[bucket], np.uint8)).astype(bool)
-            at = 0
-            for string, (least, places) in own.items():
-                n = len(string) - LENGTH + 1
-                hit = np.flatnonzero(bits[at : at + n])
-                at += n
-                for start, order in places:
-                    if order > least:  # this very string starts in a smaller document nearby
-                        edge[start] += 1
-                        edge[start + n + LENGTH - 1] -= 1
-                    elif len(hit) == n:
-                        edge[start] += 1
-                        edge[start + n + LENGTH - 1] -= 1
-                    elif len(hit):
-                        np.add.at(edge, start + hit, 1)
-                        np.add.at(edge, start + hit + LENGTH, -1)
-        return np.cumsum(edge[:-1]) > 0
+            own = np.unpackbits(np.frombuffer(got[bucket], np.uint8)).astype(bool)
+            n = counts[members]
+            bits[_ranges(base[members], n)] = own[: n.sum()]
+        # Every window of the chunk belongs to one place; it is hit if the answer says so, or
+        # if the same string starts in a smaller document of the chunk.
+        hit = bits[_ranges(base[found.which], found.windows)]
+        hit |= np.repeat(found.orders > found.least[found.which], found.windows)
+        starts = np.zeros(len(chunk.data) + 1, np.int64)
+        starts[1 + _ranges(found.start, found.windows)[hit]] = 1
+        total = np.cumsum(starts)
+        recent = total[1:].copy()
+        recent[LENGTH:] -= total[1:-LENGTH]
+        return recent > 0
 
     def run(batches):
         anchors, strings = Answers(anchor_folder), Answers(string_folder)
