@@ -148,13 +148,16 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     labels = propagate(start, linked.select("unit", "grp").distinct(), limits, rounds).select("unit", "label")
     named = linked.join(labels, "unit").select("row", "label")
     labelled = materialise(base.drop("grp").join(named, "row", "left"), "labelled")
-    ranked = materialise(distributed_rank(labelled, ["label"], F.xxhash64("row"), rows), "ranked")
-    fits = F.col("label").isNotNull() & (F.col("_rank") < _at(limits, F.coalesce("label", F.lit(0))))
+    # Documents without links wait as fillers and need no rank here.
+    settled = labelled.where("label IS NOT NULL")
+    ranked = materialise(distributed_rank(settled, ["label"], F.xxhash64("row"), rows), "ranked")
+    fits = F.col("_rank") < _at(limits, F.col("label"))
     placed = ranked.where(fits)
     counts = {r["label"]: r["n"] for r in placed.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     taken = [counts.get(s, 0) for s in range(shards)]
     holes = _running([q - t for q, t in zip(limits, taken)])
-    fillers = materialise(ranked.where(~fits).drop("_rank"), "fillers")
+    beyond = ranked.where(~fits).drop("_rank")
+    fillers = materialise(beyond.unionByName(labelled.where("label IS NULL")), "fillers")
     spare = distributed_rank(fillers, [], F.xxhash64("row", F.lit("spare")), rows)
     place = _place(holes, F.col("_rank"))
     spare = spare.withColumn("label", place).withColumn(
