@@ -1,15 +1,22 @@
 """Language identification: known words first, then shorter and shorter character n-grams.
 
 A word is a longest run of letters, in lower case. The model holds, per language, the log
-frequency of the ``WORDS`` most frequent words and of the ``GRAMS`` most frequent character
-n-grams (1 to 4 characters, with a mark at both ends of a word), counted over all documents that
-may be learned from. A known word adds its log frequencies. For an unseen one the longest
-n-grams are tried first: those of 4 characters that are known add the mean of their log
-frequencies; if none is, those of 3 are tried, and so on. The language of the largest sum
-wins; the score is its share after a softmax over the languages.
-
-The two numbers bound the model, not the data: counts run over every word of every document,
-and rarer words are scored by their n-grams, as unseen ones are.
+frequency of every word and of every character n-gram (1 to 4 characters, with a mark at both
+ends of a word) of the documents that may be learned from. A known word adds its log
+frequencies. For an unseen one the longest n-grams are tried first: those of 4 characters that
+are known add the mean of their log frequencies; if none is, those of 3 are tried, and so on.
+The language of the largest sum wins; the score is its share after a softmax over the languages.
+
+The model is two written tables that grow with the vocabulary, and no task or driver holds one:
+
+1. Documents are packed into blocks of about ``BLOCK`` characters: the distinct words of a block,
+   and per document the places of its words in them and how often each occurs.
+2. The distinct words of the blocks are joined with the word table. Only the n-grams of those
+   that are missing there are joined with the n-gram table, 4 characters first, then 3 for the
+   words still open, and so on.
+3. The log frequencies go back to the blocks, a row per block and distinct word, and are summed
+   per document. Texts are not shuffled. A word of every block is a hot key with a row per block,
+   which AQE splits in the join.
 
 A text without letters, or null, is ``und`` with score 0. Ties go to the first language in
 alphabetical order. Without any labelled text every document is ``und``.
@@ -24,19 +31,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.blocks import pack, unpack
 from basketry.llm.common import materialise, own_names, tune
 from basketry.llm.quality import held_out
 
-WORDS = 100_000
-GRAMS = 50_000
 LONGEST = 4
 SMOOTH = 0.5
 # Distinct words a task counts before it hands them on.
 HELD = 300_000
+# Characters of text in a block; a longer document is a block of its own.
+BLOCK = 4_000_000
+# Place that counts the known n-grams of a word, beside those of the languages.
+KNOWN = -1
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -86,7 +95,10 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log frequencies: a row per word or n-gram, a column per language."""
+    """A model in memory: log frequencies, a row per word or n-gram, a column per language.
+
+    States the rule for one word; tests hold the joins of tables against it.
+    """
 
     languages: list[str]
     words: dict[str, int]
@@ -104,33 +116,38 @@ class LanguageModel:
         return []
 
 
+@dataclass(frozen=True)
+class LanguageTables:
+    """The whole model: written tables (``lang``, ``item``, ``n``) of words and n-grams.
+
+    An item that a language has ``n`` times has the log frequency of an unseen one, which is the
+    base of the language, plus ``log(1 + n / SMOOTH)``.
+    """
+
+    languages: list[str]
+    words: DataFrame
+    word_base: np.ndarray
+    grams: DataFrame
+    gram_base: np.ndarray
+
+
 def _sums(df: DataFrame) -> DataFrame:
     return df.groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counts: DataFrame, most: int):
-    """The ``most`` most frequent items with their counts per language, and all totals."""
-    totals = {
-        r["lang"]: (r["n"], r["kinds"])
-        for r in counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
-    }
-    top = counts.groupBy("item").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-    ).orderBy(F.desc("total"), "item").limit(most)
-    return top.select("item", "by").toLocalIterator(), totals
+def _totals(counts: DataFrame) -> dict[str, tuple[int, int]]:
+    """Occurrences and distinct items of each language."""
+    rows = counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+    return {r["lang"]: (r["n"], r["kinds"]) for r in rows}
 
 
-def _log_rows(rows, totals: dict, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    index, table = {}, []
-    for item, by in rows:
-        index[item] = len(table)
-        table.append([by.get(lang, 0) for lang in languages])
-    counts = np.array(table, np.float64).reshape(len(table), len(languages))
-    size = np.array([totals[lang][0] + SMOOTH * totals[lang][1] for lang in languages])
-    return index, np.log((counts + SMOOTH) / size).astype(np.float32)
+def _base(totals: dict[str, tuple[int, int]], languages: list[str]) -> np.ndarray:
+    """Log frequency of an item that a language does not have; 0 for a language without items."""
+    sizes = [n + SMOOTH * kinds for n, kinds in (totals.get(lang, (0, 0)) for lang in languages)]
+    return np.log([SMOOTH / size if size else 1.0 for size in sizes])
 
 
-def fit(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) -> LanguageModel:
+def fit(docs: DataFrame) -> LanguageTables:
     """Count words and n-grams of all documents that are not held out and have a language."""
     tune(docs.sparkSession)
     plain = own_names(docs, "doc_id", "text", "lang", lang="string")
@@ -138,61 +155,158 @@ def fit(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) -> La
     kind = "lang string, item string, n bigint"
     words = materialise(_sums(learn.select("text", "lang").mapInArrow(_count_words, kind)), "words")
     grams = materialise(_sums(words.mapInArrow(_count_grams, kind)), "grams")
-    rows, totals = _most_frequent(words, most_words)
+    totals = _totals(words)
     languages = sorted(totals)
-    known, word_rows = _log_rows(rows, totals, languages)
-    rows, totals = _most_frequent(grams, most_grams)
-    shorter, gram_rows = _log_rows(rows, totals, languages)
-    return LanguageModel(languages, known, word_rows, shorter, gram_rows)
+    return LanguageTables(languages, words, _base(totals, languages), grams, _base(_totals(grams), languages))
+
+
+def _gains(counts: DataFrame, languages: list[str]) -> DataFrame:
+    """Rows (``item``, ``gains``): what the languages that have an item add to their base."""
+    place = F.array_position(F.array(*map(F.lit, languages)).cast("array<string>"), F.col("lang")).cast("int") - 1
+    gain = F.log1p(F.col("n") / SMOOTH)
+    return counts.groupBy("item").agg(F.collect_list(_gain(place, gain)).alias("gains"))
+
+
+def _gain(place: Column, gain: Column) -> Column:
+    return F.struct(place.alias("place"), gain.alias("gain"))
+
+
+def _planes(values: list[int]) -> bytes:
+    """32-bit numbers, first all lowest bytes, then the next ones; most of those are zero."""
+    return np.array(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
 
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+BAG = "doc_ids array<bigint>, sizes array<int>, words array<string>, bag binary"
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents: distinct words, and per document their places and counts."""
+    ids, sizes, at, counts = [], [], [], []
+    words: dict[str, int] = {}
+    held = 0
+
+    def packed() -> pa.RecordBatch:
+        row = [[list(ids)], [list(sizes)], [list(words)], [pack(_planes(at + counts))]]
+        for own in (ids, sizes, at, counts, words):
+            own.clear()
+        kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.binary()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(row, kinds)], ["doc_ids", "sizes", "words", "bag"]
+        )
+
+    for batch in batches:
+        for doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
+            if ids and held + len(text or "") > BLOCK:
+                yield packed()
+                held = 0
+            own = Counter(words_of(text))
+            ids.append(doc_id)
+            sizes.append(len(own))
+            at += [words.setdefault(w, len(words)) for w in own]
+            counts += own.values()
+            held += len(text or "") + 100
+    if ids:
+        yield packed()
+
+
+def _split(size: int):
+    """The n-grams of words, with their numbers."""
 
-def _predict(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: LanguageModel = shared.value
-        languages = model.languages
-        get, base = model.words.get, len(model.words)
-        table = np.vstack([model.word_rows, model.gram_rows])
         for batch in batches:
-            predicted, scores, counts, sums = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                own = words_of(text)
-                counts.append(len(own))
-                found = [get(w) for w in own]
-                total = np.zeros(len(languages))
-                if languages and own:
-                    if None in found:
-                        missing = [w for w, f in zip(own, found) if f is None]
-                        found = [f for f in found if f is not None]
-                        grams = [model.backoff(w) for w in missing]
-                        sizes = np.array([len(g) for g in grams if g])
-                        if len(sizes):
-                            flat = np.array([r for g in grams for r in g]) + base
-                            total += (table[flat] / np.repeat(sizes, sizes)[:, None]).sum(axis=0, dtype=np.float64)
-                    if found:
-                        total += table[np.array(found)].sum(axis=0, dtype=np.float64)
-                sums.append(total)
-            for n, own in zip(counts, sums):
-                if not n or not languages:
-                    predicted.append("und")
-                    scores.append(0.0)
-                    continue
-                best = int(np.argmax(np.round(own, 6)))
-                predicted.append(languages[best])
-                scores.append(float(1 / np.exp(np.clip(own - own[best], -700, 0)).sum()))
+            rows = [(w, g, n) for w in batch.column(0).to_pylist() for g, n in Counter(grams_of(w, size)).items()]
+            columns = list(zip(*rows)) if rows else [[], [], []]
+            kinds = pa.string(), pa.string(), pa.int64()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["word", "item", "n"]
             )
 
     return run
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def _backed_off(missing: DataFrame, grams: DataFrame, languages: list[str]) -> list[DataFrame]:
+    """Rows (``item``, ``gains``) of unseen words by their longest known n-grams, as means.
+
+    A word without any known character is in none of the tables.
+    """
+    found = []
+    for size in range(LONGEST, 0, -1):
+        if missing.isEmpty():
+            break
+        table = _gains(grams.where(F.length("item") == size), languages)
+        asked = missing.mapInArrow(_split(size), "word string, item string, n bigint")
+        one = F.array(_gain(F.lit(KNOWN), F.lit(1.0)))
+        each = asked.join(table, "item").select("word", "n", F.inline(F.concat(one, "gains")))
+        sums = each.groupBy("word", "place").agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
+        sums = sums.groupBy("word").agg(
+            F.max(F.when(F.col("place") == KNOWN, F.col("gain"))).alias("known"),
+            F.collect_list(F.when(F.col("place") != KNOWN, _gain(F.col("place"), F.col("gain")))).alias("all"),
+        )
+        means = F.transform("all", lambda x: _gain(x["place"], x["gain"] / F.col("known")))
+        found.append(materialise(sums.select(F.col("word").alias("item"), means.alias("gains")), "backed-off"))
+        if size > 1:
+            missing = materialise(missing.join(found[-1].select("item"), "item", "left_anti"), "missing")
+    return found
+
+
+def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.ndarray):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        gains = answers["gains"].combine_chunks()
+        values = gains.flatten()
+        at = answers["at"].to_numpy()
+        of_word = np.repeat(at, np.diff(gains.offsets.to_numpy()))
+        place, gain = values.field("place").to_numpy(), values.field("gain").to_numpy()
+        seen = answers["seen"].to_numpy()
+        for ids, sizes, words, bag in zip(*[block[c] for c in ("doc_ids", "sizes", "words", "bag")]):
+            ids, sizes, width = ids.as_py(), np.array(sizes.as_py()), len(words)
+            places, counts = np.split(_from_planes(unpack(bag.as_py())).astype(np.int64), 2)
+            document = np.repeat(np.arange(len(ids)), sizes)
+
+            def summed(per_word: np.ndarray) -> np.ndarray:
+                return np.bincount(document, per_word[places] * counts, len(ids))
+
+            as_word, as_grams = np.zeros(width), np.zeros(width)
+            as_word[at[seen]], as_grams[at[~seen]] = 1, 1
+            totals = np.outer(summed(as_word), word_base) + np.outer(summed(as_grams), gram_base)
+            for k in range(len(languages)):
+                own, per_word = place == k, np.zeros(width)
+                per_word[of_word[own]] = gain[own]
+                totals[:, k] += summed(per_word)
+            predicted, scores = ["und"] * len(ids), [0.0] * len(ids)
+            for i in np.flatnonzero(sizes) if languages else ():
+                best = int(np.argmax(np.round(totals[i], 6)))
+                predicted[i] = languages[best]
+                scores[i] = float(1 / np.exp(np.clip(totals[i] - totals[i, best], -700, 0)).sum())
+            out.append(pa.table(
+                [pa.array(ids, pa.int64()), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+                ["doc_id", "lang_pred", "score"],
+            ))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def predict(docs: DataFrame, model: LanguageTables) -> DataFrame:
     """Rows (``doc_id``, ``lang_pred``, ``score``), one per input row; only texts are used."""
-    spark = tune(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
-    plain = own_names(docs, "doc_id", "text")
-    return plain.mapInArrow(_predict(shared), "doc_id bigint, lang_pred string, score double")
+    tune(docs.sparkSession)
+    bags = own_names(docs, "doc_id", "text").mapInArrow(_bags, BAG)
+    bags = materialise(bags.withColumn("block", F.monotonically_increasing_id()), "bags")
+    asked = bags.select("block", F.posexplode("words").alias("at", "item"))
+    missing = asked.select("item").distinct().join(model.words.select("item"), "item", "left_anti")
+    backed_off = _backed_off(materialise(missing, "missing"), model.grams, model.languages)
+    answers = _gains(model.words, model.languages).withColumn("seen", F.lit(True))
+    for found in backed_off:
+        answers = answers.unionByName(found.withColumn("seen", F.lit(False)))
+    answers = asked.join(answers, "item").select(F.col("block").alias("of"), "at", "seen", "gains")
+    return bags.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(
+        _sum_documents(model.languages, model.word_base, model.gram_base),
+        "doc_id bigint, lang_pred string, score double",
+    )
 
 
 def languages(docs: DataFrame) -> DataFrame:

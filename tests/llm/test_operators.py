@@ -384,6 +384,56 @@ def test_language_backs_off():
     assert model.backoff("xaby") == [0] and model.backoff("z") == [1] and model.backoff("q") == []
 
 
+def expected_language(model, text):
+    """Sums per language, by a model in memory."""
+    total = np.zeros(len(model.languages))
+    for word in language_id.words_of(text):
+        if word in model.words:
+            total += model.word_rows[model.words[word]]
+        elif rows := model.backoff(word):
+            total += model.gram_rows[rows].mean(axis=0)
+    return total
+
+
+def test_language_joins_are_the_rule(spark, corpus, odd, monkeypatch):
+    """Tables joined by blocks against the same counts in memory, also for unseen words."""
+    monkeypatch.setattr(language_id, "BLOCK", 5000)
+    tables = language_id.fit(corpus.where("doc_id % 9 = 0"))
+    names, parts = tables.languages, []
+    for counts in (tables.words, tables.grams):
+        held = {}
+        for r in counts.collect():
+            held.setdefault(r["item"], {})[r["lang"]] = r["n"]
+        size = [sum(h.get(x, 0) + language_id.SMOOTH * (x in h) for h in held.values()) for x in names]
+        rows = np.log([(np.array([h.get(x, 0) for x in names]) + language_id.SMOOTH) / size for h in held.values()])
+        parts += [{w: i for i, w in enumerate(held)}, rows]
+    model = language_id.LanguageModel(names, *parts)
+    for docs in (corpus, odd):
+        got = {r.doc_id: r for r in language_id.predict(docs, tables).collect()}
+        want = [(r.doc_id, expected_language(model, r.text), language_id.words_of(r.text)) for r in docs.collect()]
+        assert len(got) == len(want)
+        for doc, sums, words in want:
+            share = np.exp(sums - sums.max())
+            best = names[int(np.argmax(np.round(sums, 6)))] if words else "und"
+            assert got[doc].lang_pred == best
+            assert abs(got[doc].score - (1 / share.sum() if words else 0)) < 1e-6
+
+
+def test_language_keeps_words_of_rare_languages(spark):
+    """More words than 100,000 and more n-grams than 50,000 of one language cut nothing of another."""
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(101_000)})
+    rng.shuffle(words)
+    rare, common_words = words[:60], words[60:]
+    learned = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(learned[k], " ".join(common_words[k::100] * 2), "aa") for k in range(100)]
+    rows.append((learned[100], " ".join(rare), "zz"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    asked = spark.createDataFrame([(1000, " ".join(rare[::-1]))], "doc_id bigint, text string")
+    found = language_id.predict(asked, language_id.fit(docs)).first()
+    assert found.lang_pred == "zz" and found.score > 0.99
+
+
 def test_quality(spark, corpus, odd, none):
     labels = common.read_table(spark, "/root/testdata/sf0.01", "labels")
     docs = common.read_table(spark, "/root/testdata/sf0.01", "documents")
