@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.llm import wordarrays as wa
-from basketry.llm.common import free_name, own_names, tune, with_fields
+from basketry.llm.common import free_name, materialise, own_names, tune, with_fields
 
 WINDOW = 10
 PATTERNS = 50_000
@@ -148,15 +148,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_part:
     ``hits`` has for each occurrence of a pattern the words it covers, its place in the
     original text (code points, end exclusive) and the pattern.
     """
-    spark = tune(docs.sparkSession)
+    tune(docs.sparkSession)
     distinct = patterns(benchmark, window).select("pattern").distinct().persist()
     parts = -(-distinct.count() // per_part) or 1
     plain = own_names(docs, "doc_id", "text")
     kind = with_fields(plain, FOUND)
     scans = []
-    for part in range(parts):
-        own = distinct.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part)
-        shared = spark.sparkContext.broadcast(sorted(r[0] for r in own.collect()))
+    for shared in _shared_parts(distinct, parts):
         scans.append(plain.mapInArrow(_scan(shared, 1), kind))
     if parts == 1:
         return scans[0]
@@ -201,24 +199,45 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return scanned.mapInArrow(digest, kind).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a window of a benchmark item."""
-    spark = tune(docs.sparkSession)
-    name = free_name(docs, "n_hit_words")
-    distinct = patterns(benchmark, window).select("pattern").distinct()
-    if distinct.count() > PATTERNS:
-        hit = scan(docs, benchmark, window).where("n_hit > 0").select(F.col("doc_id").alias(name)).distinct()
-        return docs.join(hit, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
-    shared = spark.sparkContext.broadcast(sorted(r[0] for r in distinct.collect()))
-    at = docs.columns.index("text")
+def _shared_parts(distinct: DataFrame, parts: int) -> Iterator:
+    """The patterns of each part, sent to the executors."""
+    for part in range(parts):
+        own = distinct.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part)
+        yield distinct.sparkSession.sparkContext.broadcast(sorted(r[0] for r in own.collect()))
+
+
+def _is_hit(text: bytes | None, automaton) -> bool:
+    normal = b" " + b" ".join((text or b"").translate(PLAIN).split()) + b" "
+    return automaton is not None and next(automaton.iter(normal.decode("latin-1")), None) is not None
+
+
+def _filter(shared, text_at: int, keep_hits: bool):
+    """The rows whose text holds a pattern of the part, or the other ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared) if shared.value else None
         for batch in batches:
-            clean = []
-            for text in batch.column(at).cast(pa.string()).cast(pa.binary()).to_pylist():
-                normal = b" " + b" ".join((text or b"").translate(PLAIN).split()) + b" "
-                clean.append(automaton is None or next(automaton.iter(normal.decode("latin-1")), None) is None)
-            yield batch.filter(pa.array(clean))
+            texts = batch.column(text_at).cast(pa.string()).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([_is_hit(t, automaton) == keep_hits for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a window of a benchmark item.
+
+    Each row is judged by its own text, whatever its ``doc_id``. With more than one part the rows
+    get a number in a written table and each part is a scan of its own, so that a task holds the
+    automaton of one part; filters in a row would hold all of them at once.
+    """
+    tune(docs.sparkSession)
+    distinct = patterns(benchmark, window).select("pattern").distinct().persist()
+    parts = -(-distinct.count() // PATTERNS) or 1
+    if parts == 1:
+        shared = next(_shared_parts(distinct, 1))
+        return docs.mapInArrow(_filter(shared, docs.columns.index("text"), False), docs.schema)
+    row = free_name(docs, "row_number")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    texts = rows.select(row, "text")
+    hit = [texts.mapInArrow(_filter(s, 1, True), texts.schema).select(row) for s in _shared_parts(distinct, parts)]
+    return rows.join(reduce(DataFrame.union, hit).distinct(), row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -364,6 +364,16 @@ def test_contamination(spark, corpus, odd, none):
     assert not decontaminate.contamination(odd, bench.limit(0)).where("contaminated").count()
 
 
+@pytest.mark.parametrize("per_part", [decontaminate.PATTERNS, 7])
+def test_contaminated_rows_go_one_by_one(spark, monkeypatch, per_part):
+    """A row without an id, or with a repeated one, goes for its own text only, by any number of parts."""
+    monkeypatch.setattr(decontaminate, "PATTERNS", per_part)
+    bench = spark.createDataFrame([(1, BASE), (2, "eight words")], "item_id bigint, text string")
+    rows = [(None, BASE), (None, "clean"), (None, None), (7, "x eight words y"), (7, "clean too"), (7, "clean too"), (8, BASE)]
+    clean = decontaminate.drop_contaminated(table(spark, rows), bench)
+    assert sorted(texts(clean), key=repr) == sorted([rows[1], rows[2], rows[4], rows[5]], key=repr)
+
+
 def test_language(spark, corpus, odd, none):
     found = language_id.languages(corpus).join(corpus.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in found if r.held_out]
