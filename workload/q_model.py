@@ -234,14 +234,18 @@ def _isotonic(fx):
     return metrics.calibration_curve(_calibrated(fx, models.calibrate_isotonic), "purchased", "prob")
 
 
+@query("score")
+def _score(fx):
+    return _calibrated(fx, models.calibrate_sigmoid).select("client", "date", "purchased", "prob")
+
+
 @query(
-    "score",
+    "score_in_range",
     oracle(f"""SELECT client, date, purchased, true AS probability FROM calendar CROSS JOIN last_hist
                WHERE date > last - {FX_SPLIT_DAYS - FX_SPLIT_DAYS // 2} AND date <= last"""),
 )
-def _score(fx):
-    scored = _calibrated(fx, models.calibrate_sigmoid)
-    return scored.select("client", "date", "purchased", F.col("prob").between(0, 1).alias("probability"))
+def _score_in_range(fx):
+    return _score(fx).select("client", "date", "purchased", F.col("prob").between(0, 1).alias("probability"))
 
 
 @query("coef_importance")
@@ -289,13 +293,17 @@ def _campaign(fx):
     return fx.spark.read.option("header", True).csv(f"{base}/out")
 
 
-@query("job_train", oracle("SELECT client, date, true AS probability FROM calendar"))
+@query("job_train")
 def _job_train(fx):
     base = work_dir(fx.spark, "train")
     writers.sink_parquet(fx.calendar, f"{base}/calendar")
     model = jobs.job_train(fx.spark, f"{base}/calendar", f"{base}/model", FX_MODEL)
-    scored = models.score(model, fx.stored_calendar)
-    return scored.select("client", "date", F.col("prob").between(0, 1).alias("probability"))
+    return models.score(model, fx.stored_calendar).select("client", "date", "prob")
+
+
+@query("job_train_in_range", oracle("SELECT client, date, true AS probability FROM calendar"))
+def _job_train_in_range(fx):
+    return _job_train(fx).select("client", "date", F.col("prob").between(0, 1).alias("probability"))
 
 
 def _evaluated(fx, params):
@@ -311,12 +319,7 @@ def _job_evaluate(fx):
     return fx.spark.read.json(f"{_evaluated(fx, FX_LOGISTIC)}/report/metrics")
 
 
-@query(
-    "job_backtest",
-    oracle("""SELECT strftime(cast(d AS DATE), '%Y-%m-%d') AS fecha, cast(count(DISTINCT f.client) AS VARCHAR) AS "Clientes_Compraron"
-              FROM (SELECT unnest(generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY)) AS d)
-              LEFT JOIN fx_daily f ON f.date = cast(d AS DATE) GROUP BY 1"""),
-)
+@query("job_backtest")
 def _job_backtest(fx):
     """Raw tickets rebuilt from purchase events, scored by the calibrated model."""
     base = _evaluated(fx, FX_LOGISTIC)
@@ -338,5 +341,15 @@ def _job_backtest(fx):
         fx.spark, f"{base}/calendar", f"{base}/calibrated", f"{base}/raw", f"{base}/backtest",
         date(2024, 1, 24), date(2024, 1, 30), FX_LOGISTIC,
     )
-    # How many clients bought does not depend on the model.
-    return fx.spark.read.option("header", True).csv(f"{base}/backtest").select("fecha", "Clientes_Compraron")
+    return fx.spark.read.option("header", True).csv(f"{base}/backtest")
+
+
+@query(
+    "job_backtest_buyers",
+    oracle("""SELECT strftime(cast(d AS DATE), '%Y-%m-%d') AS fecha, cast(count(DISTINCT f.client) AS VARCHAR) AS "Clientes_Compraron"
+              FROM (SELECT unnest(generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY)) AS d)
+              LEFT JOIN fx_daily f ON f.date = cast(d AS DATE) GROUP BY 1"""),
+)
+def _job_backtest_buyers(fx):
+    """How many clients bought does not depend on the model."""
+    return _job_backtest(fx).select("fecha", "Clientes_Compraron")

@@ -483,30 +483,38 @@ def _job_vip(fx):
     return fx.spark.read.parquet(path).select("tiket_id", "user_id", "periodo_unico", "amount")
 
 
-@query(
-    "job_segment_vip",
-    oracle(f"""SELECT user_id, id_point_sale, {", ".join(f"NULL::VARCHAR AS {c}" for c in CONTACT_COLUMNS)} FROM (
-                 SELECT user_id, id_point_sale, row_number() OVER
-                   (PARTITION BY user_id ORDER BY count(*) DESC, id_point_sale) AS r
-                 FROM fx_vip_lines WHERE tiket_price > 50000 GROUP BY 1, 2) WHERE r = 1"""),
-)
+@query("job_segment_vip")
 def _job_segment_vip(fx):
     """Cheaper tickets enter with a negative total and must not count."""
     path = work_dir(fx.spark, "vip-segments")
     price = F.when(F.col("tiket_price") > 50000, F.col("tiket_price")).otherwise(-F.col("tiket_price"))
     jobs.job_segment_vip(fx.spark, fx.vip_lines.withColumn("tiket_price", price), None, path)
-    return fx.spark.read.parquet(path).drop("cluster_id", "cluster_nombre", "cluster_descripcion")
+    return fx.spark.read.parquet(path)
 
 
 @query(
-    "job_segment_recs",
-    oracle("""SELECT DISTINCT id_client AS client FROM valid
-              WHERE date_sale >= (SELECT max(date_sale) FROM valid) - 30"""),
+    "job_segment_vip_stores",
+    oracle(f"""SELECT user_id, id_point_sale, {", ".join(f"NULL::VARCHAR AS {c}" for c in CONTACT_COLUMNS)} FROM (
+                 SELECT user_id, id_point_sale, row_number() OVER
+                   (PARTITION BY user_id ORDER BY count(*) DESC, id_point_sale) AS r
+                 FROM fx_vip_lines WHERE tiket_price > 50000 GROUP BY 1, 2) WHERE r = 1"""),
 )
+def _job_segment_vip_stores(fx):
+    return _job_segment_vip(fx).drop("cluster_id", "cluster_nombre", "cluster_descripcion")
+
+
+@query("job_segment_recs")
 def _job_segment_recs(fx):
-    """Every client of the last month gets a row."""
     base = work_dir(fx.spark, "segment-recs")
     jobs.job_segment_recs(fx.spark, fx.sales, fx.catalog, f"{base}/clusters", f"{base}/recs", excluded=FX_EXCLUDED)
-    return fx.spark.read.parquet(f"{base}/recs").select("client")
+    return joined(fx.spark.read.parquet(f"{base}/recs"))
 
 
+@query(
+    "job_segment_recs_clients",
+    oracle("""SELECT DISTINCT id_client AS client FROM valid
+              WHERE date_sale >= (SELECT max(date_sale) FROM valid) - 30"""),
+)
+def _job_segment_recs_clients(fx):
+    """Every client of the last month gets a row."""
+    return _job_segment_recs(fx).select("client")
