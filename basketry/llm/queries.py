@@ -12,6 +12,7 @@ from basketry.llm import (
     fingerprint,
     language_id,
     near_dup,
+    periodic_runs,
     pii,
     quality,
     sharding,
@@ -122,3 +123,9 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.repeated_passages(read_table(spark, folder, "documents"), stored=True)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# Lyndon roots and their extension have no SQL form of bearable cost; tests use brute force.
+@query("op13_runs")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.runs_report(read_table(spark, folder, "documents"))
