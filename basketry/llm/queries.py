@@ -18,6 +18,7 @@ from basketry.llm import (
     sharding,
     suffix_dedup,
     token_files,
+    warc,
 )
 from basketry.llm.common import read_table
 
@@ -129,3 +130,18 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_runs")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.runs_report(read_table(spark, folder, "documents"))
+
+
+@query(
+    "op12_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, max(page_id) AS stored, strlen(body) >= 1000 AS shared FROM p GROUP BY body)
+SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN shared AND page_id IS DISTINCT FROM stored AND stored IS NOT NULL THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN shared AND page_id IS DISTINCT FROM stored THEN stored END AS refers_to
+FROM p JOIN g USING (body)""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.written_and_read(read_table(spark, folder, "pages"))
