@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     fingerprint,
     language_id,
     near_dup,
@@ -145,3 +146,54 @@ FROM p JOIN g USING (body)""",
 )
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return warc.written_and_read(read_table(spark, folder, "pages"))
+
+
+_PARTS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op11_filter_audit",
+    rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_PARTS} AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS least_id FROM d GROUP BY t),
+l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad
+  FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+       + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+       + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+       + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+       + CASE WHEN doc_id > least_id THEN 16 ELSE 0 END AS mask
+  FROM d JOIN firsts USING (t) LEFT JOIN l USING (doc_id)),
+c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+  FROM m GROUP BY part, mask),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (
+  SELECT filter_order, cast(step AS INTEGER) AS step, bits[step] AS bit,
+         cast(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS prior
+  FROM (SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (WHERE mask & bit = 0 AND mask & prior = 0) AS kept,
+         sum(n) FILTER (WHERE mask & bit > 0 AND mask & prior = 0) AS removed,
+         sum(n) FILTER (WHERE mask & bit > 0 AND mask & prior > 0) AS redundant,
+         sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+         sum(good) FILTER (WHERE mask & bit > 0 AND mask & prior = 0) AS good_lost,
+         sum(bad) FILTER (WHERE mask & bit > 0 AND mask & prior = 0) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, cast(coalesce(kept, 0) AS BIGINT) AS kept,
+       cast(coalesce(removed, 0) AS BIGINT) AS removed, cast(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       cast(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, cast(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       cast(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       cast(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+FROM r""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{folder}/documents.parquet", read_table(spark, folder, "labels"))
