@@ -7,7 +7,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from basketry.operators.boosting import fit_trees
 from basketry.operators.metrics import class_weights
 from basketry.operators.order_stats import spread_rank
 from basketry.operators.segmentation import (
@@ -27,13 +28,7 @@ from basketry.operators.segmentation import (
     standardise,
 )
 from basketry.params import ModelParams, SegmentParams, VipParams
-from basketry.session import materialise, work_dir
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Boosting cuts its lineage every few trees; that needs the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoints"))
+from basketry.session import materialise
 
 
 # --- training -------------------------------------------------------------------
@@ -69,25 +64,11 @@ def train_logistic(df: DataFrame, params: ModelParams = ModelParams()) -> Pipeli
     return Pipeline(stages=stages).fit(weighted)
 
 
-def train_gbt(df: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
-    """Boosted trees on binned features with balanced classes."""
-    ensure_checkpoint_dir(df.sparkSession)
-    weighted, _ = _weighted(df, params.target)
-    stages = [
-        VectorAssembler(inputCols=list(params.features), outputCol="features"),
-        GBTClassifier(
-            featuresCol="features",
-            labelCol=params.target,
-            weightCol="_weight",
-            maxIter=params.trees,
-            maxDepth=params.depth,
-            stepSize=params.learning_rate,
-            minInstancesPerNode=params.min_leaf,
-            maxBins=256,
-            seed=params.seed,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+def train_gbt(
+    df: DataFrame, params: ModelParams = ModelParams(), keys: Sequence[str] = ("client", "date")
+) -> PipelineModel:
+    """Boosted trees on binned features with balanced classes; see :mod:`basketry.operators.boosting`."""
+    return PipelineModel(stages=[fit_trees(df, params, keys)])
 
 
 def train(df: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:

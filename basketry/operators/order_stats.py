@@ -52,13 +52,25 @@ def few_group_percentiles(
 def _select_ranks(
     counts: DataFrame, probabilities: dict[str, float], keys: Sequence[str], few: bool = True
 ) -> DataFrame:
+    group = list(keys) or ["_all"]
+    picked = values_at_ranks(counts if keys else counts.withColumn("_all", F.lit(0)), list(probabilities.values()), group, few)
+    out = picked.groupBy(*group, "_total").agg(
+        *[_interpolate(p).alias(name) for name, p in probabilities.items()]
+    )
+    return out.select(*keys, *probabilities)
+
+
+def values_at_ranks(
+    counts: DataFrame, probabilities: Sequence[float], group: Sequence[str], few: bool = True
+) -> DataFrame:
+    """The values just at and around each percentile, as rows (``_total``, ``_v``, ``_rank``) of a group.
+
+    ``counts`` is a table of :func:`value_counts`; ranks count from 0.
+    """
     v = F.col("_v")
     # Never decreasing in the value, so buckets are ordered like the values.
     bucket = F.floor(F.signum(v) * F.log1p(F.abs(v)) * LOG_BUCKETS)
-    group = list(keys) or ["_all"]
     pool = counts.withColumn("_b", bucket)
-    if not keys:
-        pool = pool.withColumn("_all", F.lit(0))
 
     # The histogram has one row per group and bucket, whatever the size of the group.
     total = F.sum("_c").over(W.partitionBy(*group))
@@ -68,8 +80,8 @@ def _select_ranks(
         .agg(F.sum("_n").alias("_c"))
         .select("*", total.alias("_total"), upto.alias("_upto"))
     )
-    positions = [F.lit(p) * (F.col("_total") - 1) for p in probabilities.values()]
-    ranks = F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)])
+    shares = F.array(*[F.lit(p) for p in probabilities])
+    ranks = F.concat(*[F.transform(shares, lambda p: f(p * (F.col("_total") - 1)).cast("long")) for f in (F.floor, F.ceil)])
     before = F.col("_upto") - F.col("_c")
     wanted = (
         histogram.select(*group, "_b", "_total", "_upto", before.alias("_before"), F.explode(F.array_distinct(ranks)).alias("_rank"))
@@ -78,16 +90,13 @@ def _select_ranks(
         .agg(F.collect_set("_rank").alias("_ranks"))
     )
     upto_value = F.col("_before") + F.sum("_n").over(W.partitionBy(*group, "_b").orderBy("_v"))
-    picked = (
+    return (
         pool.join(F.broadcast(wanted) if few else wanted, [*group, "_b"])
         .withColumn("_to", upto_value)
         .select(*group, "_total", "_v", "_n", "_to", F.explode("_ranks").alias("_rank"))
         .where((F.col("_rank") < F.col("_to")) & (F.col("_rank") >= F.col("_to") - F.col("_n")))
+        .select(*group, "_total", "_v", "_rank")
     )
-    out = picked.groupBy(*group, "_total").agg(
-        *[_interpolate(p).alias(name) for name, p in probabilities.items()]
-    )
-    return out.select(*keys, *probabilities)
 
 
 def _interpolate(p: float) -> Column:

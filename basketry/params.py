@@ -71,6 +71,14 @@ class ModelParams:
     depth: int = 6
     learning_rate: float = 0.1
     min_leaf: int = 50
+    l2: float = 0.1
+    max_leaves: int = 31
+    max_bins: int = 255
+    # Boosting stops early on tables of more rows than this.
+    early_stopping_rows: int = 10_000
+    hold_out: float = 0.1
+    patience: int = 10
+    stop_tol: float = 1e-7
     # evaluation
     calibration: str = "sigmoid"
     bins: int = 10

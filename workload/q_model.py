@@ -17,6 +17,9 @@ from workload.registry import query, rnd, rounded
 
 # Thirty days of events leave ten for validation.
 FX_MODEL = ModelParams(split_days=FX_SPLIT_DAYS)
+# Jobs that fit trees on the way to something else.
+FX_FEW_TREES = ModelParams(split_days=FX_SPLIT_DAYS, trees=20)
+FX_FIRST_TREE = ModelParams(split_days=FX_SPLIT_DAYS, trees=1, depth=3, early_stopping_rows=1 << 40)
 FX_LOGISTIC = ModelParams(split_days=FX_SPLIT_DAYS, model_type="logistic_regression")
 
 AT = "0.5"
@@ -217,6 +220,70 @@ def _gbt(fx):
     return rounded(metrics.binary_metrics(scored, "purchased", "prob", 0.5))
 
 
+def _first_tree_sql(p: ModelParams) -> str:
+    """The first tree, level by level: bins, histograms, best splits, and rows sent to their nodes."""
+    unit = float(1 << 28)
+    values = "\nUNION ALL ".join(f"SELECT rid, {i} AS f, cast({c} AS DOUBLE) AS x FROM r" for i, c in enumerate(p.features))
+    shares = ", ".join(repr(k / p.max_bins) for k in range(1, p.max_bins))
+    l2 = p.l2
+    part = lambda g, h: f"({g}) / {unit} * ({g}) / {unit} / (({h}) / {unit} + {l2})"
+    levels = ["n0 AS (SELECT rid, 0 AS node FROM r)"]
+    for d in range(p.depth):
+        levels.append(f"""h{d} AS (
+  SELECT n.node, b.f, b.bin, sum(r.g) AS g, sum(r.h) AS h, count(*) AS n
+  FROM n{d} n JOIN r USING (rid) JOIN b USING (rid) GROUP BY ALL),
+c{d} AS (
+  SELECT *, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(n) OVER up AS nl,
+    sum(g) OVER al AS gt, sum(h) OVER al AS ht, sum(n) OVER al AS nt
+  FROM h{d} WINDOW up AS (PARTITION BY node, f ORDER BY bin), al AS (PARTITION BY node, f)),
+s{d} AS (
+  SELECT node, f, bin, nt, gain FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, bin) AS k FROM (
+      SELECT *, {part("gl", "hl")} + {part("gt - gl", "ht - hl")} - {part("gt", "ht")} AS gain FROM c{d}
+      WHERE nl >= {p.min_leaf} AND nt - nl >= {p.min_leaf}))
+  WHERE k = 1 AND gain > 0),
+n{d + 1} AS (
+  SELECT n.rid, cast(2 * n.node + CASE WHEN b.bin <= s.bin THEN 1 ELSE 2 END AS INTEGER) AS node
+  FROM n{d} n JOIN s{d} s USING (node) JOIN b ON b.rid = n.rid AND b.f = s.f)""")
+    splits = "\nUNION ALL ".join(f"SELECT * FROM s{d}" for d in range(p.depth))
+    nodes = "\nUNION ALL ".join(f"SELECT * FROM n{d}" for d in range(p.depth + 1))
+    names = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(p.features))
+    base = oracle("SELECT 1 FROM split")
+    return base[: base.rindex("\nSELECT 1")] + f""",
+w AS (SELECT purchased AS y, count(*) AS n, (SELECT count(*) FROM split WHERE split = 'train') / (2 * count(*)) AS w
+      FROM split WHERE split = 'train' GROUP BY 1),
+m AS (SELECT 1 / (1 + exp(-ln(sum(n * w) FILTER (y = 1) / sum(n * w) FILTER (y = 0)))) AS p FROM w),
+r AS (SELECT s.*, row_number() OVER () AS rid, cast(round_even(w * (p - y) * {unit}, 0) AS BIGINT) AS g,
+             cast(round_even(w * p * (1 - p) * {unit}, 0) AS BIGINT) AS h
+      FROM split s JOIN w ON w.y = s.purchased CROSS JOIN m WHERE split = 'train'),
+v AS ({values}),
+dv AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS y, count(*) OVER (PARTITION BY f) AS d
+       FROM (SELECT DISTINCT f, x FROM v)),
+e AS (SELECT f, edge, row_number() OVER (PARTITION BY f ORDER BY edge) AS bin FROM (
+        SELECT f, (x + y) / 2 AS edge FROM dv WHERE d <= {p.max_bins} AND y IS NOT NULL
+        UNION SELECT f, unnest(quantile_cont(x, [{shares}])) FROM v
+        WHERE f IN (SELECT f FROM dv WHERE d > {p.max_bins}) GROUP BY f)),
+b AS MATERIALIZED (SELECT v.rid, v.f, coalesce(e.bin, 0) + 1 AS bin FROM v ASOF LEFT JOIN e ON v.f = e.f AND v.x > e.edge),
+{",".join(levels)},
+splits AS ({splits}),
+sums AS (SELECT node, sum(g) AS g, sum(h) AS h, count(*) AS n FROM ({nodes}) JOIN r USING (rid) GROUP BY 1)
+SELECT cast(node AS INTEGER) AS node, CASE s.f {names} END AS feature, {rnd("coalesce(e.edge, 0)", 6)} AS threshold,
+  {rnd("coalesce(gain, 0)", 4)} AS gain, cast(n AS BIGINT) AS rows,
+  {rnd(f"CASE WHEN s.f IS NULL THEN -{p.learning_rate} * (g / {unit}) / (h / {unit} + {l2}) ELSE 0 END", 6)} AS value
+FROM sums LEFT JOIN splits s USING (node) LEFT JOIN e ON e.f = s.f AND e.bin = s.bin"""
+
+
+@query("gbt_first_tree", _first_tree_sql(FX_FIRST_TREE))
+def _first_tree(fx):
+    """Bins, split search and leaf values of one tree over all training rows."""
+    train, _ = parts(fx, FX_FIRST_TREE)
+    nodes = models.train_gbt(train, FX_FIRST_TREE).stages[0].table(train)
+    return nodes.select(
+        "node", "feature", *[F.round(F.col(c) + 0.033 * 10**-d, d).alias(c) for c, d in (("threshold", 6), ("gain", 4))],
+        "rows", F.round(F.col("value") + 0.033e-6, 6).alias("value"),
+    )
+
+
 def _calibrated(fx, method):
     train, _ = parts(fx, FX_LOGISTIC)
     calibration, test = halves(fx, FX_LOGISTIC)
@@ -297,7 +364,7 @@ def _campaign(fx):
 def _job_train(fx):
     base = work_dir(fx.spark, "train")
     writers.sink_parquet(fx.calendar, f"{base}/calendar")
-    model = jobs.job_train(fx.spark, f"{base}/calendar", f"{base}/model", FX_MODEL)
+    model = jobs.job_train(fx.spark, f"{base}/calendar", f"{base}/model", FX_FEW_TREES)
     return models.score(model, fx.stored_calendar).select("client", "date", "prob")
 
 
