@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.operators.skew import hot_keys, replicate, spread
-
 # Products of one client that one task pairs with the client's other products.
 PRODUCTS_PER_SALT = 256
 
@@ -82,56 +82,57 @@ def item_cosine(counts: DataFrame) -> DataFrame:
     return sim.select(F.explode(both).alias("_p"), "sim").select("_p.*", "sim")
 
 
-def score_items(counts: DataFrame, sim: DataFrame) -> DataFrame:
+def _block_scores(counts: DataFrame, sim: DataFrame, blocks: int | None) -> DataFrame:
+    spark = counts.sparkSession
+    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.xxhash64("client"), F.lit(blocks)).cast("int")
+    mine = counts.withColumn("_block", block).repartitionById(blocks, "_block")
+    # Every block meets every similarity. The table grows with the catalogue, not the clients.
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sims = sim.withColumn("_block", every).repartitionById(blocks, "_block")
+    gains = mine.withColumnRenamed("product", "product_i").join(sims, ["_block", "product_i"])
+    scores = gains.groupBy("_block", "client", F.col("product_j").alias("product")).agg(
+        F.sum(F.col("sim") * F.col("cnt")).alias("score")
+    )
+    bought = mine.select("_block", "client", "product")
+    return scores.where("score > 0").join(bought, ["_block", "client", "product"], "left_anti")
+
+
+def score_items(counts: DataFrame, sim: DataFrame, blocks: int | None = None) -> DataFrame:
     """Score of every product a client has not bought: sum of similarity x count.
 
-    A product whose buyers times neighbours are very many is salted. The products already bought ride
-    through the same aggregation as marker rows, which replaces an anti join of the
-    large score table.
+    Clients are dealt into blocks, one per partition, and each block gets a copy of the
+    similarities, so the rows made for a client are summed, rid of what was bought and
+    ranked in the task that made them. What is shuffled are the counts and ``blocks``
+    copies of the similarities, not client x bought x similar. A block holds whole
+    clients, of at most one row per product, so no product or client is a hot key.
+    Without :data:`IN_PLACE` set Spark deals the joined rows again, with the same result.
     """
-    bought = counts.select("client", F.col("product").alias("product_i"), "cnt")
-    hot = hot_keys(bought, "product_i", partners=sim)
-    gains = (
-        spread(bought, hot, "product_i", ["client"])
-        .join(replicate(sim, hot, "product_i"), ["product_i", "_salt"])
-        .select(
-            "client",
-            F.col("product_j").alias("product"),
-            (F.col("sim") * F.col("cnt")).alias("_gain"),
-            F.lit(False).alias("_bought"),
-        )
-    )
-    markers = counts.select(
-        "client", "product", F.lit(0.0).alias("_gain"), F.lit(True).alias("_bought")
-    )
-    return (
-        gains.unionByName(markers)
-        .groupBy("client", "product")
-        .agg(F.sum("_gain").alias("score"), F.max("_bought").alias("_bought"))
-        .where(~F.col("_bought") & (F.col("score") > 0))
-        .select("client", "product", "score")
-    )
+    return _block_scores(counts, sim, blocks).drop("_block")
+
+
+# Lets a join on (block, product) stay where rows were dealt by block alone.
+IN_PLACE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
 def recommend_items(
-    counts: DataFrame, sim: DataFrame, n: int, score_decimals: int = 6
+    counts: DataFrame, sim: DataFrame, n: int, score_decimals: int = 6, blocks: int | None = None
 ) -> DataFrame:
     """The ``n`` best products per client, ranked by rounded score, then product.
 
     Scores are rounded before ranking: sums of fractions differ in the last digits
     with the order of the rows, and near-ties would change places between runs.
     """
-    ranked = rank_first(
-        score_items(counts, sim).withColumn("score", F.round("score", score_decimals)), n
-    )
-    return ranked.withColumnsRenamed(
+    scores = _block_scores(counts, sim, blocks).withColumn("score", F.round("score", score_decimals))
+    ranked = rank_first(scores, n, ("_block", "client"))
+    return ranked.drop("_block").withColumnsRenamed(
         {"product": "recommended_product", "score": "recommendation_score"}
     )
 
 
-def rank_first(scores: DataFrame, n: int | None = None) -> DataFrame:
+def rank_first(scores: DataFrame, n: int | None = None, within: Sequence[str] = ("client",)) -> DataFrame:
     """Rank per client by score, ties by product. With ``n`` each task keeps only its
     own best ``n`` per client before the exchange."""
-    order = W.partitionBy("client").orderBy(F.desc("score"), F.asc("product"))
+    order = W.partitionBy(*within).orderBy(F.desc("score"), F.asc("product"))
     ranked = scores.withColumn("recommendation_rank", F.row_number().over(order))
     return ranked if n is None else ranked.where(F.col("recommendation_rank") <= n)

@@ -33,6 +33,7 @@ from basketry.operators.clean import (
     semi_join,
     validate_client_ids,
 )
+from basketry.operators.item_item import IN_PLACE
 from basketry.operators.metrics import (
     backtest_average,
     backtest_daily,
@@ -72,7 +73,7 @@ from basketry.params import (
     VipParams,
     WindowParams,
 )
-from basketry.session import materialise
+from basketry.session import materialise, settings
 from basketry.sources.readers import (
     empty_table,
     load_calendar,
@@ -341,14 +342,16 @@ def job_recs_global(
     spark: SparkSession, product_day_path: str, catalog: DataFrame, output_path: str,
     params: RecommendParams = RecommendParams(),
 ) -> None:
-    sink_parquet(recs_global(scan_parquet(spark, product_day_path), catalog, params), output_path)
+    with settings(spark, IN_PLACE):
+        sink_parquet(recs_global(scan_parquet(spark, product_day_path), catalog, params), output_path)
 
 
 def job_recs_by_client(
     spark: SparkSession, product_day_path: str, catalog: DataFrame, output_path: str,
     params: RecommendParams = RecommendParams(),
 ) -> None:
-    sink_parquet(recs_by_client(scan_parquet(spark, product_day_path), catalog, params), output_path)
+    with settings(spark, IN_PLACE):
+        sink_parquet(recs_by_client(scan_parquet(spark, product_day_path), catalog, params), output_path)
 
 
 def job_predict(

@@ -9,7 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from basketry.operators import item_item, recommend, skew
+from basketry.operators.item_item import IN_PLACE
 from basketry.params import RecommendParams
+from basketry.session import materialise, settings
 
 
 def purchases():
@@ -57,9 +59,8 @@ def test_salting_spreads_the_hot_client(counts, monkeypatch):
     assert "_salt" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("rows_per_salt", [5, 10**6])
-def test_recommendations(counts, monkeypatch, rows_per_salt):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (rows_per_salt, None))
+@pytest.mark.parametrize("blocks,in_place", [(None, {}), (1, IN_PLACE), (7, {}), (7, IN_PLACE)])
+def test_recommendations(spark, counts, blocks, in_place):
     cells, sim = brute_similarity()
     bought = defaultdict(dict)
     for (c, p), n in cells.items():
@@ -72,12 +73,33 @@ def test_recommendations(counts, monkeypatch, rows_per_salt):
         }
         best = sorted((-s, j) for j, s in scores.items() if s > 0)[:5]
         want |= {(c, j, -s, r + 1) for r, (s, j) in enumerate(best)}
-    recs = item_item.recommend_items(counts, item_item.item_cosine(counts), 5)
-    got = set(rows(recs, "client", "recommended_product", "recommendation_score", "recommendation_rank"))
+    with settings(spark, in_place):
+        recs = item_item.recommend_items(counts, item_item.item_cosine(counts), 5, blocks=blocks)
+        got = set(rows(recs, "client", "recommended_product", "recommendation_score", "recommendation_rank"))
     assert {(c, j, r) for c, j, _, r in got} == {(c, j, r) for c, j, _, r in want}
     assert not {(c, j) for c, j, *_ in got} & set(cells)
 
 
+def test_no_exchange_after_the_blocks_meet(spark, counts):
+    """Join, sum, anti join and rank run where clients and similarities were dealt."""
+    sim = materialise(item_item.item_cosine(counts), "sim")
+    stored = materialise(counts, "counts")
+    with settings(spark, IN_PLACE | {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        recs = item_item.recommend_items(stored, sim, 5, blocks=3)
+        plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange shufflepartitionidpassthrough") in (2, 3)
+    assert "hashpartitioning" not in plan and "Window" in plan and "LeftAnti" in plan
+
+
+def test_settings_come_back(spark):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    with pytest.raises(ValueError), settings(spark, IN_PLACE):
+        assert spark.conf.get(key) == "false"
+        raise ValueError
+    assert spark.conf.get(key, None) == before
+
+
 def test_one_item_gives_no_similarity(spark):
     counts = item_item.user_item_counts(spark.createDataFrame([("a", "x"), ("b", "x")], "client string, product string"))
     assert item_item.item_cosine(counts).count() == 0

@@ -195,7 +195,10 @@ def _fraction(fx):
 # --- recommenders -------------------------------------------------------------------------
 
 
-@query("recs_global", oracle("SELECT client, recommended_product, recommendation_score, recommendation_rank FROM g_counts_recs"))
+GLOBAL = "SELECT client, recommended_product, recommendation_score, recommendation_rank FROM g_counts_recs"
+
+
+@query("recs_global", oracle(GLOBAL))
 def _global(fx):
     return recommend.recs_global(fx.product_day, fx.catalog, PARAMS)
 
@@ -256,6 +259,14 @@ def _combine(fx):
     return joined(recommend.combine_recs(likely(fx), recs, fx.catalog, lists))
 
 
+@query("job_recs_global", oracle(GLOBAL))
+def _job_global(fx):
+    base = work_dir(fx.spark, "recs-global")
+    writers.sink_parquet(fx.product_day, f"{base}/product_day")
+    jobs.job_recs_global(fx.spark, f"{base}/product_day", fx.catalog, f"{base}/recs", PARAMS)
+    return fx.spark.read.parquet(f"{base}/recs")
+
+
 @query("job_recs_by_client", oracle(BY_CLIENT))
 def _job_by_client(fx):
     base = work_dir(fx.spark, "recs")
