@@ -39,8 +39,8 @@ def _by_score(df: DataFrame, label: str, prob: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, prob: str) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; scores lie in [0, 1]."""
-    ordered = running_totals(_by_score(df, label, prob), F.col("score"), 0.0, 1.0, ["neg"])
+    """Exact area under the ROC curve, ties counted half."""
+    ordered = running_totals(_by_score(df, label, prob), F.col("score"), ["neg"])
     wins = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ordered.agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
@@ -114,9 +114,7 @@ def calibration_curve(df: DataFrame, label: str, prob: str, bins: int = 10) -> D
 
 def pr_curve(df: DataFrame, label: str, prob: str) -> DataFrame:
     """Precision and recall when everything at or above each distinct score is predicted."""
-    ordered = running_totals(
-        _by_score(df, label, prob), -F.col("score"), -1.0, 0.0, ["pos", "neg"]
-    )
+    ordered = running_totals(_by_score(df, label, prob), -F.col("score"), ["pos", "neg"])
     hits = F.col("pos_before") + F.col("pos")
     predicted = hits + F.col("neg_before") + F.col("neg")
     positives = df.agg(F.sum(F.col(label).cast("long"))).scalar()

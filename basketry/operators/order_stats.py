@@ -15,15 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Histogram buckets per unit of log(1 + |value|): about 0.05% of a large value each.
-LOG_BUCKETS = 2048
+from basketry.session import materialise
+
+# Histogram buckets per doubling of |value|: about 0.07% of a value each, however small it is.
+LOG_BUCKETS = 1024
+# No double but zero is smaller than 2**-1074.
+LEAST_EXPONENT = 1075
 
 # A key is hot when it holds more distinct values than one aggregation buffer should.
 HOT_VALUES = 1_000_000
 
-# Pieces per level when an order range is cut for running totals.
-PIECES = 1024
-
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per key with their row count; null values are left out."""
@@ -69,7 +70,8 @@ def values_at_ranks(
     """
     v = F.col("_v")
     # Never decreasing in the value, so buckets are ordered like the values.
-    bucket = F.floor(F.signum(v) * F.log1p(F.abs(v)) * LOG_BUCKETS)
+    above = (F.log2(F.abs(v)) + LEAST_EXPONENT) * LOG_BUCKETS
+    bucket = F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * F.floor(above)).cast("long")
     pool = counts.withColumn("_b", bucket)
 
     # The histogram has one row per group and bucket, whatever the size of the group.
@@ -137,40 +139,27 @@ def percentiles_by_key(
     return usual.unionByName(large)
 
 
-def running_totals(
-    df: DataFrame, order_by: Column, low: float, high: float, sums: Sequence[str]
-) -> DataFrame:
+def running_totals(df: DataFrame, order_by: Column, sums: Sequence[str]) -> DataFrame:
     """Add ``<column>_before``: the sum over all rows ordered strictly earlier.
 
-    ``order_by`` is distinct per row and lies in [``low``, ``high``]. Instead of one
-    window over the whole table the range is cut into ``PIECES`` squared pieces:
-    totals of pieces are accumulated in windows of at most ``PIECES`` rows, and rows
-    only inside their piece.
+    ``order_by`` is distinct per row; rows without it are left out. Instead of one window
+    over the whole table, rows are dealt into ranges whose borders Spark takes from a sample
+    of the values, so that crowded values are spread like any others. Each range adds up its
+    own rows and starts from the totals of the ranges before it, one row each. The dealt rows
+    are stored, as borders of a second sample could differ.
     """
-    share = (order_by.cast("double") - low) / (high - low)
-    piece = F.least(F.floor(share * PIECES**2), F.lit(PIECES**2 - 1)).cast("int")
-    df = df.withColumn("_o", order_by).withColumn("_p", piece)
-
-    pieces = df.groupBy(F.floor(F.col("_p") / PIECES).cast("int").alias("_q"), "_p").agg(
-        *[F.sum(c).alias(c) for c in sums]
-    )
-    # No partitioning here: the table has at most PIECES rows.
-    whole = W.orderBy("_q").rowsBetween(W.unboundedPreceding, -1)
-    inner = W.partitionBy("_q").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    dealt = df.withColumn("_o", order_by).where(F.col("_o").isNotNull()).repartitionByRange("_o")
+    ranges = materialise(dealt.withColumn("_p", F.spark_partition_id()), "ranges")
+    totals = ranges.groupBy("_p").agg(*[F.sum(c).alias(c) for c in sums])
+    # No partitioning here: one row per range, and there are as many as shuffle partitions.
+    earlier = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     leaf = W.partitionBy("_p").orderBy("_o").rowsBetween(W.unboundedPreceding, -1)
 
     def total(column: str, window) -> Column:
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    blocks = (
-        pieces.groupBy("_q")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .select("_q", *[total(c, whole).alias(f"_{c}_block") for c in sums])
-    )
-    offsets = pieces.join(F.broadcast(blocks), "_q").select(
-        "_p", *[(F.col(f"_{c}_block") + total(c, inner)).alias(f"_{c}_offset") for c in sums]
-    )
-    out = df.join(offsets, "_p")
+    offsets = totals.select("_p", *[total(c, earlier).alias(f"_{c}_offset") for c in sums])
+    out = ranges.join(F.broadcast(offsets), "_p")
     for c in sums:
         out = out.withColumn(f"{c}_before", F.col(f"_{c}_offset") + total(c, leaf))
     return out.drop("_o", "_p", *[f"_{c}_offset" for c in sums])

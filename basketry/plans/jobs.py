@@ -26,7 +26,6 @@ from basketry.operators.clean import (
     explode_details_strict,
     filter_positive_ticket,
     filter_vip_weeks,
-    incremental_sync,
     iso_week_key,
     normalise_sales,
     rename_vip,
@@ -74,6 +73,8 @@ from basketry.params import (
     WindowParams,
 )
 from basketry.session import materialise, settings
+from basketry.sources.landing import land
+from basketry.sources.months import SALES_KEY, STORED, last_day, merge_months
 from basketry.sources.readers import (
     empty_table,
     load_calendar,
@@ -88,38 +89,48 @@ from basketry.sources.writers import sink_csv, sink_metrics, sink_parquet
 # --- load, preprocess, featurize --------------------------------------------------
 
 
-def load_plan(
-    existing: DataFrame | None, raw: DataFrame, params: WindowParams = WindowParams()
-) -> DataFrame:
-    """Stored sales brought up to date with nested raw tickets."""
-    new = clean_new_sales(raw)
-    if existing is None:
-        existing = new.where(F.lit(False))
-    return incremental_sync(existing, new, params.months_to_keep)
+def job_land(
+    spark: SparkSession,
+    tickets_path: str,
+    landed_path: str,
+    ledger_path: str,
+    today: date,
+    batch: str | None = None,
+    force: Sequence[str] = (),
+) -> list[str]:
+    """Land the months of received tickets that are not landed yet; gives their names."""
+    tickets = scan_parquet(spark, tickets_path, schemas.RAW_TICKETS)
+    return land(spark, tickets, landed_path, ledger_path, today, batch or today.isoformat(), force)
 
 
 def job_load(
     spark: SparkSession,
     raw_path: str,
-    previous_path: str | None,
-    output_path: str,
+    sales_path: str,
+    state_path: str,
     today: date,
-    params: WindowParams = WindowParams(),
+    batch: str | None = None,
 ) -> bool:
-    """Write a new version of the sales; ``False`` when the stored one is up to date.
+    """Bring the sales, stored by month, up to date with nested raw tickets.
 
-    Only tickets since the last stored day are read.
+    Only tickets since the last stored day are read, and only the months of new lines are
+    rewritten. ``False`` when the sales are up to date, or nothing new has come: then no file
+    changes. Read the result by :func:`basketry.sources.months.read_months`, which keeps to the
+    last months.
     """
     raw = scan_parquet(spark, raw_path, schemas.RAW_TICKETS)
-    stored = or_none(spark.read.parquet, previous_path) if previous_path else None
-    if stored is not None:
-        last = stored.agg(F.max("date_sale")).first()[0]
-        if last is not None and last >= today:
+    stored = or_none(spark.read.schema(STORED).parquet, sales_path)
+    last = None if stored is None else last_day(stored)
+    if last is not None:
+        if last >= today:
             return False
-        if last is not None:
-            raw = raw.where(F.col("date_sale") >= F.lit(last))
-    sink_parquet(load_plan(stored, raw, params), output_path)
-    return True
+        raw = raw.where(F.col("date_sale") >= F.lit(last))
+    new = clean_new_sales(raw)
+    if last is not None:
+        # What is stored already, as the last day is read again, is not new.
+        held = stored.where(F.col("month") == f"{last:%Y-%m}").where(F.col("date_sale") == F.lit(last))
+        new = new.join(held, list(SALES_KEY), "left_anti")
+    return bool(merge_months(new, batch or f"load-{today.isoformat()}", sales_path, state_path))
 
 
 def regular_clients(

@@ -3,55 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from basketry.functions.dates import DAYS_PER_MONTH
-from basketry.operators.clean import SALES_COLUMNS, dedupe_keep_first
-from basketry.schemas import SALES
-from basketry.sources.readers import or_none
-from basketry.sources.writers import overwrite_partitions
-
-# Stated, as a month read back from its folder name would be taken for a date.
-STORED = T.StructType([*SALES.fields, T.StructField("month", T.StringType())])
-SALES_KEY = ("date_sale", "id_client", "product")
-
-
-def with_month(df: DataFrame) -> DataFrame:
-    return df.withColumn("month", F.date_format("date_sale", "yyyy-MM"))
-
-
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def merge_batch(
-    batch: DataFrame, batch_id: int, target: str, staging: str, line_order: Sequence[str]
-) -> None:
-    """Merge one micro-batch into the months it touches; stored rows win.
-
-    The new content of those months is first written in full to ``staging``. A batch
-    that is repeated after a failure finds it there and only replaces the months
-    again, so a crash while months are being replaced loses nothing.
-    """
-    spark = batch.sparkSession
-    staged = f"{staging}/batch-{batch_id}"
-    if not _is_complete(spark, staged):
-        new = with_month(batch).withColumn("_source", F.lit(1))
-        stored = or_none(spark.read.schema(STORED).parquet, target)
-        if stored is not None:
-            # A few month names; as literals they keep the scan to those folders.
-            touched = [r["month"] for r in new.select("month").distinct().collect()]
-            kept = stored.where(F.col("month").isin(touched)).withColumn("_source", F.lit(0))
-            new = kept.unionByName(new, allowMissingColumns=True)
-        merged = dedupe_keep_first(new, SALES_KEY, ("_source", *line_order))
-        merged.select(*SALES_COLUMNS, "month").write.mode("overwrite").parquet(staged)
-    overwrite_partitions(spark.read.parquet(staged), target, ["month"])
+from basketry.sources.months import merge_months
 
 
 def start_sync(
@@ -64,28 +21,13 @@ def start_sync(
 ) -> StreamingQuery:
     """Process all files of ``source`` not seen yet, then stop.
 
-    ``target`` and ``state`` must be folders all executors share.
+    Each micro-batch goes through the merge that the load job uses. ``target`` and
+    ``state`` must be folders all executors share.
     """
     stream = spark.readStream.schema(source_schema).parquet(source)
     return (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{state}/checkpoint")
-        .foreachBatch(lambda df, i: merge_batch(df, i, target, f"{state}/staging", line_order))
+        .foreachBatch(lambda df, i: merge_months(df, f"stream-{i}", target, state, line_order))
         .start()
     )
-
-
-def read_synced(spark: SparkSession, target: str, months: int) -> DataFrame:
-    """The synced sales, trimmed to the last ``months`` x 30 days.
-
-    The latest stored date is looked up first, in the newest month only, so that the
-    months to read are literals and the scan skips the folders of older ones.
-    """
-    stored = spark.read.schema(STORED).parquet(target)
-    newest = stored.agg(F.max("month")).first()[0]
-    last = stored.where(F.col("month") == newest).agg(F.max("date_sale")).first()[0]
-    if last is None:
-        return stored.select(*SALES_COLUMNS)
-    first = last - timedelta(days=months * DAYS_PER_MONTH)
-    recent = stored.where(F.col("month") >= f"{first:%Y-%m}")
-    return recent.where(F.col("date_sale") >= F.lit(first)).select(*SALES_COLUMNS)

@@ -1,6 +1,7 @@
 """Readers, writers, landing and the streaming sync."""
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -11,7 +12,7 @@ from basketry import work_dir
 from basketry.operators.clean import SALES_COLUMNS, incremental_sync
 from basketry.plans import jobs
 from basketry.schemas import CLUSTER_RECS, RAW_TICKETS, SALES_VALUE
-from basketry.sources import landing, readers, writers
+from basketry.sources import landing, ledger, months, readers, writers
 from basketry.streaming import sync
 
 LINES = f"date_sale date, id_client string, product string, {SALES_VALUE} double, amount double, line int"
@@ -78,29 +79,99 @@ def test_stream_equals_batch(spark, day):
     for part in (one, two, two.limit(0)):
         part.write.mode("append").parquet(f"{base}/in")
         sync.start_sync(spark, f"{base}/in", one.schema, f"{base}/out", f"{base}/state", ["line"]).awaitTermination()
-    got = sync.read_synced(spark, f"{base}/out", 6)
+    got = months.read_months(spark, f"{base}/out", 6)
     assert rows(got) == rows(incremental_sync(one, two, 6, ["line"])) != []
 
 
-def test_repeated_batch_changes_nothing(spark, day):
-    base = work_dir(spark, "sync")
+def files(path):
+    """Data files below a folder with the time of their last change."""
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_merge_touches_only_its_months(spark, day):
+    base = work_dir(spark, "merge")
+    target, state = f"{base}/out", f"{base}/state"
     one, two = batches(spark, day)
-    target, staging = f"{base}/out", f"{base}/staging"
-    sync.merge_batch(one, 0, target, staging, ["line"])
-    sync.merge_batch(two, 1, target, staging, ["line"])
-    before = rows(spark.read.parquet(target), *SALES_COLUMNS)
-    # A crash while the months were being replaced: one month is gone, the batch runs again.
-    writers.overwrite_partitions(spark.read.parquet(target).where("month = '2024-03'").limit(1), target, ["month"])
-    sync.merge_batch(two, 1, target, staging, ["line"])
-    assert rows(spark.read.parquet(target), *SALES_COLUMNS) == before
+    assert months.merge_months(one, "a", target, state, ["line"]) == ["2023-01", "2024-03"]
+    before = files(target)
+    assert months.merge_months(two, "b", target, state, ["line"]) == ["2024-03"]
+    after = files(target)
+    old = {f: t for f, t in before.items() if "2023-01" in str(f)}
+    assert old and old.items() <= after.items(), "the other month keeps its files"
+    assert not {f for f in before if "2024-03" in str(f)} & set(after)
+    want = rows(incremental_sync(one, two, 1000, ["line"]))
+    assert rows(spark.read.parquet(target), *SALES_COLUMNS) == want
+    # A batch that is finished, and one without rows.
+    assert months.merge_months(two, "b", target, state, ["line"]) == []
+    assert months.merge_months(two.limit(0), "c", target, state, ["line"]) == []
+    assert files(target) == after
+
+
+def test_batch_cut_off_while_months_are_replaced(spark, day, monkeypatch):
+    base = work_dir(spark, "merge")
+    target, state = f"{base}/out", f"{base}/state"
+    one, two = batches(spark, day)
+    months.merge_months(one, "a", target, state, ["line"])
+
+    def half(df, path, by):
+        overwrite(df.where("month = '2024-03'").limit(1), path, by)
+        raise OSError("cut off")
+
+    overwrite = months.overwrite_partitions
+    monkeypatch.setattr(months, "overwrite_partitions", half)
+    with pytest.raises(OSError):
+        months.merge_months(two, "b", target, state, ["line"])
+    monkeypatch.setattr(months, "overwrite_partitions", overwrite)
+    assert months.merge_months(two, "b", target, state, ["line"]) == ["2024-03"]
+    assert rows(spark.read.parquet(target), *SALES_COLUMNS) == rows(incremental_sync(one, two, 1000, ["line"]))
 
 
-def test_load_job_stops_when_up_to_date(spark, day):
+def test_load_job_stops_when_nothing_is_new(spark, day):
     base = work_dir(spark, "load")
-    writers.sink_parquet(tickets(spark, day, [(1, "2024-01-05")]), f"{base}/raw")
-    assert jobs.job_load(spark, f"{base}/raw", None, f"{base}/v1", date(2024, 1, 6))
-    assert not jobs.job_load(spark, f"{base}/raw", f"{base}/v1", f"{base}/v2", date(2024, 1, 5))
-    assert rows(spark.read.parquet(f"{base}/v1"), "id_client", "product") == [("1234570", "p")]
+    paths = f"{base}/raw", f"{base}/sales", f"{base}/state"
+    writers.sink_parquet(tickets(spark, day, [(1, "2024-01-05")]), paths[0])
+    assert jobs.job_load(spark, *paths, date(2024, 1, 6))
+    before = files(paths[1])
+    assert not jobs.job_load(spark, *paths, date(2024, 1, 5)), "stored up to today"
+    assert not jobs.job_load(spark, *paths, date(2024, 1, 7)), "no line that is not stored"
+    assert files(paths[1]) == before
+    tickets(spark, day, [(2, "2024-01-07")]).write.mode("append").parquet(paths[0])
+    assert jobs.job_load(spark, *paths, date(2024, 1, 8))
+    stored = months.read_months(spark, paths[1], 6)
+    assert rows(stored, "date_sale", "id_client", "product") == [(day(d), "1234570", "p") for d in ("2024-01-05", "2024-01-07")]
+
+
+def test_landing_job(spark, day):
+    base = work_dir(spark, "land")
+    paths = f"{base}/tickets", f"{base}/landed", f"{base}/ledger"
+    data = [(1, "2024-01-05"), (1, "2024-01-05"), (2, "2024-02-05"), (3, "2024-04-01"), (4, "2024-02-06")]
+    writers.sink_parquet(tickets(spark, day, data), paths[0])
+    assert jobs.job_land(spark, *paths, date(2024, 2, 10)) == ["2024-01", "2024-02"]
+    entries = ledger.read_ledger(spark, paths[2], ledger.LANDED)
+    assert rows(entries, "month", "rows", "batch") == [("2024-01", 1, "2024-02-10"), ("2024-02", 2, "2024-02-10")]
+    before = files(paths[1])
+    assert jobs.job_land(spark, *paths, date(2024, 3, 10)) == [] and files(paths[1]) == before
+    assert jobs.job_land(spark, *paths, date(2024, 3, 10), "again", ["2024-02"]) == ["2024-02"]
+    after = files(paths[1])
+    assert {f for f in before if "2024-01" in str(f)} <= set(after) and before.keys() != after.keys()
+    assert rows(spark.read.parquet(paths[1]), "ID") == [(1,), (2,), (4,)]
+    assert jobs.job_land(spark, *paths, date(2024, 4, 10)) == ["2024-04"]
+
+
+def test_landing_cut_off_before_the_ledger(spark, day, monkeypatch):
+    base = work_dir(spark, "land")
+    paths = f"{base}/tickets", f"{base}/landed", f"{base}/ledger"
+    writers.sink_parquet(tickets(spark, day, [(1, "2024-01-05"), (2, "2024-02-05")]), paths[0])
+
+    def fail(*_):
+        raise OSError("cut off")
+
+    monkeypatch.setattr(landing, "add_entries", fail)
+    with pytest.raises(OSError):
+        jobs.job_land(spark, *paths, date(2024, 2, 10))
+    monkeypatch.undo()
+    assert jobs.job_land(spark, *paths, date(2024, 2, 10)) == ["2024-01", "2024-02"]
+    assert rows(spark.read.parquet(paths[1]), "ID") == [(1,), (2,)]
 
 
 def test_segment_job_writes_an_empty_table(spark, day):

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from basketry import work_dir
 from basketry.functions.text import parse_literal_list
 from basketry.operators import clean, metrics, patterns, recommend, segmentation
-from basketry.plans.jobs import regular_ids
+from basketry.plans.jobs import job_load, regular_ids
 from basketry.schemas import RAW_TICKETS, SALES_VALUE
 from basketry.sources import writers
-from basketry.streaming.sync import read_synced, start_sync
+from basketry.sources.months import read_months
+from basketry.streaming.sync import start_sync
 from workload.fixtures import FX_EXCLUDED, FX_PATTERNS
 from workload.oracle_views import EXCLUDED, VALUE, oracle
 from workload.registry import query, rnd, rounded
@@ -300,7 +303,7 @@ def _incremental_sync_stream(fx):
         start_sync(
             fx.spark, f"{base}/in", fx.valid.schema, f"{base}/sales", f"{base}/state", SYNC_ORDER
         ).awaitTermination()
-    return rounded(read_synced(fx.spark, f"{base}/sales", 6))
+    return rounded(read_months(fx.spark, f"{base}/sales", 6))
 
 
 @query(
@@ -313,13 +316,11 @@ def _incremental_sync_stream(fx):
                WHERE date_sale >= (SELECT max(date_sale) FROM valid) - 180"""),
 )
 def _job_load(fx):
-    from datetime import date
-
-    from basketry.plans.jobs import job_load
-
     base = work_dir(fx.spark, "load")
-    writers.sink_parquet(fx.raw_tickets.select(*RAW_TICKETS.names), f"{base}/raw")
-    stored = fx.valid.where(F.col("date_sale") < F.lit(SYNC_CUT).cast("date"))
-    writers.sink_parquet(stored.select(*clean.SALES_COLUMNS), f"{base}/v1")
-    job_load(fx.spark, f"{base}/raw", f"{base}/v1", f"{base}/v2", date(2002, 1, 1))
-    return fx.spark.read.parquet(f"{base}/v2").select("date_sale", "id_client", "product")
+    raw = fx.raw_tickets.select(*RAW_TICKETS.names)
+    # Two days of loading: all tickets up to the cut, then those that came since.
+    old = F.col("date_sale") < F.lit(SYNC_CUT).cast("date")
+    for today, part in ((date.fromisoformat(SYNC_CUT), old), (date(2002, 1, 1), F.lit(True))):
+        writers.sink_parquet(raw.where(part), f"{base}/raw-{today}")
+        job_load(fx.spark, f"{base}/raw-{today}", f"{base}/sales", f"{base}/state", today)
+    return read_months(fx.spark, f"{base}/sales", 6).select("date_sale", "id_client", "product")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from basketry import schemas, work_dir
 from basketry.operators.recommend import merge_recommendations, recs_by_cluster
+from basketry.plans.jobs import job_land
+from basketry.schemas import RAW_TICKETS
 from basketry.sources import landing, readers, writers
+from basketry.sources.ledger import LANDED, read_ledger
 from workload.oracle_views import oracle
 from workload.registry import joined, query, rnd, rounded
 
@@ -123,6 +128,26 @@ def _land_raw_months(fx):
     return landed.select("ID", "date_sale", F.col("month").cast("string").alias("month"), "id_point_sale")
 
 
+@query(
+    "job_land",
+    oracle("""SELECT month, cast(count(*) AS BIGINT) AS rows, cast(1 AS BIGINT) AS landings FROM (
+                SELECT strftime(date_sale, '%Y-%m') AS month FROM raw_orders WHERE date_sale < DATE '2001-01-01')
+              GROUP BY 1"""),
+)
+def _job_land(fx):
+    """The ledger after three landings: up to 1996, up to 2000, and nothing more the same day."""
+    base = work_dir(fx.spark, "land")
+    writers.sink_parquet(fx.raw_tickets.unionByName(fx.raw_tickets).select(*RAW_TICKETS.names), f"{base}/tickets")
+    for day in (date(1996, 12, 31), date(2000, 12, 31), date(2000, 12, 31)):
+        job_land(fx.spark, f"{base}/tickets", f"{base}/landed", f"{base}/ledger", day)
+    landed = readers.scan_raw_months(fx.spark, f"{base}/landed")
+    entries = read_ledger(fx.spark, f"{base}/ledger", LANDED).groupBy("month").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("landings")
+    )
+    found = landed.groupBy(F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+    return entries.join(found, ["month", "rows"], "left_semi")
+
+
 @query(
     "landing_coverage",
     oracle("""SELECT cast(d AS DATE) AS day FROM (
