@@ -11,7 +11,9 @@ all other documents, so files are processed as a stream:
    others fail E whatever comes later and are counted at once.
 3. A keyed state holds for each text the smallest id met and the masks counted for it. When a
    smaller id arrives, the masks counted before are retracted from the counters of their parts,
-   counted again as failing E, and the state moves to the new id.
+   counted again as failing E, and the state moves to the new id. Texts lie in the state by
+   buckets of their keys, as handing one group to Python costs more than a thousand texts in it;
+   the number of buckets follows from the rows of the table when a stream first starts.
 4. Each batch writes its sum of signed changes per part, mask and labels to a folder of its own,
    overwriting it if the batch is repeated. The counters are the sums over all batches.
 
@@ -19,7 +21,7 @@ From the counters (at most 32 masks a part) follow all 120 orders: what a filter
 only on the set of filters before it, so 80 pairs of filter and set make all 600 rows of a part.
 
 State lives in RocksDB with its changes in the checkpoint folder, so neither heap nor driver grow
-with the number of texts, and a lost executor's state is read again. A very frequent text reaches
+with the number of texts, and a lost executor's state is read again. A task holds one bucket. A very frequent text reaches
 the state once per task and batch; rows without an id are spread over the join.
 
 Defined results: a null text is an empty one, a null source the part ``""``. A row without an id
@@ -50,6 +52,7 @@ from pyspark.sql.window import Window
 
 from basketry.llm.common import own_names, tune, work_dir
 from basketry.llm.wordarrays import raw
+from basketry.sources.readers import or_none
 
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
@@ -57,16 +60,23 @@ MIN_WORDS = 200
 # Micro-batches into which the files of a table are dealt. A repeated batch costs its share of
 # the table; each batch reads the labels once.
 BATCHES = 4
+# Rows of the table per bucket of texts.
+BUCKET_ROWS = 1000
 # Rows that a task gathers before it hands them on.
 HELD_ROWS = 100_000
 CHANGES = "part string, mask int, good boolean, toxic boolean, n bigint"
 ROWS = f"key binary, doc_id bigint, {CHANGES}"
-STATE = "doc_id bigint, part array<string>, mask array<int>, good array<boolean>, toxic array<boolean>, n array<bigint>"
+STATE = (
+    "key array<binary>, doc_id array<bigint>, part array<string>, mask array<int>, good array<boolean>, "
+    "toxic array<boolean>, n array<bigint>"
+)
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Otherwise each of many small stores reserves megabytes of disk.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 _CAPITAL = np.zeros(256, bool)
@@ -123,7 +133,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Only the smallest id of each text goes on as it is; other rows are final and come counted.
 
-    Final rows have no id, and a key of the task's own so that their groups stay small.
+    Final rows have no id, and a key of the task's own so that they spread over the buckets.
     """
     own = b"task%d" % TaskContext.get().partitionId()
     least: dict[bytes, tuple[int, Counter]] = {}
@@ -159,42 +169,35 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _retract(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Signed changes of the counters by new rows of one text, and the state after them."""
-    held, counts = None, Counter()
+    """Signed changes of the counters by new rows of one bucket, and its texts after them."""
+    held: dict[bytes, tuple[int, Counter]] = {}
     if state.exists:
-        held, *columns = state.get
-        counts.update(dict(zip(zip(*columns[:-1]), columns[-1])))
-    before = held, dict(counts)
+        for text, i, *row, n in zip(*state.get):
+            held.setdefault(bytes(text), (i, Counter()))[1][tuple(row)] = n
     changes: Counter = Counter()
     for frame in frames:
-        ids = frame["doc_id"].array
-        if len(ids) == 1 and held is None and ids[0] == ids[0] and ids[0] is not pd.NA:
-            # The first row of a text: counted as it stands.
-            held = int(ids[0])
-            row = frame.iloc[0]
-            counts[row["part"], int(row["mask"]), bool(row["good"]), bool(row["toxic"])] += int(row["n"])
-            yield frame
-            continue
-        columns = [frame[c].tolist() for c in ("doc_id", "part", "mask", "good", "toxic", "n")]
-        for i, part, mask, good, toxic, n in zip(*columns):
+        columns = [frame[c].tolist() for c in ("key", "doc_id", "part", "mask", "good", "toxic", "n")]
+        for text, i, part, mask, good, toxic, n in zip(*columns):
             if i is None or i != i:
                 changes[part, mask, good, toxic] += n
-            elif held is not None and i > held:
+                continue
+            known = held.get(text)
+            if known is not None and i > known[0]:
                 changes[part, mask | DUPLICATE, good, toxic] += n
-            else:
-                if held is not None and i < held:
-                    for (p, m, g, t), k in counts.items():
-                        changes[p, m, g, t] -= k
-                        changes[p, m | DUPLICATE, g, t] += k
-                    counts.clear()
-                held = int(i)
-                counts[part, mask, good, toxic] += n
-                changes[part, mask, good, toxic] += n
-    if held is not None and (held, dict(counts)) != before:
-        state.update((held, *map(list, zip(*counts)), list(counts.values())))
-    rows = [(key[0], None, *row, n) for row, n in changes.items() if n]
+                continue
+            if known is None or i < known[0]:
+                for (p, m, g, t), k in known[1].items() if known else ():
+                    changes[p, m, g, t] -= k
+                    changes[p, m | DUPLICATE, g, t] += k
+                known = held[text] = int(i), Counter()
+            known[1][part, mask, good, toxic] += n
+            changes[part, mask, good, toxic] += n
+    if held:
+        rows = [(text, i, *row, n) for text, (i, counts) in held.items() for row, n in counts.items()]
+        state.update(tuple(map(list, zip(*rows))))
+    rows = [(*row, n) for row, n in changes.items() if n]
     if rows:
-        yield pd.DataFrame(rows, columns=["key", "doc_id", "part", "mask", "good", "toxic", "n"])
+        yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
 def _pattern(path: str) -> str:
@@ -216,6 +219,16 @@ def _settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _buckets(spark: SparkSession, folder: str, table: DataFrame) -> int:
+    """The number of buckets of this folder's state, chosen once."""
+    chosen = or_none(spark.read.parquet, f"{folder}/buckets")
+    if chosen is not None:
+        return chosen.first()[0]
+    buckets = max(1, table.count() // BUCKET_ROWS)
+    spark.createDataFrame([(buckets,)], "buckets bigint").write.parquet(f"{folder}/buckets")
+    return buckets
+
+
 def start_audit(
     spark: SparkSession, path: str, labels: DataFrame, folder: str, files_per_batch: int
 ) -> StreamingQuery:
@@ -224,7 +237,9 @@ def start_audit(
     Started again with the same folder, it goes on where it ended, and takes files that came since.
     """
     tune(spark)
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema = table.schema
+    buckets = _buckets(spark, folder, table)
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(_pattern(path))
     docs = own_names(source, "doc_id", "text", "source", source="string")
     docs = docs.withColumn("source", F.coalesce("source", F.lit("")))
@@ -244,8 +259,9 @@ def start_audit(
     )
     changes = (
         flagged.mapInArrow(_settle, ROWS)
-        .groupBy("key")
-        .applyInPandasWithState(_retract, ROWS, STATE, "append", GroupStateTimeout.NoTimeout)
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .groupBy("bucket")
+        .applyInPandasWithState(_retract, CHANGES, STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
     def add(batch: DataFrame, number: int) -> None:
