@@ -279,13 +279,14 @@ def _stalled(losses: list[float], params: ModelParams) -> bool:
 def fit_trees(df: DataFrame, params: ModelParams = ModelParams(), keys: Sequence[str] = ("client", "date")) -> BoostedTrees:
     """Boost trees on balanced classes.
 
-    From ``early_stopping_rows`` rows on a share ``hold_out`` of them, chosen by a hash of the
-    keys, is kept from the trees; boosting ends when its loss has not fallen for ``patience`` trees.
+    Above ``early_stopping_rows`` rows a share ``hold_out`` of them, chosen by a hash of the
+    keys (of the features where there are no such columns), is kept from the trees; boosting ends when its loss has not fallen for ``patience`` trees.
     """
     spark, names = df.sparkSession, list(params.features)
     classes = class_weights(df, params.target).collect()
     weights = {int(r["label"]): float(r["weight"]) for r in classes}
     rows = sum(r["rows"] for r in classes)
+    keys = [k for k in keys if k in df.columns] or names
     share = round(params.hold_out * 1000) if rows > params.early_stopping_rows else 0
     chosen = F.pmod(F.xxhash64(F.lit(params.seed), *keys), F.lit(1000)) < share
     columns = [F.col(f).cast("double").alias(f) for f in names]

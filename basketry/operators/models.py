@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from basketry.operators import clustering
 from basketry.operators.boosting import fit_trees
-from basketry.operators.metrics import class_weights
+from basketry.operators.linear import LogisticModel, fit_logistic, fit_sigmoid
 from basketry.operators.order_stats import spread_rank
 from basketry.operators.segmentation import (
     VIP_FEATURES,
@@ -34,34 +28,9 @@ from basketry.session import materialise
 # --- training -------------------------------------------------------------------
 
 
-def _weighted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Rows with balanced class weights, and their number. Two class rows reach the driver."""
-    classes = class_weights(df, label).collect()
-    weights = F.create_map(*[F.lit(v) for r in classes for v in (r["label"], r["weight"])])
-    return df.withColumn("_weight", weights[F.col(label)]), sum(r["rows"] for r in classes)
-
-
 def train_logistic(df: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
-    """Scaled features without centring, balanced classes, L2 penalty of strength C.
-
-    Spark averages the loss over the rows where C weighs its sum, hence the penalty
-    of one over C times the rows.
-    """
-    weighted, rows = _weighted(df, params.target)
-    stages = [
-        VectorAssembler(inputCols=list(params.features), outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True),
-        LogisticRegression(
-            featuresCol="features",
-            labelCol=params.target,
-            weightCol="_weight",
-            maxIter=params.lr_max_iter,
-            tol=params.lr_tol,
-            regParam=1.0 / (params.lr_c * rows),
-            standardization=False,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+    """Logistic model by Newton steps; see :mod:`basketry.operators.linear`."""
+    return PipelineModel(stages=[fit_logistic(df, params)])
 
 
 def train_gbt(
@@ -83,34 +52,8 @@ def train(df: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
 
 
 def calibrate_sigmoid(base: PipelineModel, df: DataFrame, label: str) -> PipelineModel:
-    """Platt scaling of a fitted model that stays as it is.
-
-    Targets are smoothed, (N+ + 1) / (N+ + 2) and 1 / (N- + 2): every row enters twice,
-    as a positive with its target as weight and as a negative with the rest.
-    """
-    slicer = VectorSlicer(inputCol="rawPrediction", outputCol="margin", indices=[1])
-    margins = slicer.transform(base.transform(df)).select("margin", F.col(label).alias("_y"))
-    sizes = margins.agg(F.struct(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))).scalar()
-    target = F.when(F.col("_y") == 1, (sizes["pos"] + 1) / (sizes["pos"] + 2)).otherwise(
-        1 / (sizes["neg"] + 2)
-    )
-    halves = F.array(
-        F.struct(F.lit(1.0).alias("_label"), target.alias("_w")),
-        F.struct(F.lit(0.0).alias("_label"), (1 - target).alias("_w")),
-    )
-    rows = margins.select("margin", F.explode(halves).alias("_h")).select("margin", "_h.*")
-    sigmoid = LogisticRegression(
-        featuresCol="margin",
-        labelCol="_label",
-        weightCol="_w",
-        regParam=0.0,
-        maxIter=200,
-        tol=1e-9,
-        rawPredictionCol="calibrated_raw",
-        probabilityCol="calibrated_probability",
-        predictionCol="calibrated_prediction",
-    ).fit(rows)
-    return PipelineModel(stages=[*base.stages, slicer, sigmoid])
+    """Platt scaling of a fitted model that stays as it is."""
+    return PipelineModel(stages=[*base.stages, fit_sigmoid(base.transform(df), label)])
 
 
 def calibrate_isotonic(base: PipelineModel, df: DataFrame, label: str) -> PipelineModel:
@@ -126,8 +69,6 @@ def score(model: Transformer, df: DataFrame, output: str = "prob") -> DataFrame:
     out = model.transform(df)
     if "calibrated_prob" in out.columns:
         prob = F.col("calibrated_prob")
-    elif "calibrated_probability" in out.columns:
-        prob = vector_to_array("calibrated_probability")[1]
     else:
         prob = vector_to_array("probability")[1]
     return out.select(*[F.col(c) for c in df.columns], prob.alias(output))
@@ -138,8 +79,8 @@ def score(model: Transformer, df: DataFrame, output: str = "prob") -> DataFrame:
 
 def coef_importance(model: PipelineModel, params: ModelParams = ModelParams(), top_n: int = 15) -> DataFrame:
     """Absolute coefficients of the logistic model, largest first."""
-    logistic = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
-    rows = [(f, abs(float(c))) for f, c in zip(params.features, logistic.coefficients)]
+    logistic = next(s for s in model.stages if isinstance(s, LogisticModel))
+    rows = [(f, abs(c)) for f, c in logistic.coefficients.items()]
     table = SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
 
@@ -213,98 +154,64 @@ def linear_shap(
 # --- K-Means --------------------------------------------------------------------
 
 
-def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
-
-
-def _silhouette(clustered: DataFrame) -> float:
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(clustered)
-
-
-# Enough for a fit to end by convergence.
-KMEANS_ITERATIONS = 300
-KMEANS_TOLERANCE = 1e-4
-
-
-def _kmeans(k: int, seed: int, max_iter: int = KMEANS_ITERATIONS, tol: float = KMEANS_TOLERANCE) -> KMeans:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-
-
-def _fit_all(
-    vectors: DataFrame,
-    settings: Sequence[tuple[int, int]],
-    judge,
-    max_iter: int = KMEANS_ITERATIONS,
-    tol: float = KMEANS_TOLERANCE,
-    threads: int = 4,
-) -> list:
-    """``judge(k, model)`` for every (k, seed), a few fits at a time over one cached table."""
-    estimator = _kmeans(2, 0, max_iter, tol)
-    maps = [{estimator.k: k, estimator.seed: seed} for k, seed in settings]
-    fits = estimator.fitMultiple(vectors, maps)
-
-    def one(_):
-        i, model = next(fits)
-        return i, judge(settings[i][0], model)
-
-    with ThreadPool(min(threads, len(maps))) as pool:
-        done = pool.map(inheritable_thread_target(vectors.sparkSession)(one), maps)
-    return [result for _, result in sorted(done, key=lambda pair: pair[0])]
-
-
 def elbow_scan(
     matrix: DataFrame,
     columns: Sequence[str],
     ks: Sequence[int],
     seed: int = 42,
-    max_iter: int = KMEANS_ITERATIONS,
-    tol: float = KMEANS_TOLERANCE,
+    max_iter: int = 300,
+    tol: float = 1e-4,
+    starts: Sequence[Sequence[Sequence[float]]] | None = None,
 ) -> DataFrame:
-    """Inertia and silhouette per number of clusters, over all rows."""
-    vectors = _vectors(matrix, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def judge(k, model):
-        return k, float(model.summary.trainingCost), float(_silhouette(model.transform(vectors)))
+    """Inertia and silhouette per number of clusters, over all rows.
 
-    rows = _fit_all(vectors, [(k, seed) for k in ks], judge, max_iter, tol)
-    vectors.unpersist()
+    All numbers of clusters are fitted together; ``starts`` may state their first centres.
+    """
+    stored = clustering.points(matrix, columns)
+    first = starts or clustering.starts(stored, len(columns), [(k, seed) for k in ks])
+    fits = clustering.lloyd(stored, first, max_iter, tol)
+    rows = [(k, f.cost, s) for k, f, s in zip(ks, fits, clustering.silhouettes(stored, fits))]
     return matrix.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+def best_k(scan: DataFrame) -> int:
+    """Number of clusters with the best silhouette, the smallest of several."""
+    return scan.orderBy(F.desc("silhouette"), F.asc("k")).first()["k"]
+
+
 def choose_k(matrix: DataFrame, columns: Sequence[str], params: SegmentParams) -> int:
     """Number of clusters with the best silhouette; never more than the clients allow."""
     k_max = min(params.k_max, matrix.count() - 1)
     if params.k_min >= k_max:
         return params.k_min
-    scan = elbow_scan(matrix, columns, range(params.k_min, k_max + 1), params.seed, params.max_iter, params.tol)
-    return scan.orderBy(F.desc("silhouette"), F.asc("k")).first()["k"]
+    return best_k(elbow_scan(matrix, columns, range(params.k_min, k_max + 1), params.seed, params.max_iter, params.tol))
+
+
+def _clustered(matrix: DataFrame, columns: Sequence[str], settings: Sequence[tuple[int, int]], params, name: str) -> DataFrame:
+    """``matrix`` with the cluster of the cheapest of the fits."""
+    stored = clustering.points(matrix, columns)
+    first = clustering.starts(stored, len(columns), settings)
+    fits = clustering.lloyd(stored, first, params.max_iter, params.tol)
+    best = min(fits, key=lambda f: f.cost)
+    return matrix.withColumn(name, clustering.nearest(columns, best.centers))
 
 
 def kmeans_segments(features: DataFrame, params: SegmentParams = SegmentParams()) -> DataFrame:
     """Cluster clients on their scaled features and name the clusters.
 
-    The features are stored first: scaling reads them several times, and K-Means
-    iterates over what follows.
+    The features are stored first: scaling reads them several times, and the rounds
+    read what follows.
     """
     columns = [c + "_z" for c in params.features]
     matrix = prepare_cluster_matrix(materialise(features, "segment-features"), params.features)
     given = params.n_clusters is not None and params.n_clusters > 0
     k = params.n_clusters if given else choose_k(matrix, columns, params)
-    vectors = _vectors(matrix, columns)
-    training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    clustered = _kmeans(k, params.seed, params.max_iter, params.tol).fit(training).transform(vectors)
-    training.unpersist()
-    return label_segments_5(clustered.drop("features", *columns))
+    return label_segments_5(_clustered(matrix, columns, [(k, params.seed)], params, "cluster").drop(*columns))
 
 
 def kmeans_vip(features: DataFrame, params: VipParams = VipParams()) -> DataFrame:
     """Cluster VIP clients, best of several seeds by cost, and name the clusters."""
     columns = [c + "_z" for c in VIP_FEATURES]
-    vectors = _vectors(standardise(materialise(features, "vip-features"), VIP_FEATURES, "_z"), columns)
-    training = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    seeds = [(params.n_clusters, params.seed + i) for i in range(params.restarts)]
-    fits = _fit_all(training, seeds, lambda _, model: (model.summary.trainingCost, model), params.max_iter, params.tol)
-    training.unpersist()
-    best = min(fits, key=lambda fit: fit[0])[1]
-    clustered = best.transform(vectors).withColumnRenamed("cluster", "cluster_id")
-    return label_segments_vip(clustered.drop("features", *columns))
+    matrix = standardise(materialise(features, "vip-features"), VIP_FEATURES, "_z")
+    settings = [(params.n_clusters, params.seed + i) for i in range(params.restarts)]
+    return label_segments_vip(_clustered(matrix, columns, settings, params, "cluster_id").drop(*columns))

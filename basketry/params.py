@@ -64,7 +64,8 @@ class ModelParams:
     seed: int = 42
     # logistic regression
     lr_max_iter: int = 100
-    lr_tol: float = 0.001
+    # Newton steps end when no coefficient moves by more than this.
+    lr_tol: float = 1e-9
     lr_c: float = 1.0
     # gradient boosting
     trees: int = 200

@@ -240,12 +240,9 @@ def job_evaluate(
     sink_metrics(pr_at(scan_parquet(spark, curve_path)), f"{report_path}/pr_points")
     if params.model_type == "logistic_regression":
         importance = models.coef_importance(base, params)
-        scaled = base.stages[1].transform(base.stages[0].transform(test))
-        values = models.vector_to_array("features")
-        columns = [values[i].alias(f) for i, f in enumerate(params.features)]
-        weights = dict(zip(params.features, (float(c) for c in base.stages[2].coefficients)))
+        logistic = base.stages[0]
         shap = models.linear_shap(
-            scaled.select("client", "date", *columns), weights, params.shap_rows, seed=params.seed
+            logistic.scaled(test, "client", "date"), logistic.coefficients, params.shap_rows, seed=params.seed
         )
         sink_metrics(shap, f"{report_path}/shap")
     else:

@@ -33,13 +33,14 @@ def test_scores_follow_from_coefficients(fx):
     calibration, test = q_model.halves(fx, params)
     model = models.calibrate_sigmoid(base, calibration, "purchased")
     platt = model.stages[-1]
+    slope, offset = platt.getOrDefault("slope"), platt.getOrDefault("offset")
     margins = base.transform(test).select("client", "date", F.col("rawPrediction")).collect()
     want = {
-        (r["client"], r["date"]): 1 / (1 + math.exp(-(platt.intercept + platt.coefficients[0] * r["rawPrediction"][1])))
+        (r["client"], r["date"]): 1 / (1 + math.exp(-(offset + slope * r["rawPrediction"][1])))
         for r in margins
     }
     got = {(r["client"], r["date"]): r["prob"] for r in q_model._score(fx).collect()}
-    assert got == pytest.approx(want, abs=1e-6) and len(set(got.values())) > 10
+    assert got == pytest.approx(want, abs=2e-6) and len(set(got.values())) > 10
 
 
 def test_trained_probabilities_rank_buyers_first(fx):
@@ -54,10 +55,10 @@ def test_backtest_columns_agree(fx):
     for r in found:
         tp, fp, fn = int(r["TP"]), int(r["FP"]), int(r["FN"])
         assert (int(r["Clientes_Compraron"]), int(r["Clientes_Predichos"])) == (tp + fn, tp + fp)
-        assert float(r["Precision"]) == pytest.approx(tp / (tp + fp) if tp + fp else 0)
-        assert float(r["Recall"]) == pytest.approx(tp / (tp + fn) if tp + fn else 0)
+        assert float(r["Precision"]) == pytest.approx(tp / (tp + fp) if tp + fp else 0, abs=1e-4)
+        assert float(r["Recall"]) == pytest.approx(tp / (tp + fn) if tp + fn else 0, abs=1e-4)
         assert r["F0.5-score"] is not None
-    assert sum(int(r["Clientes_Predichos"]) for r in found) > 0
+    assert all(sum(int(r[c]) for r in found) > 0 for c in ("TP", "FP", "FN"))
 
 
 def test_vip_segments_are_those_of_the_fit(fx):

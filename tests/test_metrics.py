@@ -4,6 +4,7 @@ import math
 import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -126,12 +127,25 @@ def test_calibration_keeps_the_order_and_fits_the_rate(points):
 def test_platt_optimum_has_no_gradient(points):
     base = models.train_logistic(points, PARAMS)
     calibrated = models.calibrate_sigmoid(base, points, "y")
-    out = calibrated.transform(points).select("y", models.vector_to_array("rawPrediction")[1].alias("m"), models.vector_to_array("calibrated_probability")[1].alias("p")).collect()
+    out = calibrated.transform(points).select("y", models.vector_to_array("rawPrediction")[1].alias("m"), F.col("calibrated_prob").alias("p")).collect()
     pos = sum(r["y"] for r in out)
     neg = len(out) - pos
     target = {1: (pos + 1) / (pos + 2), 0: 1 / (neg + 2)}
-    assert sum(r["p"] - target[r["y"]] for r in out) == pytest.approx(0, abs=1e-3)
-    assert sum((r["p"] - target[r["y"]]) * r["m"] for r in out) == pytest.approx(0, abs=1e-3)
+    assert sum(r["p"] - target[r["y"]] for r in out) == pytest.approx(0, abs=1e-7)
+    assert sum((r["p"] - target[r["y"]]) * r["m"] for r in out) == pytest.approx(0, abs=1e-7)
+
+
+def test_logistic_optimum_has_no_gradient(points):
+    """Balanced weights, features scaled by their deviation, penalty 1 / C on all but the intercept."""
+    p = replace(PARAMS, lr_c=0.5)
+    model = models.train_logistic(points, p).stages[0]
+    data = [(r["f"], r["g"], r["y"]) for r in points.collect()]
+    x, y = np.array([d[:2] for d in data]), np.array([d[2] for d in data])
+    x = x / x.std(axis=0)
+    w = len(y) / (2 * np.bincount(y)[y])
+    b = np.array(list(model.coefficients.values()))
+    r = w * (1 / (1 + np.exp(-(x @ b + model.content["intercept"]))) - y)
+    assert x.T @ r + b / 0.5 == pytest.approx(np.zeros(2), abs=1e-6) and r.sum() == pytest.approx(0, abs=1e-6)
 
 
 def test_saved_model_scores_the_same(spark, points, tmp_path):

@@ -39,13 +39,6 @@ def test_vip_reads_text_details_and_strips_ids(spark):
     assert len(out) == 10 and {r.user_id for r in out} == {"1234567"}
 
 
-def test_kmeans_ends_by_itself(spark):
-    points = spark.range(600).select(*[(F.rand(i) * 10).alias(c) for i, c in enumerate("ab")])
-    vectors = materialise(models._vectors(points, ["a", "b"]).select("features"), "points")
-    for k, seed in ((3, 1), (7, 2)):
-        assert models._kmeans(k, seed).fit(vectors).summary.numIter < models.KMEANS_ITERATIONS
-
-
 def test_permutation_uses_every_row(spark):
     """A feature that is constant has no importance; one that decides has much."""
     features = ModelParams().features

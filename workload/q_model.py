@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from basketry import work_dir
@@ -12,6 +13,7 @@ from basketry.params import MODEL_FEATURES, ModelParams
 from basketry.plans import jobs
 from basketry.sources import writers
 from workload.fixtures import FX_EXCLUDED, FX_SPLIT_DAYS
+from workload.oracle_models import metrics_sql
 from workload.oracle_views import oracle
 from workload.registry import query, rnd, rounded
 
@@ -20,7 +22,8 @@ FX_MODEL = ModelParams(split_days=FX_SPLIT_DAYS)
 # Jobs that fit trees on the way to something else.
 FX_FEW_TREES = ModelParams(split_days=FX_SPLIT_DAYS, trees=20)
 FX_FIRST_TREE = ModelParams(split_days=FX_SPLIT_DAYS, trees=1, depth=3, early_stopping_rows=1 << 40)
-FX_LOGISTIC = ModelParams(split_days=FX_SPLIT_DAYS, model_type="logistic_regression")
+# The threshold lies inside the range of calibrated scores, so that some days have hits and misses.
+FX_LOGISTIC = ModelParams(split_days=FX_SPLIT_DAYS, model_type="logistic_regression", threshold=0.36)
 
 AT = "0.5"
 
@@ -206,7 +209,15 @@ def halves(fx, params):
     return split.where(F.col("split") == "calibration"), split.where(F.col("split") == "test")
 
 
-@query("train_logistic")
+def _metrics_row(source: str, prob: str, at: float, names: dict[str, str], digits: int = 4) -> str:
+    shown = ", ".join(f'{rnd(c, digits)} AS "{n}"' for c, n in names.items())
+    return f"SELECT {shown} FROM ({metrics_sql(source, prob, at)})"
+
+
+FIVE = {"auc": "roc_auc", "brier": "brier", "pr": "precision", "re": "recall", "fb": "f05"}
+
+
+@query("train_logistic", oracle(_metrics_row("(SELECT * FROM based WHERE split = 'valid')", "base_prob", 0.5, FIVE)))
 def _logistic(fx):
     train, valid = parts(fx, FX_LOGISTIC)
     scored = models.score(models.train_logistic(train, FX_LOGISTIC), valid)
@@ -291,9 +302,13 @@ def _calibrated(fx, method):
     return models.score(method(base, calibration, "purchased"), test)
 
 
-@query("calibrate_sigmoid")
+@query(
+    "calibrate_sigmoid",
+    oracle(f"""SELECT cast(greatest(0, ceil(prob * 10) - 1) AS INTEGER) AS bin, {rnd('avg(prob)', 6)} AS mean_predicted,
+                 {rnd('avg(purchased)', 6)} AS observed_rate, count(*) AS rows FROM calibrated WHERE half = 'test' GROUP BY 1"""),
+)
 def _sigmoid(fx):
-    return metrics.calibration_curve(_calibrated(fx, models.calibrate_sigmoid), "purchased", "prob")
+    return rounded(metrics.calibration_curve(_calibrated(fx, models.calibrate_sigmoid), "purchased", "prob"), 6)
 
 
 @query("calibrate_isotonic")
@@ -301,9 +316,9 @@ def _isotonic(fx):
     return metrics.calibration_curve(_calibrated(fx, models.calibrate_isotonic), "purchased", "prob")
 
 
-@query("score")
+@query("score", oracle(f"SELECT client, date, purchased, {rnd('prob', 6)} AS prob FROM calibrated WHERE half = 'test'"))
 def _score(fx):
-    return _calibrated(fx, models.calibrate_sigmoid).select("client", "date", "purchased", "prob")
+    return rounded(_calibrated(fx, models.calibrate_sigmoid).select("client", "date", "purchased", "prob"), 6)
 
 
 @query(
@@ -315,9 +330,16 @@ def _score_in_range(fx):
     return _score(fx).select("client", "date", "purchased", F.col("prob").between(0, 1).alias("probability"))
 
 
-@query("coef_importance")
+@query(
+    "coef_importance",
+    oracle("\nUNION ALL\n".join(
+        f"SELECT '{f}' AS feature, {rnd(f'abs(b[{i}])', 5)} AS importance FROM logit" for i, f in enumerate(MODEL_FEATURES, 1)
+    )),
+)
 def _coef(fx):
-    return models.coef_importance(models.train_logistic(parts(fx, FX_LOGISTIC)[0], FX_LOGISTIC), FX_LOGISTIC)
+    """Coefficients of the fit, all of them, as there are fewer than fifteen."""
+    found = models.coef_importance(models.train_logistic(parts(fx, FX_LOGISTIC)[0], FX_LOGISTIC), FX_LOGISTIC)
+    return rounded(found, 5)
 
 
 @query("permutation_importance")
@@ -347,7 +369,13 @@ def _shap(fx):
     return rounded(models.linear_shap(scaled, WEIGHTS), 6)
 
 
-@query("predict_campaign_model")
+@query(
+    "predict_campaign_model",
+    oracle("""SELECT strftime(s.date, '%Y-%m-%d') AS date, s.client, printf('%.4f', s.base_prob) AS prob, c.name,
+                r.recommended_products, cast(r.avg_sale_period AS VARCHAR) AS avg_sale_period
+              FROM based s JOIN fx_contacts c USING (client) LEFT JOIN history_recs r USING (client)
+              WHERE s.base_prob >= 0.5 AND s.date IN (DATE '2024-01-30', DATE '2024-01-31')"""),
+)
 def _campaign(fx):
     base = work_dir(fx.spark, "campaign")
     writers.sink_parquet(fx.calendar, f"{base}/calendar")
@@ -368,6 +396,16 @@ def _job_train(fx):
     return models.score(model, fx.stored_calendar).select("client", "date", "prob")
 
 
+@query("job_train_logistic", oracle(f"SELECT client, date, {rnd('base_prob', 6)} AS prob FROM based"))
+def _job_train_logistic(fx):
+    """The stored logistic model scores every day of the calendar."""
+    base = work_dir(fx.spark, "train")
+    writers.sink_parquet(fx.calendar, f"{base}/calendar")
+    jobs.job_train(fx.spark, f"{base}/calendar", f"{base}/model", FX_LOGISTIC)
+    scored = models.score(PipelineModel.load(f"{base}/model"), fx.stored_calendar)
+    return rounded(scored.select("client", "date", "prob"), 6)
+
+
 @query("job_train_in_range", oracle("SELECT client, date, true AS probability FROM calendar"))
 def _job_train_in_range(fx):
     return _job_train(fx).select("client", "date", F.col("prob").between(0, 1).alias("probability"))
@@ -381,12 +419,35 @@ def _evaluated(fx, params):
     return base
 
 
-@query("job_evaluate")
+def _named(model: str) -> dict[str, str]:
+    at = FX_LOGISTIC.threshold
+    return dict(zip(FIVE, (f"{model}_{n}" for n in ("roc_auc", "brier", f"precision@{at}", f"recall@{at}", f"f0.5@{at}"))))
+
+
+TEST = "(SELECT * FROM calibrated WHERE half = 'test')"
+EVALUATED = " CROSS JOIN ".join(
+    f"({_metrics_row(TEST, prob, FX_LOGISTIC.threshold, _named(model), 5)})" for model, prob in (("base", "base_prob"), ("cal", "prob"))
+)
+
+
+@query("job_evaluate", oracle(f"SELECT * FROM {EVALUATED}"))
 def _job_evaluate(fx):
-    return fx.spark.read.json(f"{_evaluated(fx, FX_LOGISTIC)}/report/metrics")
+    return rounded(fx.spark.read.json(f"{_evaluated(fx, FX_LOGISTIC)}/report/metrics"), 5)
 
 
-@query("job_backtest")
+BACKTEST = (
+    SCORES.replace("scored WHERE prob >= 0.5", f"calibrated WHERE prob >= {FX_LOGISTIC.threshold}")
+    .replace("2024-02-02", "2024-01-30")
+)
+
+
+@query(
+    "job_backtest",
+    oracle(f"""SELECT strftime(fecha, '%Y-%m-%d') AS fecha, TP::VARCHAR AS TP, FP::VARCHAR AS FP, FN::VARCHAR AS FN,
+                 (TP + FN)::VARCHAR AS "Clientes_Compraron", (TP + FP)::VARCHAR AS "Clientes_Predichos",
+                 printf('%.4f', pr) AS "Precision", printf('%.4f', re) AS "Recall", printf('%.4f', fb) AS "F0.5-score"
+               FROM ({BACKTEST})"""),
+)
 def _job_backtest(fx):
     """Raw tickets rebuilt from purchase events, scored by the calibrated model."""
     base = _evaluated(fx, FX_LOGISTIC)
