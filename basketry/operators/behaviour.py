@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import month_start
-from basketry.operators.order_stats import few_group_percentiles
+from basketry.operators.order_stats import few_group_percentiles, percentiles_of_counts, value_counts
 from basketry.params import DeclineParams
+from basketry.session import materialise
 
 
 def monthly_evolution(tickets: DataFrame) -> DataFrame:
@@ -188,39 +189,45 @@ def product_cutback(
 # --- descriptive tables -----------------------------------------------------------
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per feature and distinct value, stored: all descriptive numbers are read from it.
+
+    The caller's table is read once; equal values collapse where they are read.
+    """
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return numeric.unpivot([], list(columns), "feature", "_value")
+    long = numeric.unpivot([], list(columns), "feature", "_value")
+    return materialise(value_counts(long, ["feature"], "_value"), "histogram")
 
 
-def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per feature, over all rows."""
-    long = _long(df, columns)
-    basic = long.groupBy("feature").agg(
-        F.count("_value").alias("count"),
-        F.avg("_value").alias("mean"),
-        F.stddev_samp("_value").alias("std"),
-        F.min("_value").alias("min"),
-        F.max("_value").alias("max"),
-    )
-    quartiles = few_group_percentiles(long, "_value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["feature"])
-    return basic.join(quartiles, "feature", "left")
+def _percentiles(histogram: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+    return percentiles_of_counts(histogram, probabilities, ["feature"])
 
 
-def histogram_p99(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
-    """Equal-width bins per feature after cutting values at the 99th percentile."""
-    long = _long(df, columns).dropna()
-    caps = few_group_percentiles(long, "_value", {"_cap": 0.99}, ["feature"])
-    # One row per feature on the broadcast side.
-    cut = long.join(F.broadcast(caps), "feature").withColumn("_value", F.least("_value", "_cap"))
-    bounds = cut.groupBy("feature").agg(F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
+def describe_histogram(histogram: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles per feature of a :func:`value_histogram`."""
+    v, n = F.col("_v"), F.col("_n")
+    basic = histogram.groupBy("feature").agg(
+        F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
+    )
+    # One row per feature on the broadcast sides.
+    centred = histogram.join(F.broadcast(basic.select("feature", F.col("mean").alias("_mean"))), "feature")
+    off = v - F.col("_mean")
+    spread = centred.groupBy("feature").agg(F.sqrt(F.try_divide(F.sum(off * off * n), F.sum(n) - 1)).alias("std"))
+    quartiles = _percentiles(histogram, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    joined = basic.join(F.broadcast(spread), "feature").join(quartiles, "feature", "left")
+    return joined.select("feature", "count", "mean", "std", "min", "max", "q25", "q50", "q75")
+
+
+def bins_of_histogram(histogram: DataFrame, bins: int = 50) -> DataFrame:
+    """Equal-width bins per feature of a :func:`value_histogram`, cut at the 99th percentile."""
+    caps = _percentiles(histogram, {"_hi": 0.99})
+    bounds = histogram.groupBy("feature").agg(F.min("_v").alias("_lo")).join(caps, "feature")
     lo, hi = F.col("_lo"), F.col("_hi")
-    share = F.coalesce(F.try_divide(F.col("_value") - lo, hi - lo), F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.least("_v", hi) - lo, hi - lo), F.lit(0.0))
     position = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+    # One row per feature on the broadcast side.
     filled = (
-        cut.join(F.broadcast(bounds), "feature")
-        .groupBy("feature", position.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        histogram.join(F.broadcast(bounds), "feature").groupBy("feature", position.alias("bin")).agg(F.sum("_n").alias("_rows"))
     )
     width = (hi - lo) / bins
     spine = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -228,10 +235,22 @@ def histogram_p99(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
         "feature",
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),
-        F.coalesce("_n", F.lit(0)).alias("rows"),
+        F.coalesce("_rows", F.lit(0)).alias("rows"),
     )
 
 
+def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles per feature; empty features have count 0."""
+    found = describe_histogram(value_histogram(df, columns))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return names.join(found, "feature", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+
+
+def histogram_p99(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
+    """Equal-width bins per feature after cutting values at the 99th percentile."""
+    return bins_of_histogram(value_histogram(df, columns), bins)
+
+
 def dataset_profile(
     df: DataFrame, client_col: str, ticket_col: str, date_col: str
 ) -> DataFrame:

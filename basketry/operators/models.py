@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.operators import clustering
 from basketry.operators.boosting import fit_trees
+from basketry.operators.isotonic import fit_isotonic
 from basketry.operators.linear import LogisticModel, fit_logistic, fit_sigmoid
-from basketry.operators.order_stats import spread_rank
 from basketry.operators.segmentation import (
     VIP_FEATURES,
     label_segments_5,
@@ -57,11 +57,8 @@ def calibrate_sigmoid(base: PipelineModel, df: DataFrame, label: str) -> Pipelin
 
 
 def calibrate_isotonic(base: PipelineModel, df: DataFrame, label: str) -> PipelineModel:
-    """Isotonic calibration of the base probability."""
-    fitted = IsotonicRegression(
-        featuresCol="probability", featureIndex=1, labelCol="_y", predictionCol="calibrated_prob"
-    ).fit(base.transform(df).withColumn("_y", F.col(label).cast("double")))
-    return PipelineModel(stages=[*base.stages, fitted])
+    """Isotonic calibration of the base probability; see :mod:`basketry.operators.isotonic`."""
+    return PipelineModel(stages=[*base.stages, fit_isotonic(base.transform(df), label)])
 
 
 def score(model: Transformer, df: DataFrame, output: str = "prob") -> DataFrame:
@@ -92,40 +89,52 @@ def _sample(df: DataFrame, rows: int | None, seed: int, keys: Sequence[str]) ->
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model: Transformer,
     df: DataFrame,
     params: ModelParams = ModelParams(),
     keys: Sequence[str] = ("client", "date"),
+    buckets: int | None = None,
 ) -> DataFrame:
     """Loss of accuracy when one feature is shuffled, averaged over the repeats.
 
-    Works on every row, or on a sample of ``permutation_rows``; all shuffled copies are
-    scored in one pass. Row numbers and shuffled orders are ranks spread over hash buckets,
-    so no task orders a whole copy.
+    Works on every row, or on a sample of ``permutation_rows``. Rows lie in random order, by a
+    hash of their keys, in ``buckets`` random buckets (as many as shuffle partitions if not
+    given). The repeat ``j`` gives each row the value of the ``j``-th row after it, the first
+    following the last, so one window of as many rows as repeats carries all shuffled values
+    beside a row. Only these rows are shuffled between tasks; the changed copies are made, scored
+    and counted where they lie. Counts are whole, so a feature without influence gets exactly 0.
     """
-    features = list(params.features)
+    features, repeats = list(params.features), params.permutation_repeats
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sample = _sample(df.select(*keys, *features, params.target), params.permutation_rows, params.seed, keys)
-    stored = materialise(sample.drop("_h"), "permutation")
-    total = stored.count()
-    numbered = materialise(spread_rank(stored, [], F.xxhash64(F.lit(params.seed), *keys), total, "_row"), "permutation")
-    copies = numbered.withColumn(
-        "_feature", F.explode(F.array(*[F.lit(f) for f in features]))
-    ).withColumn("_repeat", F.explode(F.sequence(F.lit(1), F.lit(params.permutation_repeats))))
-    order = F.xxhash64(F.lit(params.seed), "_feature", "_repeat", "_row")
-    shuffled = spread_rank(copies, ["_feature", "_repeat"], order, total, "_other")
-    others = numbered.select(F.col("_row").alias("_other"), F.struct(*features).alias("_theirs"))
-    replaced = shuffled.join(others, "_other").withColumns(
-        {
-            f: F.when(F.col("_feature") == f, F.col(f"_theirs.{f}")).otherwise(F.col(f))
-            for f in features
-        }
+    order = F.md5(F.concat_ws("|", F.lit(str(params.seed)), *[F.col(k).cast("string") for k in keys]))
+    dealt = sample.drop("_h").withColumn("_order", order).withColumn(
+        "_bucket", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(buckets))
     )
-    hit = (F.col("prediction") == F.col(params.target)).cast("double")
-    base = model.transform(numbered).agg(F.avg(hit)).scalar()
-    per_repeat = model.transform(replaced).groupBy("_feature", "_repeat").agg(F.avg(hit).alias("_acc"))
-    return per_repeat.groupBy(F.col("_feature").alias("feature")).agg(
-        (base - F.avg("_acc")).alias("importance")
+    whole = W.partitionBy("_bucket")
+    rows = whole.orderBy("_order", *keys)
+    own = F.struct(*features)
+    placed = dealt.withColumn("_place", F.row_number().over(rows)).withColumn(
+        "_after", F.collect_list(own).over(rows.rowsBetween(1, repeats))
     )
+    firsts = F.collect_list(F.when(F.col("_place") <= repeats, F.struct("_place", own.alias("_own"))))
+    ringed = placed.withColumn("_size", F.count(F.lit(1)).over(whole)).withColumn(
+        "_ring", F.concat("_after", F.transform(F.sort_array(firsts.over(whole)), lambda x: x["_own"]))
+    )
+    copies = ringed.withColumn("_repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).withColumn(
+        "_theirs", F.element_at("_ring", ((F.col("_repeat") - 1) % F.col("_size") + 1).cast("int"))
+    )
+    # The copy without a shuffled feature is the row itself, for the accuracy to compare with.
+    changed = copies.withColumn("_feature", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features]))).withColumns(
+        {f: F.when(F.col("_feature") == f, F.col(f"_theirs.{f}")).otherwise(F.col(f)) for f in features}
+    )
+    hit = (F.col("prediction") == F.col(params.target)).cast("long")
+    scored = model.transform(changed.select("_feature", params.target, *features))
+    hits = scored.groupBy("_feature").agg(F.sum(hit).alias("_hits"), F.count(F.lit(1)).alias("_rows"))
+    # One row per feature.
+    base = F.max(F.when(F.col("_feature") == "", F.col("_hits"))).over(W.partitionBy(F.lit(0)))
+    loss = (base - F.col("_hits")) / F.col("_rows")
+    return hits.select(F.col("_feature").alias("feature"), loss.alias("importance")).where("feature != ''")
 
 
 def linear_shap(

@@ -50,6 +50,11 @@ def few_group_percentiles(
     return _select_ranks(value_counts(df, keys, value), probabilities, keys)
 
 
+def percentiles_of_counts(counts: DataFrame, probabilities: dict[str, float], keys: Sequence[str]) -> DataFrame:
+    """:func:`few_group_percentiles` of a table of :func:`value_counts`."""
+    return _select_ranks(counts, probabilities, keys)
+
+
 def _select_ranks(
     counts: DataFrame, probabilities: dict[str, float], keys: Sequence[str], few: bool = True
 ) -> DataFrame:

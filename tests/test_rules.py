@@ -1,14 +1,19 @@
 """Rules of the jobs that the shared tables do not reach."""
 
+import json
+import random
+from hashlib import md5
+
 import pytest
 from pyspark.sql import functions as F
 
-from basketry import materialise
 from basketry.functions.text import parse_literal_list
 from basketry.operators import models
+from basketry.operators.linear import LogisticModel
 from basketry.operators.order_stats import spread_rank
 from basketry.params import ModelParams, VipParams
 from basketry.plans import jobs
+from basketry.session import settings
 
 QUOTED = [
     ("[{'product': 'a, None, b', 'amount': None}]", [("a, None, b", None)]),
@@ -53,6 +58,41 @@ def test_permutation_uses_every_row(spark):
     assert found["dow"] == 0 and found["cnt_7d"] == pytest.approx(0.5, abs=0.1)
 
 
+STATED = {"features": ["a", "b"], "scale": [1.0, 1.0], "coefficients": [1.0, 0.0], "intercept": 0.0}
+
+
+@pytest.mark.parametrize("size,repeats,buckets", [(200, 4, 1), (200, 4, 6), (3, 7, 1), (1, 2, 1)])
+def test_shuffled_values_are_those_of_other_rows(spark, size, repeats, buckets):
+    """Each repeat is a permutation; tables smaller than the repeats go round more than once."""
+    rng = random.Random(size)
+    data = [(f"c{i}", i, rng.gauss(0, 1), rng.gauss(0, 1), int(rng.random() < 0.5)) for i in range(size)]
+    df = spark.createDataFrame(data, "client string, date int, a double, b double, y int")
+    model, seed = LogisticModel(spec=json.dumps(STATED)), 42
+    params = ModelParams(features=("a", "b"), target="y", permutation_repeats=repeats, seed=seed)
+    got = {r.feature: r.importance for r in models.permutation_importance(model, df, params, buckets=buckets).collect()}
+    order = lambda r: md5(f"{seed}|{r[0]}|{r[1]}".encode()).hexdigest()
+    hits = 0
+    for k in range(buckets):
+        own = sorted((r for r in data if int(order(r)[:8], 16) % buckets == k), key=order)
+        hits += sum((own[(i + j) % len(own)][2] > 0) == r[4] for i, r in enumerate(own) for j in range(1, repeats + 1))
+    base = sum((r[2] > 0) == r[4] for r in data)
+    assert got["b"] == 0 and got["a"] == pytest.approx(base / size - hits / size / repeats)
+
+
+def test_shuffled_copies_never_cross_an_exchange(spark):
+    df = spark.createDataFrame([("c", 1, 0.0, 0.0, 1)], "client string, date int, a double, b double, y int")
+    params = ModelParams(features=("a", "b"), target="y", permutation_repeats=3)
+    out = models.permutation_importance(LogisticModel(spec=json.dumps(STATED)), df, params)
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    first = plan.index("Generate explode")
+    above, below = plan[:first], plan[first:]
+    assert "_bucket" in below and below.count("Exchange hashpartitioning") == 1
+    # Above the copies only sums per feature travel.
+    assert all(f"Exchange {kind}" in line for line in above.splitlines() if "Exchange" in line
+               for kind in (["hashpartitioning(_feature"] if "_feature" in line else ["SinglePartition"]))
+
+
 def test_spread_rank(spark):
     df = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3))
     ranked = spread_rank(df, ["k"], F.xxhash64("id"), 1000, per_bucket=50).collect()

@@ -175,3 +175,23 @@ def test_matrix_fills_with_the_median(spark):
     assert got == {k: pytest.approx((v - mean) / dev) for k, v in {"a": 1, "b": 3, "c": 3, "d": 8}.items()}
     flat = segmentation.prepare_cluster_matrix(df.withColumn("f", F.lit(2.0)), ["f"])
     assert {r["f_z"] for r in flat.collect()} == {0.0}
+
+
+def test_descriptive_tables_read_their_input_once(spark, tmp_path):
+    values = [float(i % 97) for i in range(1000)] + [1e6, None]
+    source = spark.createDataFrame([(v, None if v is None else -v, None) for v in values], "a double, b double, e double")
+    source.write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    histogram = behaviour.value_histogram(df, ["a", "b", "e"])
+    tables = behaviour.bins_of_histogram(histogram), behaviour.describe_histogram(histogram)
+    assert not any(str(tmp_path) in t._jdf.queryExecution().toString() for t in tables)
+    bins = {(r["feature"], r["bin"]): r for r in behaviour.bins_of_histogram(histogram).collect()}
+    table = {r["feature"]: r for r in behaviour.describe_histogram(histogram).collect()}
+    a = [v for v in values if v is not None]
+    assert table["a"]["count"] == 1001 and table["a"]["mean"] == pytest.approx(sum(a) / 1001)
+    assert table["a"]["std"] == pytest.approx(statistics.stdev(a)) and table["b"]["max"] == 0
+    assert table["a"]["q50"] == statistics.median(a) and table["b"]["q25"] == -table["a"]["q75"]
+    assert sum(r["rows"] for k, r in bins.items() if k[0] == "a") == 1001 and len(bins) == 100
+    assert "e" not in table
+    described = {r["feature"]: r for r in behaviour.describe_features(source, ["a", "e"]).collect()}
+    assert described["e"]["count"] == 0 and described["e"]["mean"] is None

@@ -65,6 +65,26 @@ FROM based WHERE half = 'calibration'""",
 }
 
 
+# The fit by its max-min formula over distinct scores, then straight lines between scores.
+SQL |= {
+    "rates": """
+SELECT row_number() OVER (ORDER BY base_prob) AS k, base_prob AS score,
+  sum(sum(purchased)) OVER (ORDER BY base_prob) AS s, sum(count(*)) OVER (ORDER BY base_prob) AS n,
+  sum(purchased) AS own_s, count(*) AS own_n
+FROM based WHERE half = 'calibration' GROUP BY base_prob""",
+    "iso": """
+SELECT k, any_value(score) AS score, max(least_mean) AS rate FROM (
+  SELECT j AS k, score, min(mean) OVER (PARTITION BY i ORDER BY j DESC) AS least_mean FROM (
+    SELECT a.k AS i, b.k AS j, b.score, (b.s - a.s + a.own_s) / (b.n - a.n + a.own_n) AS mean
+    FROM rates a JOIN rates b ON a.k <= b.k))
+GROUP BY k""",
+    "isotonic": """
+SELECT t.*, CASE WHEN a.rate IS NULL THEN b.rate WHEN b.rate IS NULL OR b.score = a.score THEN a.rate
+    ELSE a.rate + (b.rate - a.rate) * (base_prob - a.score) / (b.score - a.score) END AS prob
+FROM (SELECT * FROM based WHERE half = 'test') t
+ASOF LEFT JOIN iso a ON t.base_prob >= a.score ASOF LEFT JOIN iso b ON t.base_prob <= b.score""",
+}
+
 def metrics_sql(source: str, prob: str, at: float) -> str:
     """Metrics of one score column as one row: auc, brier, pr, re, fb."""
     return f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from basketry import work_dir
 from basketry.operators import metrics, models, recommend
+from basketry.operators.linear import LogisticModel
 from basketry.params import MODEL_FEATURES, ModelParams
 from basketry.plans import jobs
 from basketry.sources import writers
@@ -311,9 +314,10 @@ def _sigmoid(fx):
     return rounded(metrics.calibration_curve(_calibrated(fx, models.calibrate_sigmoid), "purchased", "prob"), 6)
 
 
-@query("calibrate_isotonic")
+@query("calibrate_isotonic", oracle(f"SELECT client, date, purchased, {rnd('prob', 6)} AS prob FROM isotonic"))
 def _isotonic(fx):
-    return metrics.calibration_curve(_calibrated(fx, models.calibrate_isotonic), "purchased", "prob")
+    scored = _calibrated(fx, models.calibrate_isotonic)
+    return rounded(scored.select("client", "date", "purchased", "prob"), 6)
 
 
 @query("score", oracle(f"SELECT client, date, purchased, {rnd('prob', 6)} AS prob FROM calibrated WHERE half = 'test'"))
@@ -348,6 +352,37 @@ def _permutation(fx):
     return models.permutation_importance(models.train_logistic(train, FX_LOGISTIC), valid, FX_LOGISTIC)
 
 
+STATED_MODEL = {
+    "features": list(MODEL_FEATURES), "scale": [1.0 + i for i in range(len(MODEL_FEATURES))],
+    "coefficients": [0.0 if i % 4 == 3 else 0.3 * (-1) ** i for i in range(len(MODEL_FEATURES))], "intercept": -0.5,
+}
+STATED_REPEATS = 3
+
+
+def _permutation_sql() -> str:
+    def margin(changed: str | None) -> str:
+        parts = zip(STATED_MODEL["features"], STATED_MODEL["scale"], STATED_MODEL["coefficients"])
+        return " + ".join([str(STATED_MODEL["intercept"]), *[f"{w} * ({'q' if f == changed else 'o'}.{f} / {s})" for f, s, w in parts]])
+
+    accuracy = lambda f: f"avg(CASE WHEN ({margin(f)} > 0) = (o.purchased = 1) THEN 1.0 ELSE 0.0 END)"
+    means = ", ".join([f"{accuracy(None)} AS base", *[f"{accuracy(f)} AS a_{f}" for f in STATED_MODEL["features"]]])
+    rows = "\nUNION ALL ".join(f"SELECT '{f}' AS feature, {rnd(f'base - a_{f}', 6)} AS importance FROM m" for f in STATED_MODEL["features"])
+    base = oracle("SELECT * FROM split")
+    return base[: base.rindex("\nSELECT * FROM split")] + f""",
+o AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '{FX_LOGISTIC.seed}', client, cast(date AS VARCHAR)))) - 1 AS at,
+             count(*) OVER () AS n FROM split WHERE split = 'valid'),
+m AS (SELECT {means} FROM o CROSS JOIN (SELECT unnest(range(1, {STATED_REPEATS} + 1)) AS j) JOIN o q ON q.at = (o.at + j) % o.n)
+{rows}"""
+
+
+@query("permutation_importance_stated", _permutation_sql())
+def _permutation_stated(fx):
+    """Every shuffled value and every accuracy for a model of stated coefficients."""
+    model = LogisticModel(spec=json.dumps(STATED_MODEL))
+    params = replace(FX_LOGISTIC, permutation_repeats=STATED_REPEATS)
+    return rounded(models.permutation_importance(model, parts(fx, FX_LOGISTIC)[1], params, buckets=1), 6)
+
+
 WEIGHTS = {f: 0.1 * (i + 1) * (-1) ** i for i, f in enumerate(MODEL_FEATURES)}
 
 
