@@ -199,7 +199,7 @@ def choose_k(matrix: DataFrame, columns: Sequence[str], params: SegmentParams) -
 def _clustered(matrix: DataFrame, columns: Sequence[str], settings: Sequence[tuple[int, int]], params, name: str) -> DataFrame:
     """``matrix`` with the cluster of the cheapest of the fits."""
     stored = clustering.points(matrix, columns)
-    first = clustering.starts(stored, len(columns), settings)
+    first = getattr(params, "starts", None) or clustering.starts(stored, len(columns), settings)
     fits = clustering.lloyd(stored, first, params.max_iter, params.tol)
     best = min(fits, key=lambda f: f.cost)
     return matrix.withColumn(name, clustering.nearest(columns, best.centers))

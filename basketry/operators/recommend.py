@@ -203,14 +203,14 @@ def sales_with_descriptions(
 
 
 def recent_product_stats(
-    sales: DataFrame, clients: DataFrame, months: int
+    sales: DataFrame, clients: DataFrame, months: int, since: Column | None = None
 ) -> DataFrame:
     """Per client and description: median rows per day (cut to a whole number), days bought.
 
     ``sales`` carries ``client``, ``date_sale`` and ``description``. A group has at most
-    one row per day of the window.
+    one row per day of the window, which ``since`` may state.
     """
-    recent = sales.where(F.col("date_sale") >= days_cutoff(sales, months, "date_sale"))
+    recent = sales.where(F.col("date_sale") >= (days_cutoff(sales, months, "date_sale") if since is None else since))
     per_day = (
         recent.join(clients.select("client").distinct(), "client", "left_semi")
         .groupBy("client", "date_sale", "description")
@@ -243,9 +243,15 @@ def recs_recent_history(
     clients: DataFrame,
     params: RecommendParams = RecommendParams(),
 ) -> DataFrame:
-    """What each client bought most often in the last days."""
-    named = sales_with_descriptions(sales, catalog, params.excluded)
-    stats = recent_product_stats(named, clients, params.history_months)
+    """What each client bought most often in the last days.
+
+    The latest day of a wanted product is found from one row per product, so only sales of
+    the last days are read a second time and meet the catalogue.
+    """
+    last = sales.groupBy("product").agg(F.max("date_sale").alias("date_sale"))
+    since = days_cutoff(exclude_products(last.join(catalog, "product"), params.excluded), params.history_months, "date_sale")
+    named = sales_with_descriptions(sales.where(F.col("date_sale") >= since), catalog, params.excluded)
+    stats = recent_product_stats(named, clients, params.history_months, since)
     return top_fraction_per_client(stats, params.top_fraction).select(
         "client", F.col("description").alias("recommended_products"), "avg_sale_period"
     )

@@ -120,6 +120,8 @@ class VipParams:
     n_clusters: int = 4
     restarts: int = 10
     seed: int = 42
+    # First centres on the scaled features, instead of drawn ones.
+    starts: tuple[tuple[tuple[float, ...], ...], ...] | None = None
     max_iter: int = 300
     tol: float = 1e-4
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from basketry import schemas
 from basketry.functions.dates import days_cutoff
 from basketry.functions.text import parse_literal_list, strip
-from basketry.operators import models
+from basketry.operators import behaviour, models
 from basketry.operators.calendar import calendar_features
 from basketry.operators.clean import (
     clean_new_sales,
@@ -62,9 +62,10 @@ from basketry.operators.recommend import (
     recs_global,
     recs_recent_history,
 )
-from basketry.operators.segmentation import export_vip, main_point_of_sale, vip_features
+from basketry.operators.segmentation import export_vip, join_segments, main_point_of_sale, vip_features
 from basketry.params import (
     CalendarParams,
+    DeclineParams,
     ModelParams,
     PatternParams,
     RecommendParams,
@@ -343,6 +344,37 @@ def job_segment_recs(
     sink_parquet(recs_by_cluster(recent, assignments, catalog, excluded), recs_path)
 
 
+def job_behaviour(
+    spark: SparkSession,
+    lines: DataFrame,
+    segments: DataFrame,
+    year: int,
+    output_path: str,
+    params: DeclineParams = DeclineParams(),
+) -> None:
+    """All tables of behaviour over time, per segment (``user_id``, ``cluster_id``).
+
+    What several tables read is stored once: the tickets and lines of the segments, and the
+    declined clients of the year.
+    """
+    def table(name: str, df: DataFrame) -> DataFrame:
+        sink_parquet(df, f"{output_path}/{name}")
+        return scan_parquet(spark, f"{output_path}/{name}")
+
+    members = segments.select("user_id", "cluster_id")
+    named = materialise(join_segments(lines, members, "user_id", ("cluster_id",)), "segment-lines")
+    tickets = materialise(named.select("tiket_id", "user_id", "tiket_price", "date_sale", "cluster_id").distinct(), "segment-tickets")
+    table("monthly_evolution", behaviour.monthly_evolution(tickets))
+    table("day_of_month", behaviour.day_of_month_spend(tickets))
+    core = table("product_penetration", behaviour.product_penetration(named))
+    table("core_products", behaviour.core_products(core))
+    this_year = tickets.where(F.year("date_sale") == year)
+    declined = table("declined", behaviour.declining_clients(this_year, params))
+    table("decline_trend", behaviour.decline_trend(this_year, declined))
+    table("decline_summary", behaviour.decline_summary(members, declined))
+    table("product_cutback", behaviour.product_cutback(named.where(F.year("date_sale") == year), declined, params))
+
+
 # --- recommendations and campaign -------------------------------------------------
 
 

@@ -27,6 +27,8 @@ RAW_TICKETS = _struct(
     ("invoice_details", T.ArrayType(DETAIL)),
 )
 
+LANDED_TICKETS = T.StructType([*RAW_TICKETS.fields, T.StructField("month", S)])
+
 CATALOG = _struct(("codigo_unico", S), ("description", S))
 
 DAILY = _struct(

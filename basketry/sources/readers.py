@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from basketry import schemas
 from basketry.functions.text import strip
 from basketry.operators.clean import filter_positive_ticket
-from basketry.schemas import CONTACT_COLUMNS
+from basketry.schemas import CONTACT_COLUMNS, LANDED_TICKETS
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -74,8 +74,11 @@ def load_calendar(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_raw_months(spark: SparkSession, path: str) -> DataFrame:
-    """All landed months; columns some months lack are null there."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All landed months; columns some months lack are null there.
+
+    The schema is stated, so that no file's footer is opened to find it.
+    """
+    return spark.read.schema(LANDED_TICKETS).parquet(path)
 
 
 def scan_vip(spark: SparkSession, parquet_path: str, csv_path: str) -> DataFrame:

@@ -239,17 +239,17 @@ def _campaign(fx):
     return recommend.campaign(fx.scored, fx.contacts, recs, CAMPAIGN_DATES, 0.5)
 
 
-@query(
-    "combine_recs",
-    oracle("""SELECT s.date, s.client, s.prob, r.recommended_product, r.recommendation_score,
+COMBINED = """SELECT s.date, s.client, s.prob, r.recommended_product, r.recommendation_score,
                 r.recommendation_rank, d.description,
                 array_to_string(k.cluster_recommended_products, ' | ') AS cluster_recommended_products
               FROM scored s LEFT JOIN c_counts_recs r USING (client)
               LEFT JOIN fx_catalog d ON d.product = r.recommended_product
               LEFT JOIN (SELECT client, list(product ORDER BY rank) AS cluster_recommended_products
                          FROM c_top GROUP BY 1) k USING (client)
-              WHERE s.prob >= 0.5"""),
-)
+              WHERE s.prob >= 0.5"""
+
+
+@query("combine_recs", oracle(COMBINED))
 def _combine(fx):
     counts = client_counts(fx)
     recs = item_item.recommend_items(counts, item_item.item_cosine(counts), 5)
@@ -259,6 +259,23 @@ def _combine(fx):
     return joined(recommend.combine_recs(likely(fx), recs, fx.catalog, lists))
 
 
+@query(
+    "job_combine",
+    oracle(f"""SELECT strftime(date, '%Y-%m-%d') AS date, client, printf('%.4f', {rnd('prob')}) AS prob, recommended_product,
+                 printf('%.4f', recommendation_score) AS recommendation_score, recommendation_rank::VARCHAR AS recommendation_rank,
+                 description FROM ({COMBINED})"""),
+)
+def _job_combine(fx):
+    """A predictions file and stored recommendations; the clusters' table is missing and skipped."""
+    base = work_dir(fx.spark, "combine")
+    writers.sink_csv(rounded(likely(fx)), f"{base}/predictions")
+    counts = client_counts(fx)
+    recs = item_item.recommend_items(counts, item_item.item_cosine(counts), 5)
+    writers.sink_parquet(recs, f"{base}/recs")
+    jobs.job_combine(fx.spark, f"{base}/predictions", f"{base}/recs", f"{base}/out", fx.catalog, f"{base}/none")
+    return fx.spark.read.option("header", True).csv(f"{base}/out")
+
+
 @query("job_recs_global", oracle(GLOBAL))
 def _job_global(fx):
     base = work_dir(fx.spark, "recs-global")

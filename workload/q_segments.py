@@ -12,7 +12,7 @@ from basketry.plans import jobs
 from basketry.sources.readers import load_contacts
 from workload.fixtures import FX_EXCLUDED, FX_YEAR
 from workload.oracle_models import placed_sql, silhouette_sql
-from workload.oracle_views import oracle
+from workload.oracle_views import SQL, oracle
 from workload.registry import joined, query, rnd, rounded
 
 VIP = segmentation.VIP_FEATURES
@@ -326,9 +326,7 @@ def _decline_summary(fx):
     return rounded(behaviour.decline_summary(fx.with_cluster(fx.vip), declined))
 
 
-@query(
-    "product_cutback",
-    oracle(f"""SELECT cluster_id, product_name, {rnd('p1')} AS avg_p1, {rnd('p2')} AS avg_p2, {rnd('p1 - p2')} AS caida,
+CUTBACK = f"""SELECT cluster_id, product_name, {rnd('p1')} AS avg_p1, {rnd('p2')} AS avg_p2, {rnd('p1 - p2')} AS caida,
                  cast(r AS INTEGER) AS rank FROM (
                  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY round(p1 - p2, 9) DESC, product_name) AS r FROM (
                    SELECT cluster_id, product_name,
@@ -336,13 +334,26 @@ def _decline_summary(fx):
                      coalesce(sum(amount) FILTER (month(date_sale) > 7), 0) / 5 / any_value(u) AS p2
                    FROM lines_year JOIN (SELECT cluster_id, count(*) AS u FROM declined GROUP BY 1) USING (cluster_id)
                    WHERE user_id IN (SELECT user_id FROM declined) GROUP BY 1, 2))
-               WHERE r <= 15"""),
+               WHERE r <= 15"""
+
+
+@query(
+    "product_cutback",
+    oracle(CUTBACK),
 )
 def _cutback(fx):
     declined = materialise(behaviour.declining_clients(fx.tickets_cl, year=FX_YEAR), "declined")
     return rounded(behaviour.product_cutback(in_year(fx.lines_cl), declined))
 
 
+@query("job_behaviour", oracle(CUTBACK))
+def _job_behaviour(fx):
+    """The last table of the job, which needs all that it stores on the way."""
+    base = work_dir(fx.spark, "behaviour")
+    jobs.job_behaviour(fx.spark, fx.vip_lines, fx.with_cluster(fx.vip), FX_YEAR, base)
+    return rounded(fx.spark.read.parquet(f"{base}/product_cutback"))
+
+
 @query(
     "full_outer_fill0",
     oracle("""SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.product_name, b.product_name) AS product_name,
@@ -466,13 +477,13 @@ SCAN = "\nUNION ALL\n".join(
 )
 
 
-def _stated(body: str) -> str:
-    """The fits from stated starts as views in front of ``body``."""
-    base = oracle(f"SELECT * FROM ({SCALED_VIP})")
+def _stated(body: str, more: str = "") -> str:
+    """The fits from stated starts, and more views, in front of ``body``."""
+    base = oracle(f"SELECT * FROM ({SCALED_VIP}) CROSS JOIN fx_vip_lines")
     head = base[: base.rindex("\nSELECT * FROM")]
     views = [f"scaled_vip AS MATERIALIZED ({SCALED_VIP})"]
     views += [f"placed_{k} AS MATERIALIZED ({placed_sql('SELECT * FROM scaled_vip', at, STEPS)})" for k, at in STATED.items()]
-    return f"{head},\n" + ",\n".join(views) + f"\n{body}"
+    return f"{head},\n" + ",\n".join([*views, more] if more else views) + f"\n{body}"
 
 
 def _scaled_vip(fx):
@@ -561,6 +572,28 @@ def _job_segment_vip_stores(fx):
     return _job_segment_vip(fx).drop("cluster_id", "cluster_nombre", "cluster_descripcion")
 
 
+FITTED = SQL["vip_names"].replace("vip_cent", "fit_cent")
+FIT_CENT = SQL["vip_cent"].replace("vip_cl", "vip_fit")
+
+
+@query(
+    "job_segment_vip_stated",
+    _stated(f"""SELECT user_id, f.cluster_id, {VIP_NAMES} AS cluster_nombre, {VIP_TEXTS} AS cluster_descripcion, id_point_sale
+                FROM vip_fit f JOIN fit_names USING (cluster_id) JOIN (
+                  SELECT user_id, id_point_sale, row_number() OVER
+                    (PARTITION BY user_id ORDER BY count(*) DESC, id_point_sale) AS r
+                  FROM fx_vip_lines GROUP BY 1, 2) s USING (user_id) WHERE r = 1""",
+            f"""vip_fit AS (SELECT v.*, cast(p.k - 1 AS INTEGER) AS cluster_id FROM vip v JOIN placed_4 p ON p.id = v.user_id),
+                fit_cent AS ({FIT_CENT}), fit_names AS ({FITTED})"""),
+)
+def _job_segment_vip_stated(fx):
+    """Clusters, names and stores of the job whose fit starts from stated centres."""
+    path = work_dir(fx.spark, "vip-segments")
+    first = (tuple(map(tuple, STATED[4])),)
+    jobs.job_segment_vip(fx.spark, fx.vip_lines, None, path, VipParams(starts=first, tol=0.0))
+    return fx.spark.read.parquet(path).drop(*CONTACT_COLUMNS)
+
+
 @query("job_segment_recs")
 def _job_segment_recs(fx):
     base = work_dir(fx.spark, "segment-recs")
