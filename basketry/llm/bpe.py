@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -233,6 +234,55 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, stored: bool = Fals
     )
 
 
+class _StoredIds(dict):
+    """Ids of the words of one block as packed numbers; a word that is missing is encoded on the spot."""
+
+    def __init__(self, folder: str, block: int, bpe: WordBpe, kind: str):
+        super().__init__()
+        self.bpe, self.kind = bpe, kind
+        try:
+            table = read_block(folder, block, ["words", "ids"])
+        except (OSError, ValueError):  # a store that only Spark can read
+            table = None
+        if table is not None:
+            for words, ids in zip(table["words"].to_pylist(), table["ids"].to_pylist()):
+                for word, own in zip(_unpack(words), _unpack(ids)):
+                    self[word] = array(kind, map(int, own.split(b","))).tobytes() if own else b""
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = array(self.kind, self.bpe.ids([word])[0]).tobytes()
+        if len(self) < 2 * HELD:
+            self[word] = found
+        return found
+
+
+def packed_ids(docs: DataFrame, vocabulary: Broadcast, size: int, stored: bool = False) -> DataFrame:
+    """Rows (``doc_id``, ``tie``, ``ids``): ids as one binary of 16 or 32-bit numbers, low byte first.
+
+    ``size`` is the number of ids of the vocabulary; up to 65,536 take 16 bits. ``tie`` is a
+    hash of the text. Each distinct word is encoded once, by :func:`word_table`.
+    """
+    plain = own_names(docs, "doc_id", "text")
+    if not stored:
+        plain = materialise(plain, "texts")
+    folder, kind = word_table(plain, vocabulary), "H" if size <= 1 << 16 else "I"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, block, table = encoder(vocabulary), None, None
+        for batch in batches:
+            out = []
+            for text, own in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
+                if own != block or table is None:
+                    block, table = own, _StoredIds(folder, own, bpe, kind)
+                out.append(b"".join([table[w] for w in (text or b"").split()]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "tie", "ids"]
+            )
+
+    rows = plain.select("doc_id", F.xxhash64("text").alias("tie"), "text", block_of_scan().alias("block"))
+    return rows.mapInArrow(run, "doc_id bigint, tie bigint, ids binary")
+
+
 def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """Rows (``doc_id``, ``ids``): token ids of each text as an array, by distinct words.
 

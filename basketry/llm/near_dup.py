@@ -353,10 +353,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     which is meant; rows that repeat it with an equal text are dropped to one. Rows with a
     null ``doc_id`` stay only if they are not near copies of a row that has one.
     """
-    name = free_name(docs, "doc_id_kept")
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(name))
-    counted = materialise(kept.groupBy(name).agg(F.count(F.lit(1)).alias("n")), "kept")
-    stays = docs.join(counted.select(name), docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
-    if counted.where("n > 1").limit(1).count():
+    name = free_name(docs, "doc_id_gone")
+    decided = materialise(
+        near_duplicates(docs).groupBy(F.col("doc_id").alias(name)).agg(F.count_if("kept").alias("n")), "decided"
+    )
+    # Fewer documents go than stay, so the list of those is the smaller side to send.
+    gone = decided.where("n = 0").select(name)
+    stays = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
+    if decided.where("n > 1").limit(1).count():
         return stays.dropDuplicates([c for c in docs.columns if c in ("doc_id", "text")])
     return stays

@@ -103,7 +103,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_token_files")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    return token_files.written_and_read(read_table(spark, folder, "documents"), vocabulary_path())
+    return token_files.written_and_read(read_table(spark, folder, "documents"), vocabulary_path(), stored=True)
 
 
 @query("op7_language")

@@ -13,8 +13,8 @@ little-endian:
 
 Blocks hold the same number of ids but for the last, so id ``i`` lies in block ``i // size``;
 the block offset and the width give its bits, and a block unpacks with a few numpy calls.
-Texts are sorted by id over the cluster, so files follow each other in ascending ``doc_id``
-order; a manifest row names each file, with the numbers of ids and documents. Files are written
+Encoded texts are sorted by id over the cluster, so files follow each other in ascending
+``doc_id`` order; a manifest row names each file, with the numbers of ids and documents. Files are written
 under a name of the attempt and renamed when complete, so that a repeated task does no harm.
 
 A null or empty text has only the end id. Rows with a null ``doc_id`` come first; rows of equal
@@ -31,20 +31,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.bpe import encoder, load_vocabulary, piece_table
+from basketry.llm.bpe import load_vocabulary, packed_ids, piece_table
 from basketry.llm.common import materialise, own_names, tune, work_dir
 
 MAGIC = b"TOKBITS1"
 BLOCK = 1 << 16
 END = 1
-# Bytes of text behind one file, about.
-FILE_BYTES = 32 << 20
-KNOWN_WORDS = 400_000
+# Bytes of ids behind one file, about.
+FILE_BYTES = 16 << 20
 MANIFEST = "part int, file string, n_docs bigint, n_ids bigint"
 
 
@@ -141,50 +140,19 @@ class TokenFile:
             held, at = held[int(end) - at :], int(end)
 
 
-_KNOWN: dict[str, tuple[dict, dict]] = {}
-
-
-def _encoded(bpe, texts: list[bytes], tag: str) -> list[bytes]:
-    """Ids of each text as 32-bit numbers; the worker remembers words it has met.
-
-    Two generations of words bound the memory: a full one becomes the older, whose words are
-    taken over as they are met again.
-    """
-    young, old = _KNOWN.get(tag, ({}, {}))
-    words = [t.split() for t in texts]
-    new = []
-    for word in set().union(*words) if words else ():
-        if word not in young:
-            if word in old:
-                young[word] = old[word]
-            else:
-                new.append(word)
-    for word, ids in zip(new, bpe.ids(new)):
-        young[word] = np.array(ids, "<u4").tobytes()
-    get = young.__getitem__
-    out = [b"".join(map(get, own)) for own in words]
-    if len(young) > KNOWN_WORDS:
-        young, old = {}, young
-    _KNOWN.clear()
-    _KNOWN[tag] = young, old
-    return out
-
-
-def _write(vocabulary: Broadcast, folder: str, width: int, end: int):
+def _write(folder: str, width: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        bpe, ids, ends, total = encoder(vocabulary), [], [], 0
-        close = np.array([end], "<u4").tobytes()
+        kind, ids, ends, total = "<u2" if width <= 16 else "<u4", [], [], 0
+        close = np.array([end], kind).tobytes()
         doc_ids: list = []
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for i in range(0, len(texts), 200):
-                for own in _encoded(bpe, texts[i : i + 200], folder):
-                    row = np.frombuffer(own + close, "<u4")
-                    ids.append(row.astype(np.uint16) if width <= 16 else row)
-                    total += len(row)
-                    ends.append(total)
+            for own in batch.column(2).to_pylist():
+                row = np.frombuffer(own + close, kind)
+                ids.append(row)
+                total += len(row)
+                ends.append(total)
             doc_ids += batch.column(0).to_pylist()
         if not ends:
             return
@@ -204,22 +172,26 @@ def _write(vocabulary: Broadcast, folder: str, width: int, end: int):
     return run
 
 
-def write_tokens(docs: DataFrame, vocabulary_path: str, folder: str, end: int = END) -> DataFrame:
+def write_tokens(docs: DataFrame, vocabulary_path: str, folder: str, end: int = END, stored: bool = False) -> DataFrame:
     """Encode texts and write them in ascending ``doc_id`` order; gives the manifest.
 
-    The manifest is a stored table of one row per file: ``part`` (files in order), ``file``,
-    ``n_docs``, ``n_ids`` and the ids of its documents.
+    Texts are encoded where they are read, each distinct word once; only ids are sorted. The
+    manifest is a stored table of one row per file: ``part`` (files in order), ``file``,
+    ``n_docs``, ``n_ids`` and the ids of its documents. ``stored`` says that ``docs`` is a plain
+    scan of a stored table; any other frame is written first.
     """
     spark = tune(docs.sparkSession)
     vocabulary = load_vocabulary(spark, vocabulary_path)
-    width = width_for(max([end, *[i for i, _ in piece_table(vocabulary.value)]]) + 1)
-    plain = own_names(docs, "doc_id", "text")
-    size = plain.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    ids = max([end, *[i for i, _ in piece_table(vocabulary.value)]]) + 1
+    width = width_for(ids)
+    # Stored, as the borders of the files are sampled from it first.
+    encoded = materialise(packed_ids(docs, vocabulary, ids, stored), "ids")
+    size = encoded.select(F.sum(F.octet_length("ids"))).first()[0] or 0
     files = max(1, -(-size // FILE_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20))
-    tie = F.xxhash64("text")
-    ordered = plain.repartitionByRange(files, F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
+    ordered = encoded.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered = ordered.select("doc_id", "tie", "ids")
     return materialise(
-        ordered.mapInArrow(_write(vocabulary, folder, width, end), MANIFEST + ", doc_ids array<bigint>"), "manifest"
+        ordered.mapInArrow(_write(folder, width, end), MANIFEST + ", doc_ids array<bigint>"), "manifest"
     )
 
 
@@ -251,10 +223,10 @@ def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFr
     return dealt.mapInArrow(_read(folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def written_and_read(docs: DataFrame, vocabulary_path: str, end: int = END) -> DataFrame:
+def written_and_read(docs: DataFrame, vocabulary_path: str, end: int = END, stored: bool = False) -> DataFrame:
     """Write token files below the shared folder and read them back."""
     folder = work_dir(docs.sparkSession, "tokens")
     if "://" not in folder and not folder.startswith("file:"):
         folder = f"file://{folder}"
-    manifest = write_tokens(docs, vocabulary_path, folder, end)
+    manifest = write_tokens(docs, vocabulary_path, folder, end, stored)
     return read_tokens(docs.sparkSession, folder, manifest)
