@@ -11,12 +11,14 @@ The model is two written tables that grow with the vocabulary, and no task or dr
 
 1. Documents are packed into blocks of about ``BLOCK`` characters: the distinct words of a block,
    and per document the places of its words in them and how often each occurs.
-2. The distinct words of the blocks are joined with the word table. Only the n-grams of those
-   that are missing there are joined with the n-gram table, 4 characters first, then 3 for the
-   words still open, and so on.
-3. The log frequencies go back to the blocks, a row per block and distinct word, and are summed
-   per document. Texts are not shuffled. A word of every block is a hot key with a row per block,
-   which AQE splits in the join.
+2. Words are dealt by their hash: a block sends its words to the buckets, packed, one row per
+   block and bucket, and the word table is dealt the same way. A bucket's task finds the words
+   that are missing in the table. Only their n-grams are joined with the n-gram table, 4
+   characters first, then 3 for the words still open, and so on.
+3. The buckets meet the table of all answers and send each block one packed row: for each of its
+   words the number of an answer, and the few different answers (the counts of the languages that
+   have a word, or its mean gains by n-grams). Blocks sum them per document. Texts are not
+   shuffled, buckets grow in number and not in size, and no word is a hot key.
 
 A text without letters, or null, is ``und`` with score 0. Ties go to the first language in
 alphabetical order. Without any labelled text every document is ``und``.
@@ -25,6 +27,7 @@ alphabetical order. Without any labelled text every document is ``und``.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +47,10 @@ SMOOTH = 0.5
 HELD = 300_000
 # Characters of text in a block; a longer document is a block of its own.
 BLOCK = 4_000_000
+# Distinct words, counted per block, that meet in one task.
+BUCKET_WORDS = 400_000
+# First letters of an answer: from the word table, or from n-grams.
+SEEN, UNSEEN = "w", "g"
 # Place that counts the known n-grams of a word, beside those of the languages.
 KNOWN = -1
 
@@ -253,30 +260,112 @@ def _backed_off(missing: DataFrame, grams: DataFrame, languages: list[str]) -> l
     return found
 
 
+def _answer(kind: str, value: str) -> Column:
+    """Per item its gains as one short text: ``kind``, then place:value of each language that has it."""
+    parts = F.transform(F.sort_array("gains"), lambda x: F.concat_ws(":", x["place"], x[value]))
+    return F.concat(F.lit(kind), F.array_join(parts, ","))
+
+
+def _word_answers(words: DataFrame, languages: list[str]) -> DataFrame:
+    """Rows (``item``, ``answer``) of the word table: counts, which are shorter than their logarithms."""
+    place = F.array_position(F.array(*map(F.lit, languages)).cast("array<string>"), F.col("lang")).cast("int") - 1
+    own = words.groupBy("item").agg(F.collect_list(F.struct(place.alias("place"), "n")).alias("gains"))
+    return own.select("item", _answer(SEEN, "n").alias("answer"))
+
+
+QUESTIONS = "bucket int, block bigint, at binary, words binary"
+
+
+def _questions(buckets: int):
+    """The distinct words of each block by bucket of their hash, packed, with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, words in zip(batch.column(0).to_pylist(), batch.column(1)):
+                dealt: dict[int, list[tuple[str, int]]] = {}
+                for i, word in enumerate(words.as_py()):
+                    dealt.setdefault(bucket_of(word, buckets), []).append((word, i))
+                rows = []
+                for bucket, own in dealt.items():
+                    # In order, as neighbours that begin alike pack well.
+                    own.sort()
+                    texts, at = zip(*own)
+                    rows.append((bucket, block, pack(_planes(list(at))), pack(" ".join(texts).encode(), 6)))
+                kinds = pa.int32(), pa.int64(), pa.binary(), pa.binary()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)],
+                    ["bucket", "block", "at", "words"],
+                )
+
+    return run
+
+
+def bucket_of(word: str, buckets: int) -> int:
+    return zlib.crc32(word.encode()) % buckets
+
+
+def _dealt(items: DataFrame, buckets: int) -> DataFrame:
+    """``items`` with the bucket of its column ``item``, as :func:`bucket_of` has it."""
+    return items.withColumn("bucket", (F.crc32(F.col("item").cast("binary")) % buckets).cast("int"))
+
+
+def _words_in(column: pa.ChunkedArray) -> Iterator[list[str]]:
+    for blob in column:
+        yield unpack(blob.as_py()).decode().split(" ")
+
+
+def _unseen(questions: pa.Table, known: pa.Table) -> pa.Table:
+    words = set().union(*_words_in(questions["words"])) - set(known["item"].to_pylist())
+    return pa.table([pa.array(sorted(words), pa.string())], ["item"])
+
+
+ANSWERS = "block bigint, at binary, profile binary, profiles array<string>"
+
+
+def _answers(questions: pa.Table, known: pa.Table) -> pa.Table:
+    """Per block of a bucket: the places of its words, the number of each one's answer, the answers."""
+    answer = dict(zip(known["item"].to_pylist(), known["answer"].to_pylist()))
+    out = []
+    for block, at, words in zip(questions["block"].to_pylist(), questions["at"].to_pylist(), _words_in(questions["words"])):
+        number: dict[str, int] = {}
+        found = [number.setdefault(answer.get(w, ""), len(number)) for w in words]
+        out.append((block, at, pack(_planes(found)), list(number)))
+    kinds = pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string())
+    columns = zip(*out) if out else [[]] * 4
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "at", "profile", "profiles"])
+
+
 def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.ndarray):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        # A row per answer: whether it is of a word or of n-grams, and its gain per language.
+        kinds, gains, places = [(False, False)], [np.zeros(len(languages))], []
+        for at, profile, profiles in zip(*[answers[c].to_pylist() for c in ("at", "profile", "profiles")]):
+            places.append((_from_planes(unpack(at)), _from_planes(unpack(profile)).astype(np.int64) + len(kinds)))
+            for text in profiles:
+                row = np.zeros(len(languages))
+                for part in text[1:].split(",") if len(text) > 1 else ():
+                    place, value = part.split(":")
+                    row[int(place)] = np.log1p(int(value) / SMOOTH) if text[0] == SEEN else float(value)
+                kinds.append((text[:1] == SEEN, text[:1] == UNSEEN))
+                gains.append(row)
+        gain = np.array(gains)
+        as_word, as_grams = np.array(kinds, float).T
         out = []
-        gains = answers["gains"].combine_chunks()
-        values = gains.flatten()
-        at = answers["at"].to_numpy()
-        of_word = np.repeat(at, np.diff(gains.offsets.to_numpy()))
-        place, gain = values.field("place").to_numpy(), values.field("gain").to_numpy()
-        seen = answers["seen"].to_numpy()
         for ids, sizes, words, bag in zip(*[block[c] for c in ("doc_ids", "sizes", "words", "bag")]):
             ids, sizes, width = ids.as_py(), np.array(sizes.as_py()), len(words)
-            places, counts = np.split(_from_planes(unpack(bag.as_py())).astype(np.int64), 2)
+            of_word = np.zeros(width, np.int64)
+            for at, profile in places:
+                of_word[at] = profile
+            place, counts = np.split(_from_planes(unpack(bag.as_py())).astype(np.int64), 2)
             document = np.repeat(np.arange(len(ids)), sizes)
+            of_place = of_word[place]
 
-            def summed(per_word: np.ndarray) -> np.ndarray:
-                return np.bincount(document, per_word[places] * counts, len(ids))
+            def summed(per_answer: np.ndarray) -> np.ndarray:
+                return np.bincount(document, per_answer[of_place] * counts, len(ids))
 
-            as_word, as_grams = np.zeros(width), np.zeros(width)
-            as_word[at[seen]], as_grams[at[~seen]] = 1, 1
             totals = np.outer(summed(as_word), word_base) + np.outer(summed(as_grams), gram_base)
             for k in range(len(languages)):
-                own, per_word = place == k, np.zeros(width)
-                per_word[of_word[own]] = gain[own]
-                totals[:, k] += summed(per_word)
+                totals[:, k] += summed(gain[:, k])
             predicted, scores = ["und"] * len(ids), [0.0] * len(ids)
             for i in np.flatnonzero(sizes) if languages else ():
                 best = int(np.argmax(np.round(totals[i], 6)))
@@ -296,14 +385,21 @@ def predict(docs: DataFrame, model: LanguageTables) -> DataFrame:
     tune(docs.sparkSession)
     bags = own_names(docs, "doc_id", "text").mapInArrow(_bags, BAG)
     bags = materialise(bags.withColumn("block", F.monotonically_increasing_id()), "bags")
-    asked = bags.select("block", F.posexplode("words").alias("at", "item"))
-    missing = asked.select("item").distinct().join(model.words.select("item"), "item", "left_anti")
+    asked = bags.select(F.sum(F.size("words"))).first()[0] or 0
+    buckets = max(1, -(-asked // BUCKET_WORDS))
+    questions = materialise(bags.select("block", "words").mapInArrow(_questions(buckets), QUESTIONS), "questions")
+
+    def met(known: DataFrame, work, kind: str) -> DataFrame:
+        """Questions and known items of each bucket in one task."""
+        return questions.groupBy("bucket").cogroup(_dealt(known, buckets).groupBy("bucket")).applyInArrow(work, kind)
+
+    missing = met(model.words.select("item").distinct(), _unseen, "item string")
     backed_off = _backed_off(materialise(missing, "missing"), model.grams, model.languages)
-    answers = _gains(model.words, model.languages).withColumn("seen", F.lit(True))
+    known = _word_answers(model.words, model.languages)
     for found in backed_off:
-        answers = answers.unionByName(found.withColumn("seen", F.lit(False)))
-    answers = asked.join(answers, "item").select(F.col("block").alias("of"), "at", "seen", "gains")
-    return bags.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(
+        known = known.unionByName(found.select("item", _answer(UNSEEN, "gain").alias("answer")))
+    answers = met(known, _answers, ANSWERS)
+    return bags.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _sum_documents(model.languages, model.word_base, model.gram_base),
         "doc_id bigint, lang_pred string, score double",
     )
