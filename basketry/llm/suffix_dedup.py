@@ -12,10 +12,10 @@ first, and texts are never shuffled:
    documents with the smallest and largest id seen; the answers say which anchors occur in
    more than one document.
 2. A second scan sends the strings of shared anchors, each distinct string of a chunk once.
-   Where they meet, the distinct strings are sorted into a Burrows-Wheeler transform, and
-   intervals of equal prefixes are extended backward, breadth first: level l splits those
-   intervals whose common prefix is l - 1 long, and the search stops at level 50. The intervals
-   that are left hold the equal windows, and their smallest id is compared with each string's.
+   Where they meet, the distinct strings are sorted into a Burrows-Wheeler transform. Intervals
+   of rows are extended backward through it, breadth first from the empty string, which gives
+   the common prefixes of neighbouring rows by increasing value; the search stops at 50. Rows
+   not parted by then hold equal windows, and their smallest id is compared with each string's.
 3. A third scan looks up the answers, marks the covered bytes and cuts them out.
 
 An anchor met in very many chunks (a phrase in all kinds of surroundings) is hot: its windows
@@ -51,8 +51,8 @@ HOT = 1000
 # Bytes of text behind one bucket, of anchors and of strings: about 600,000 anchors, and at most
 # a few MB of distinct strings unless nearly all text repeats.
 BUCKET = 8 << 20
-# Symbols by which a backward extension lengthens a prefix: as many as fit a 64-bit word.
-STEP = 7
+# Symbols by which suffixes are first ranked: as many as fit a 64-bit word.
+WORD = 7
 LAST = np.iinfo(np.int64).max
 LOW20 = np.uint64((1 << 20) - 1)
 
@@ -308,17 +308,17 @@ def _ask_strings(folder: str, buckets: int, string_buckets: int):
     return run
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in the order of their first ``depth`` symbols at least, and its inverse.
 
-    The third array marks the rows whose first ``STEP`` symbols differ from the row before.
+    Doubles the length by which suffixes are ranked, starting from words of ``WORD`` symbols.
     """
     n = len(symbols)
-    word = np.zeros(n, np.uint64)
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(STEP - 1, np.uint64)])
-    for i in range(STEP):
-        word = (word << np.uint64(9)) | padded[i : i + n]
-    key, done = word, STEP
+    key = np.zeros(n, np.uint64)
+    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(WORD - 1, np.uint64)])
+    for i in range(WORD):
+        key = (key << np.uint64(9)) | padded[i : i + n]
+    done = WORD
     while True:
         order = np.argsort(key)
         ordered = key[order]
@@ -335,22 +335,57 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
         done *= 2
     place = np.empty(n, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
-    words = word[order]
-    border = np.ones(n, bool)
-    border[1:] = words[1:] != words[:-1]
-    return order, place, border
+    return order, place
+
+
+def common_prefixes(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, limit: int) -> np.ndarray:
+    """Common prefix of each row of the transform with the row before it, -1 from ``limit`` on.
+
+    ``transform`` holds the symbol before each sorted suffix, and ``back`` the row of the suffix
+    that begins with it. A queue holds the intervals of rows that begin with a string of
+    ``level`` symbols, at first the interval of the empty string. Extending an interval backward
+    by each symbol that its rows have in the transform gives the intervals of strings one symbol
+    longer. Where such an interval ends and no shorter string has ended there, the rows on both
+    sides share exactly ``level`` symbols, and the interval joins the next level's queue; where
+    a shorter one has, its extensions end where those of the shorter one do, and it is let go.
+    So values come in rising order, each row gets its own once, and the queue of level
+    ``limit`` is not looked at. All intervals of a level are extended together.
+
+    Marks (symbol 0) are never extended by: a row whose value would need a string with a mark
+    keeps -1, which parts no two windows without one.
+    """
+    n = len(order)
+    before = order - 1
+    transform, back = symbols[before], place[before]
+    value = np.full(n + 1, -1, np.int16)
+    open_end = np.ones(n + 1, bool)
+    open_end[[0, n]] = False
+    value[0] = 0
+    low, high = np.array([0]), np.array([n])
+    for level in range(limit):
+        sizes = high - low
+        rows = _ranges(low, sizes)
+        of = np.repeat(np.arange(len(low)) << 9, sizes) | transform[rows]
+        kept = np.flatnonzero((of & 511) != 0)
+        if not len(kept):
+            break
+        rows, of = rows[kept], of[kept]
+        dealt = np.argsort(of)
+        begin = np.flatnonzero(np.diff(of[dealt], prepend=-1))
+        target = back[rows[dealt]]
+        low, high = np.minimum.reduceat(target, begin), np.maximum.reduceat(target, begin) + 1
+        fresh = open_end[high]
+        low, high = low[fresh], high[fresh]
+        value[high] = level
+        open_end[high] = False
+    return value[:n]
 
 
 def equal_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of every window of ``length`` bytes: (index of the string, offset, class).
 
-    The strings, each closed by a mark, form one text. ``border[i]`` says that rows i - 1 and i
-    of the sorted suffixes differ within the first l symbols. The search starts with the
-    intervals of equal first words of ``STEP`` symbols. A row's first l symbols are its first
-    word and the first l - STEP of the suffix behind that word, so a level follows from the
-    one before by a backward extension along the transform, and only for rows not yet parted.
-    The last step is shorter, so that the search ends at level ``length``; what is not parted
-    then shares that many symbols.
+    The strings, each closed by a mark, form one text. Windows of a class are neighbours in the
+    order of suffixes, with common prefixes of ``length`` or more between them.
     """
     sizes = np.array([len(s) for s in strings], np.int64)
     begin = np.cumsum(np.concatenate(([0], sizes[:-1] + 1)))
@@ -359,22 +394,8 @@ def equal_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     body = np.ones(n, bool)
     body[begin + sizes] = False
     symbols[body] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    order, place, border = suffix_order(symbols, length)
-    level = STEP
-    if length < STEP:
-        # No whole word: the first level is that of single symbols.
-        border[1:], level = symbols[order][1:] != symbols[order][:-1], 1
-    open_rows = np.flatnonzero(~border).astype(np.int32)
-    while level < length and len(open_rows):
-        step = min(level, STEP, length - level)
-        group = np.cumsum(border, dtype=np.int32)
-        onward = place[(order[open_rows] + step) % n]
-        before = place[(order[open_rows - 1] + step) % n]
-        parted = group[onward] != group[before]
-        border[open_rows[parted]] = True
-        open_rows = open_rows[~parted]
-        level += step
-    group = np.cumsum(border) - 1
+    order, place = suffix_order(symbols, length)
+    group = np.cumsum(common_prefixes(symbols, order, place, length) >= 0) - 1
     string_of = np.repeat(np.arange(len(strings), dtype=np.int32), sizes + 1)
     owner = string_of[order]
     offset = order - begin[owner]
