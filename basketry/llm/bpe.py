@@ -23,15 +23,18 @@ empty text has no ids and decodes to an empty text.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.blocks import block_of_scan, pack, read_block, store_by_block, unpack
 from basketry.llm.common import materialise, own_names, tune
@@ -47,6 +50,7 @@ class WordBpe:
     """Encodes single words with the vocabulary's own library, and names the pieces."""
 
     def __init__(self, vocabulary: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary)
@@ -54,8 +58,9 @@ class WordBpe:
         self.library.no_padding()
 
     def ids(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode() for w in words]
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        # One by one: the library's own threads cost more than they save beside other tasks.
+        encode = self.library.encode
+        return [encode(w.decode(), add_special_tokens=False).ids for w in words]
 
 
 def piece_table(vocabulary: str) -> list[tuple[int, str]]:
@@ -123,8 +128,28 @@ def _block_words(buckets: int):
     return run
 
 
-def _encode_buckets(vocabulary: Broadcast):
-    """Ids of each row's words; each distinct word of a bucket is encoded once."""
+def _pack_numbers(parts: list[bytes], width: int) -> bytes:
+    """Numbers of ``width`` bytes of several words: how many each word has, then the numbers."""
+    counts = np.array([len(p) // width for p in parts], "<u4")
+    return pack(counts.tobytes() + b"".join(parts))
+
+
+def _unpack_numbers(blob: bytes, words: int, width: int) -> list[bytes]:
+    data = unpack(blob)
+    ends = (np.cumsum(np.frombuffer(data, "<u4", words)) * width + 4 * words).tolist()
+    return [data[a:b] for a, b in zip([4 * words, *ends], ends)]
+
+
+def _encode_buckets(vocabulary: Broadcast, kind: str | None = None):
+    """Ids of each row's words; each distinct word of a bucket is encoded once.
+
+    Ids are decimal texts, or numbers of the array ``kind``.
+    """
+    if kind is None:
+        shown, packed = (lambda ids: ",".join(map(str, ids)).encode()), _pack
+    else:
+        width = array(kind).itemsize
+        shown, packed = (lambda ids: array(kind, ids).tobytes()), (lambda parts: _pack_numbers(parts, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, bucket, known = encoder(vocabulary), None, {}
@@ -135,8 +160,8 @@ def _encode_buckets(vocabulary: Broadcast):
                 words = _unpack(blob)
                 new = [w for w in words if w not in known]
                 for word, ids in zip(new, bpe.ids(new)):
-                    known[word] = ",".join(map(str, ids)).encode()
-                row = [[block], [blob], [_pack([known[w] for w in words])]]
+                    known[word] = shown(ids)
+                row = [[block], [blob], [packed([known[w] for w in words])]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(row, (pa.int64(), pa.binary(), pa.binary()))],
                     ["block", "words", "ids"],
@@ -145,17 +170,21 @@ def _encode_buckets(vocabulary: Broadcast):
     return run
 
 
-def word_table(stored: DataFrame, vocabulary: Broadcast) -> str:
-    """Write the words and ids of every block of ``stored``; gives the folder."""
+def word_table(stored: DataFrame, vocabulary: Broadcast, size: int | None = None, kind: str | None = None) -> str:
+    """Write the words and ids of every block of ``stored``; gives the folder.
+
+    ``size`` is the number of bytes of all texts, if it is known already.
+    """
     spark = stored.sparkSession
-    size = stored.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size is None:
+        size = stored.select(F.sum(F.octet_length("text"))).first()[0] or 0
     # Distinct words grow about as the root of the text: 100 TB give 10,000 buckets.
     buckets = max(spark.sparkContext.defaultParallelism, int(size**0.5 / 1000))
     rows = stored.select("text", block_of_scan().alias("block")).mapInArrow(
         _block_words(buckets), "bucket int, block bigint, words binary"
     )
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    encoded = dealt.mapInArrow(_encode_buckets(vocabulary), "block bigint, words binary, ids binary")
+    encoded = dealt.mapInArrow(_encode_buckets(vocabulary, kind), "block bigint, words binary, ids binary")
     return store_by_block(encoded, "words")
 
 
@@ -245,9 +274,9 @@ class _StoredIds(dict):
         except (OSError, ValueError):  # a store that only Spark can read
             table = None
         if table is not None:
-            for words, ids in zip(table["words"].to_pylist(), table["ids"].to_pylist()):
-                for word, own in zip(_unpack(words), _unpack(ids)):
-                    self[word] = array(kind, map(int, own.split(b","))).tobytes() if own else b""
+            for blob, ids in zip(table["words"].to_pylist(), table["ids"].to_pylist()):
+                words = _unpack(blob)
+                self.update(zip(words, _unpack_numbers(ids, len(words), array(kind).itemsize)))
 
     def __missing__(self, word: bytes) -> bytes:
         found = array(self.kind, self.bpe.ids([word])[0]).tobytes()
@@ -256,31 +285,29 @@ class _StoredIds(dict):
         return found
 
 
-def packed_ids(docs: DataFrame, vocabulary: Broadcast, size: int, stored: bool = False) -> DataFrame:
-    """Rows (``doc_id``, ``tie``, ``ids``): ids as one binary of 16 or 32-bit numbers, low byte first.
+def packed_ids(plain: DataFrame, vocabulary: Broadcast, kind: str, size: int) -> DataFrame:
+    """``plain`` with ``ids``, numbers of the array ``kind`` as one binary, in place of ``text``.
 
-    ``size`` is the number of ids of the vocabulary; up to 65,536 take 16 bits. ``tie`` is a
-    hash of the text. Each distinct word is encoded once, by :func:`word_table`.
+    ``plain`` is a plain scan of a stored table. Each distinct word is encoded once, by
+    :func:`word_table`; ``size`` is the number of bytes of all texts.
     """
-    plain = own_names(docs, "doc_id", "text")
-    if not stored:
-        plain = materialise(plain, "texts")
-    folder, kind = word_table(plain, vocabulary), "H" if size <= 1 << 16 else "I"
+    folder = word_table(plain, vocabulary, size, kind)
+    others = [f for f in plain.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, block, table = encoder(vocabulary), None, None
         for batch in batches:
             out = []
-            for text, own in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
+            for text, own in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 if own != block or table is None:
                     block, table = own, _StoredIds(folder, own, bpe, kind)
                 out.append(b"".join([table[w] for w in (text or b"").split()]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "tie", "ids"]
+                [*batch.columns[2:], pa.array(out, pa.binary())], [*batch.schema.names[2:], "ids"]
             )
 
-    rows = plain.select("doc_id", F.xxhash64("text").alias("tie"), "text", block_of_scan().alias("block"))
-    return rows.mapInArrow(run, "doc_id bigint, tie bigint, ids binary")
+    rows = plain.select("text", block_of_scan().alias("_block"), *[f.name for f in others])
+    return rows.mapInArrow(run, T.StructType([*others, T.StructField("ids", T.BinaryType())]))
 
 
 def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:

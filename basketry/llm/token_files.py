@@ -34,16 +34,21 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from basketry.llm.bpe import load_vocabulary, packed_ids, piece_table
-from basketry.llm.common import materialise, own_names, tune, work_dir
+from basketry.llm.common import materialise, own_names, tune, with_fields, work_dir
 
 MAGIC = b"TOKBITS1"
 BLOCK = 1 << 16
 END = 1
-# Bytes of ids behind one file, about.
-FILE_BYTES = 16 << 20
+# Bytes of text behind one file, about.
+FILE_BYTES = 128 << 20
+# Keys looked at per file to place its border.
+SAMPLED = 100
+# Array and numpy names of the numbers that carry ids of up to 16 bits, and of more.
+NUMBER = (("H", "<u2"), ("I", "<u4"))
 MANIFEST = "part int, file string, n_docs bigint, n_ids bigint"
 
 
@@ -144,11 +149,11 @@ def _write(folder: str, width: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        kind, ids, ends, total = "<u2" if width <= 16 else "<u4", [], [], 0
+        kind, ids, ends, total = NUMBER[width > 16][1], [], [], 0
         close = np.array([end], kind).tobytes()
         doc_ids: list = []
         for batch in batches:
-            for own in batch.column(2).to_pylist():
+            for own in batch.column(1).to_pylist():
                 row = np.frombuffer(own + close, kind)
                 ids.append(row)
                 total += len(row)
@@ -172,24 +177,62 @@ def _write(folder: str, width: int, end: int):
     return run
 
 
+def _borders(keys: DataFrame, rows: int, files: int) -> tuple[np.ndarray, np.ndarray]:
+    """First (id, tie) of every file but the first, from a sample of the keys.
+
+    The sample has about ``SAMPLED`` rows per file and not more than a million, by a hash of the
+    keys; only how even the files are depends on it.
+    """
+    wanted = min(SAMPLED * files, 1_000_000)
+    chosen = F.pmod(F.xxhash64("id", "tie"), F.lit(max(1, rows // wanted))) == 0
+    found = sorted((r["id"], r["tie"]) for r in keys.where(chosen).collect())
+    at = [found[len(found) * k // files] for k in range(1, files)] if found else []
+    ids, ties = zip(*sorted(set(at))) if at else ([], [])
+    return np.array(ids, np.int64), np.array(ties, np.int64)
+
+
+def _to_files(borders: tuple[np.ndarray, np.ndarray]):
+    """The file of each row: the number of borders not above its (id, tie)."""
+    ids, ties = borders
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, tie = (batch.column(batch.schema.names.index(c)).to_numpy() for c in ("id", "tie"))
+            low, part = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+            # An id that is a border itself: its rows are told apart by their ties.
+            for i in np.flatnonzero(low < part):
+                part[i] = low[i] + np.searchsorted(ties[low[i] : part[i]], tie[i], "right")
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(part, pa.int32())], [*batch.schema.names, "part"]
+            )
+
+    return run
+
+
 def write_tokens(docs: DataFrame, vocabulary_path: str, folder: str, end: int = END, stored: bool = False) -> DataFrame:
     """Encode texts and write them in ascending ``doc_id`` order; gives the manifest.
 
     Texts are encoded where they are read, each distinct word once; only ids are sorted. The
     manifest is a stored table of one row per file: ``part`` (files in order), ``file``,
     ``n_docs``, ``n_ids`` and the ids of its documents. ``stored`` says that ``docs`` is a plain
-    scan of a stored table; any other frame is written first.
+    scan of a stored table; any other frame is written first. The driver holds one border, of
+    16 bytes, per file.
     """
     spark = tune(docs.sparkSession)
     vocabulary = load_vocabulary(spark, vocabulary_path)
-    ids = max([end, *[i for i, _ in piece_table(vocabulary.value)]]) + 1
-    width = width_for(ids)
-    # Stored, as the borders of the files are sampled from it first.
-    encoded = materialise(packed_ids(docs, vocabulary, ids, stored), "ids")
-    size = encoded.select(F.sum(F.octet_length("ids"))).first()[0] or 0
+    width = width_for(max([end, *[i for i, _ in piece_table(vocabulary.value)]]) + 1)
+    plain = own_names(docs, "doc_id", "text")
+    if not stored:
+        plain = materialise(plain, "texts")
+    # Rows without an id come first.
+    keys = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("tie")]
+    size, rows = plain.select(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = size or 0
     files = max(1, -(-size // FILE_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20))
-    ordered = encoded.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered = ordered.select("doc_id", "tie", "ids")
+    borders = _borders(plain.select(*keys), rows, files)
+    encoded = packed_ids(plain.select("text", "doc_id", *keys), vocabulary, NUMBER[width > 16][0], size)
+    dealt = encoded.mapInArrow(_to_files(borders), with_fields(encoded, [("part", T.IntegerType())]))
+    ordered = dealt.repartitionById(files, "part").sortWithinPartitions("id", "tie").select("doc_id", "ids")
     return materialise(
         ordered.mapInArrow(_write(folder, width, end), MANIFEST + ", doc_ids array<bigint>"), "manifest"
     )
