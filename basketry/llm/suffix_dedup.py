@@ -318,20 +318,31 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     padded = np.concatenate([symbols.astype(np.uint64), np.zeros(WORD - 1, np.uint64)])
     for i in range(WORD):
         key = (key << np.uint64(9)) | padded[i : i + n]
+    order = np.argsort(key).astype(np.int32)
+    head = np.ones(n, bool)
+    ordered = key[order]
+    head[1:] = ordered[1:] != ordered[:-1]
+    # The rank of a suffix is the row at which those that begin alike begin.
+    rank = np.empty(n, np.int32)
+    rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
     done = WORD
-    while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.ones(n, np.int32)
-        new[0] = 0
-        new[1:] = ordered[1:] != ordered[:-1]
-        ranks = np.cumsum(new, dtype=np.int32)
-        if done >= depth or ranks[-1] == n - 1:
+    while done < depth:
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        rows = np.flatnonzero(tied)
+        if not len(rows):
             break
-        rank = np.empty(n, np.int32)
-        rank[order] = ranks
-        key = rank.astype(np.uint64) << np.uint64(32)
-        key[: n - done] |= (rank[done:] + 1).astype(np.uint64)
+        # Only suffixes that begin alike are sorted again, in place.
+        own = order[rows]
+        onward = own + done
+        behind = np.where(onward < n, rank[np.minimum(onward, n - 1)] + 1, 0)
+        key = (rank[own].astype(np.uint64) << np.uint64(32)) | behind.astype(np.uint64)
+        by = np.argsort(key)
+        key, order[rows] = key[by], own[by]
+        new = np.ones(len(rows), bool)
+        new[1:] = key[1:] != key[:-1]
+        head[rows] = new
+        rank[order[rows]] = rows[new][np.cumsum(new) - 1]
         done *= 2
     place = np.empty(n, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
@@ -356,24 +367,35 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, l
     """
     n = len(order)
     before = order - 1
-    transform, back = symbols[before], place[before]
+    transform, back, begins = symbols[before], place[before], symbols[order]
     value = np.full(n + 1, -1, np.int16)
     open_end = np.ones(n + 1, bool)
     open_end[[0, n]] = False
     value[0] = 0
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], np.int32), np.array([n], np.int32)
+    came_from = np.zeros(n, np.int32)
     for level in range(limit):
-        sizes = high - low
-        rows = _ranges(low, sizes)
-        of = np.repeat(np.arange(len(low)) << 9, sizes) | transform[rows]
-        kept = np.flatnonzero((of & 511) != 0)
-        if not len(kept):
+        # The rows that one interval reaches by one symbol lie side by side, so the reached rows
+        # in order, cut where interval or symbol changes, are the extended intervals.
+        if not level:
+            # From the interval of the empty string every row is reached.
+            reached = target = np.flatnonzero(begins).astype(np.int32)
+            came_from[target] = 1
+        else:
+            sizes = high - low
+            rows = _ranges(low, sizes)
+            kept = transform[rows] != 0
+            target = back[rows[kept]]
+            came_from[target] = np.repeat(np.arange(1, len(low) + 1, dtype=np.int32), sizes)[kept]
+            reached = np.flatnonzero(came_from) if 16 * len(target) > n else np.sort(target)
+        if not len(reached):
             break
-        rows, of = rows[kept], of[kept]
-        dealt = np.argsort(of)
-        begin = np.flatnonzero(np.diff(of[dealt], prepend=-1))
-        target = back[rows[dealt]]
-        low, high = np.minimum.reduceat(target, begin), np.maximum.reduceat(target, begin) + 1
+        by, symbol = came_from[reached], begins[reached]
+        cut = np.ones(len(reached) + 1, bool)
+        cut[1:-1] = (by[1:] != by[:-1]) | (symbol[1:] != symbol[:-1])
+        at = np.flatnonzero(cut)
+        low, high = reached[at[:-1]].astype(np.int32), reached[at[1:] - 1].astype(np.int32) + 1
+        came_from[target] = 0
         fresh = open_end[high]
         low, high = low[fresh], high[fresh]
         value[high] = level
@@ -440,7 +462,8 @@ def _answer_strings(batches):
 
 def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``counts[i]`` numbers from ``first[i]`` on, for each i."""
-    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+    shift = (first - (np.cumsum(counts) - counts)).astype(first.dtype)
+    return np.repeat(shift, counts) + np.arange(int(counts.sum()), dtype=first.dtype)
 
 
 CUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>"
