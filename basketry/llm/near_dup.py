@@ -357,8 +357,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     decided = materialise(
         near_duplicates(docs).groupBy(F.col("doc_id").alias(name)).agg(F.count_if("kept").alias("n")), "decided"
     )
-    # Fewer documents go than stay, so the list of those is the smaller side to send.
-    gone = decided.where("n = 0").select(name)
+    # Fewer documents go than stay, so the list of those is the smaller side to send. It is a table
+    # of its own, so that its size is known when the join is planned.
+    gone = materialise(decided.where("n = 0").select(name), "gone")
     stays = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
     if decided.where("n > 1").limit(1).count():
         return stays.dropDuplicates([c for c in docs.columns if c in ("doc_id", "text")])
