@@ -40,6 +40,10 @@ HEADLINE = (
     "product_cutback",
     "kmeans_vip",
     "train_logistic",
+    "gbt_first_tree",
+    "elbow_scan",
+    "permutation_importance",
+    "job_evaluate",
 )
 
 
