@@ -314,10 +314,10 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     Doubles the length by which suffixes are ranked, starting from words of ``WORD`` symbols.
     """
     n = len(symbols)
-    key = np.zeros(n, np.uint64)
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(WORD - 1, np.uint64)])
-    for i in range(WORD):
-        key = (key << np.uint64(9)) | padded[i : i + n]
+    one = np.concatenate([symbols.astype(np.uint64), np.zeros(WORD - 1, np.uint64)])
+    two = (one[:-1] << np.uint64(9)) | one[1:]
+    # Two, two, two and one symbols.
+    key = (((two[:n] << np.uint64(18)) | two[2 : n + 2]) << np.uint64(27)) | (two[4 : n + 4] << np.uint64(9)) | one[6 : n + 6]
     order = np.argsort(key).astype(np.int32)
     head = np.ones(n, bool)
     ordered = key[order]
@@ -352,8 +352,8 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, limit: int) -> np.ndarray:
     """Common prefix of each row of the transform with the row before it, -1 from ``limit`` on.
 
-    ``transform`` holds the symbol before each sorted suffix, and ``back`` the row of the suffix
-    that begins with it. A queue holds the intervals of rows that begin with a string of
+    The transform is the symbol before each sorted suffix; ``back`` has the row of the suffix that
+    begins with it, and ``begins`` the symbol itself at that row. A queue holds the intervals of rows that begin with a string of
     ``level`` symbols, at first the interval of the empty string. Extending an interval backward
     by each symbol that its rows have in the transform gives the intervals of strings one symbol
     longer. Where such an interval ends and no shorter string has ended there, the rows on both
@@ -366,8 +366,9 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, l
     keeps -1, which parts no two windows without one.
     """
     n = len(order)
-    before = order - 1
-    transform, back, begins = symbols[before], place[before], symbols[order]
+    back, begins = place[order - 1], symbols[order]
+    # Marks are the smallest symbol, so the suffixes that begin with one come first.
+    marks = np.int32(np.count_nonzero(begins == 0))
     value = np.full(n + 1, -1, np.int16)
     open_end = np.ones(n + 1, bool)
     open_end[[0, n]] = False
@@ -379,15 +380,14 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, l
         # in order, cut where interval or symbol changes, are the extended intervals.
         if not level:
             # From the interval of the empty string every row is reached.
-            reached = target = np.flatnonzero(begins).astype(np.int32)
+            reached = target = np.arange(marks, n, dtype=np.int32)
             came_from[target] = 1
         else:
             sizes = high - low
-            rows = _ranges(low, sizes)
-            kept = transform[rows] != 0
-            target = back[rows[kept]]
-            came_from[target] = np.repeat(np.arange(1, len(low) + 1, dtype=np.int32), sizes)[kept]
+            target = back[_ranges(low, sizes)]
+            came_from[target] = np.repeat(np.arange(1, len(low) + 1, dtype=np.int32), sizes)
             reached = np.flatnonzero(came_from) if 16 * len(target) > n else np.sort(target)
+            reached = reached[np.searchsorted(reached, marks) :]
         if not len(reached):
             break
         by, symbol = came_from[reached], begins[reached]
