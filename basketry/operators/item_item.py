@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketry.operators.skew import ROWS_PER_SALT, replicate, spread
+from basketry.session import materialise
+
 # Products of one client that one task pairs with the client's other products.
 PRODUCTS_PER_SALT = 256
 
@@ -82,14 +85,35 @@ def item_cosine(counts: DataFrame) -> DataFrame:
     return sim.select(F.explode(both).alias("_p"), "sim").select("_p.*", "sim")
 
 
+def similarities_by_block(counts: DataFrame, sim: DataFrame, blocks: int, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """``sim`` once for every block of clients (column ``_block``) that bought ``product_i``.
+
+    A product goes to as many blocks as it has buyers, and at most to all of them, so the copies
+    grow with the similarities and not with clients x catalogue. A product whose copies could
+    pass ``rows_per_salt`` is salted; its neighbours are at most what its buyers bought beside it.
+    """
+    beside = F.count(F.lit(1)).over(W.partitionBy("client")) - 1
+    wanted = counts.select(F.col("product").alias("product_i"), _block(blocks), beside.alias("_beside"))
+    places = wanted.groupBy("product_i").agg(F.collect_set("_block").alias("_blocks"), F.sum("_beside").alias("_beside"))
+    copies = F.col("_beside") * F.size("_blocks")
+    hot = places.where(copies > rows_per_salt).select(
+        "product_i", F.least(F.ceil(copies / rows_per_salt), F.col("_beside")).cast("int").alias("_salts")
+    )
+    salted = spread(sim, hot, "product_i", ["product_j"])
+    homes = replicate(places.drop("_beside"), hot, "product_i")
+    return salted.join(homes, ["product_i", "_salt"]).select(*sim.columns, F.explode("_blocks").alias("_block"))
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("client"), F.lit(blocks)).cast("int").alias("_block")
+
+
 def _block_scores(counts: DataFrame, sim: DataFrame, blocks: int | None) -> DataFrame:
     spark = counts.sparkSession
     blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    block = F.pmod(F.xxhash64("client"), F.lit(blocks)).cast("int")
-    mine = counts.withColumn("_block", block).repartitionById(blocks, "_block")
-    # Every block meets every similarity. The table grows with the catalogue, not the clients.
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    sims = sim.withColumn("_block", every).repartitionById(blocks, "_block")
+    mine = counts.withColumn("_block", _block(blocks)).repartitionById(blocks, "_block")
+    # Stored, so that nothing but the dealing by block is left to do when the blocks meet.
+    sims = materialise(similarities_by_block(counts, sim, blocks), "similarities").repartitionById(blocks, "_block")
     gains = mine.withColumnRenamed("product", "product_i").join(sims, ["_block", "product_i"])
     scores = gains.groupBy("_block", "client", F.col("product_j").alias("product")).agg(
         F.sum(F.col("sim") * F.col("cnt")).alias("score")
@@ -101,9 +125,9 @@ def _block_scores(counts: DataFrame, sim: DataFrame, blocks: int | None) -> Data
 def score_items(counts: DataFrame, sim: DataFrame, blocks: int | None = None) -> DataFrame:
     """Score of every product a client has not bought: sum of similarity x count.
 
-    Clients are dealt into blocks, one per partition, and each block gets a copy of the
-    similarities, so the rows made for a client are summed, rid of what was bought and
-    ranked in the task that made them. What is shuffled are the counts and ``blocks``
+    Clients are dealt into blocks, one per partition, and each block gets the similarities
+    of what its clients bought, so the rows made for a client are summed, rid of what was
+    bought and ranked in the task that made them. What is shuffled are the counts and these
     copies of the similarities, not client x bought x similar. A block holds whole
     clients, of at most one row per product, so no product or client is a hot key.
     Without :data:`IN_PLACE` set Spark deals the joined rows again, with the same result.

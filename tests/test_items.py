@@ -91,6 +91,27 @@ def test_no_exchange_after_the_blocks_meet(spark, counts):
     assert "hashpartitioning" not in plan and "Window" in plan and "LeftAnti" in plan
 
 
+@pytest.mark.parametrize("per_salt", [3, 1_000_000])
+def test_similarities_go_only_where_their_product_was_bought(spark, counts, per_salt):
+    """Two buyers need two copies however many blocks there are; salts change nothing."""
+    pairs = [(f"k{i}", f"{i}{x}") for i in range(50) for x in "ab"]
+    few = item_item.user_item_counts(spark.createDataFrame(pairs, "client string, product string"))
+    sim = item_item.item_cosine(few)
+    assert item_item.similarities_by_block(few, sim, 500, per_salt).count() == sim.count() == 100
+    sim, block = item_item.item_cosine(counts), F.pmod(F.xxhash64("client"), F.lit(7)).cast("int")
+    homes = counts.select(F.col("product").alias("product_i"), block.alias("_block")).distinct()
+    got = item_item.similarities_by_block(counts, sim, 7, per_salt).select("product_i", "product_j", "sim", "_block")
+    assert rows(got) == rows(sim.join(homes, "product_i"), "product_i", "product_j", "sim", "_block")
+
+
+def test_scoring_deals_as_many_similarities_as_its_clients_need(spark):
+    """Fifty clients of two products each: 100 rows, not 100 for each of 500 blocks."""
+    pairs = [(f"k{i}", f"{i}{x}") for i in range(50) for x in "ab"]
+    few = item_item.user_item_counts(spark.createDataFrame(pairs, "client string, product string"))
+    plan = item_item.score_items(few, item_item.item_cosine(few), 500)._jdf.queryExecution().optimizedPlan()
+    assert "sequence(0, 499" not in plan.toString() and "explode" not in plan.toString()
+
+
 def test_settings_come_back(spark):
     key = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(key, None)
