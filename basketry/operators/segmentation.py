@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basketry.functions.numeric import log_amount, min_max
 from basketry.operators.order_stats import few_group_percentiles, percentiles_by_key
 from basketry.schemas import CONTACT_COLUMNS
+from basketry.session import materialise
 
 VIP_FEATURES = (
     "ticket_promedio",
@@ -51,9 +52,10 @@ def vip_features(lines: DataFrame) -> DataFrame:
     """Six features per client over distinct tickets; missing values are zero.
 
     The number of tickets of one client is not bounded, so the median takes the route
-    that splits hot keys.
+    that splits hot keys. Tickets are stored: the latest day, the sums and the median all
+    read them, and ``lines`` is read once.
     """
-    tickets = distinct_tickets(lines)
+    tickets = materialise(distinct_tickets(lines), "tickets")
     last_day = tickets.agg(F.max("date_sale")).scalar()
     base = tickets.groupBy("user_id").agg(
         F.avg("tiket_price").alias("ticket_promedio"),

@@ -195,3 +195,14 @@ def test_descriptive_tables_read_their_input_once(spark, tmp_path):
     assert "e" not in table
     described = {r["feature"]: r for r in behaviour.describe_features(source, ["a", "e"]).collect()}
     assert described["e"]["count"] == 0 and described["e"]["mean"] is None
+
+
+def test_vip_features_read_their_lines_once(spark, day):
+    """Everything after the distinct tickets reads those, not the lines."""
+    from basketry.session import materialise
+
+    data = [(1, "a", 10.0, day("2024-01-01")), (1, "a", 10.0, day("2024-01-01")), (2, "a", 30.0, day("2024-01-03"))]
+    lines = materialise(spark.createDataFrame(data, "tiket_id long, user_id string, tiket_price double, date_sale date"), "lines")
+    found = segmentation.vip_features(lines)
+    assert not set(found.inputFiles()) & set(lines.inputFiles())
+    assert [tuple(r)[:4] for r in found.collect()] == [("a", 20.0, 20.0, 40.0)]
