@@ -206,3 +206,10 @@ def test_vip_features_read_their_lines_once(spark, day):
     found = segmentation.vip_features(lines)
     assert not set(found.inputFiles()) & set(lines.inputFiles())
     assert [tuple(r)[:4] for r in found.collect()] == [("a", 20.0, 20.0, 40.0)]
+
+
+def test_shuffled_lines_are_dealt_into_small_tasks(spark):
+    """Lines are ten times larger in a task's hash table than in a shuffle."""
+    from basketry import configure
+
+    assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
