@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,7 +113,12 @@ def is_valid_id(
 
 
 # A quoted string as one unit; whatever precedes a bare word consists of such units.
-QUOTED = r"""'(?:\\.|[^'\\])*+'|"(?:\\.|[^"\\])*+\""""
+QUOTED = r"""'(?:\\.|[^'\\]++)*+'|"(?:\\.|[^"\\]++)*+\""""
+
+
+def _replaced_where(present: Callable[[Column], Column], pattern: str, by: str) -> Callable[[Column], Column]:
+    """Replacement that leaves texts alone, at the price of one look, where nothing can match."""
+    return lambda text: F.when(present(text), F.regexp_replace(text, pattern, by)).otherwise(text)
 
 
 def parse_literal_list(col: Column | str, element: T.StructType = DETAIL) -> Column:
@@ -122,9 +129,13 @@ def parse_literal_list(col: Column | str, element: T.StructType = DETAIL) -> Col
     is. Unreadable or missing text gives an empty array.
     """
     text = F.col(col) if isinstance(col, str) else col
+    # One-element arrays, so that each step's text is worked out once.
+    steps = F.array(text)
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        bare = rf"\G((?:{QUOTED}|[^'\"{word[0]}]|{word[0]}(?!{word[1:]}\b))*+){word}"
-        text = F.regexp_replace(text, bare, f"$1{json_word}")
-    text = F.regexp_replace(text, rf"\G((?:{QUOTED}|[^'\",]|,(?!\s*[\]}}]))*+),(?=\s*[\]}}])", "$1")
+        bare = rf"\G((?:{QUOTED}|[^'\"{word[0]}]++|{word[0]}(?!{word[1:]}\b))*+){word}"
+        steps = F.transform(steps, _replaced_where(lambda t, w=word: t.contains(w), bare, f"$1{json_word}"))
+    comma = rf"\G((?:{QUOTED}|[^'\",]++|,(?!\s*[\]}}]))*+),(?=\s*[\]}}])"
+    steps = F.transform(steps, _replaced_where(lambda t: t.rlike(r",\s*[\]}]"), comma, "$1"))
+    text = steps[0]
     kind = T.ArrayType(element)
     return F.coalesce(F.from_json(text, kind), F.array().cast(kind))

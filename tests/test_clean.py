@@ -122,3 +122,14 @@ def test_dedupe_reduces_copies_before_the_exchange(spark, copies):
     assert rows(out) == [("k", 1 - copies)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_texts_without_the_words_are_not_rewritten(spark):
+    """Each rewriting is tried only where a plain look finds something to replace."""
+    texts = ["[{'product': 'x'}]", "[{'product': 'None, ]'}]", "[{'product': None, 'tax': 1.0,},]", "[{'product': 'True', 'tax': None}]"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(parse_literal_list("s").alias("d"))
+    assert [[(x["product"], x["tax"]) for x in r["d"]] for r in df.collect()] == [
+        [("x", None)], [("None, ]", None)], [(None, 1.0)], [("True", None)],
+    ]
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") == plan.count("regexp_replace") == 4
