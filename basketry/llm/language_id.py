@@ -10,14 +10,16 @@ The language of the largest sum wins; the score is its share after a softmax ove
 The model is two written tables that grow with the vocabulary, and no task or driver holds one:
 
 1. Documents are packed into blocks of about ``BLOCK`` characters: the distinct words of a block,
-   and per document the places of its words in them and how often each occurs.
+   and per document the places of its words in them and how often each occurs. Training counts the
+   blocks too, so texts are cut into words once.
 2. Words are dealt by their hash: a block sends its words to the buckets, packed, one row per
    block and bucket, and the word table is dealt the same way. A bucket's task finds the words
    that are missing in the table. Only their n-grams are joined with the n-gram table, 4
    characters first, then 3 for the words still open, and so on.
 3. The buckets meet the table of all answers and send each block one packed row: for each of its
    words the number of an answer, and the few different answers (the counts of the languages that
-   have a word, or its mean gains by n-grams). Blocks sum them per document. Texts are not
+   have a word, or its mean gains by n-grams). These rows are stored by block, and the scan of
+   the blocks looks its own up and sums them per document. Neither texts nor blocks are
    shuffled, buckets grow in number and not in size, and no word is a hot key.
 
 A text without letters, or null, is ``und`` with score 0. Ties go to the first language in
@@ -28,8 +30,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.blocks import pack, unpack
+from basketry.llm.blocks import pack, read_block, store_by_block, unpack
 from basketry.llm.common import materialise, own_names, tune
 from basketry.llm.quality import held_out
 
@@ -45,8 +48,9 @@ LONGEST = 4
 SMOOTH = 0.5
 # Distinct words a task counts before it hands them on.
 HELD = 300_000
-# Characters of text in a block; a longer document is a block of its own.
-BLOCK = 4_000_000
+# Characters of text in a block; a longer document is a block of its own. Blocks share few of
+# their words' rows, so larger ones ask and store less.
+BLOCK = 16_000_000
 # Distinct words, counted per block, that meet in one task.
 BUCKET_WORDS = 400_000
 # First letters of an answer: from the word table, or from n-grams.
@@ -75,16 +79,20 @@ def _flushed(counts: Counter, names: list[str]) -> pa.RecordBatch:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words by language, from blocks: only documents with a language in ``langs`` count."""
     counts: Counter = Counter()
     for batch in batches:
-        by_language: dict[str, Counter] = {}
-        for text, lang in zip(*[c.to_pylist() for c in batch.columns]):
-            by_language.setdefault(lang, Counter()).update(words_of(text))
-        for lang, own in by_language.items():
-            for word, n in own.items():
-                counts[lang, word] += n
-        if len(counts) > HELD:
-            yield _flushed(counts, ["lang", "item", "n"])
+        for sizes, langs, words, bag in zip(*batch.columns):
+            langs, words = langs.as_py(), words.as_py()
+            sizes = np.array(sizes.as_py(), np.int64)
+            place, n = _from_bag(bag.as_py(), sizes)
+            for lang in set(langs) - {None}:
+                mine = np.repeat(np.array([own == lang for own in langs]), sizes)
+                found = np.bincount(place[mine], n[mine], len(words)).astype(np.int64)
+                for i in np.flatnonzero(found):
+                    counts[lang, words[i]] += int(found[i])
+            if len(counts) > HELD:
+                yield _flushed(counts, ["lang", "item", "n"])
     yield _flushed(counts, ["lang", "item", "n"])
 
 
@@ -154,13 +162,27 @@ def _base(totals: dict[str, tuple[int, int]], languages: list[str]) -> np.ndarra
     return np.log([SMOOTH / size if size else 1.0 for size in sizes])
 
 
-def fit(docs: DataFrame) -> LanguageTables:
-    """Count words and n-grams of all documents that are not held out and have a language."""
+def bags_of(docs: DataFrame) -> DataFrame:
+    """Stored blocks of documents as :func:`_bags` packs them, numbered by ``block``.
+
+    ``langs`` has the language of each document that may be learned from, null for the others.
+    """
     tune(docs.sparkSession)
-    plain = own_names(docs, "doc_id", "text", "lang", lang="string")
-    learn = plain.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    learn = "lang" in docs.columns
+    plain = own_names(docs, "doc_id", "text", *(["lang"] if learn else []), lang="string")
+    lang = F.when(~held_out(F.col("doc_id")), F.col("lang")) if learn else F.lit(None).cast("string")
+    bags = plain.select("doc_id", "text", lang.alias("lang")).mapInArrow(_bags, BAG)
+    return materialise(bags.withColumn("block", F.monotonically_increasing_id()), "bags")
+
+
+def fit(docs: DataFrame, bags: DataFrame | None = None) -> LanguageTables:
+    """Count words and n-grams of all documents that are not held out and have a language.
+
+    ``bags`` are the documents' blocks, if :func:`bags_of` has made them already.
+    """
+    bags = bags_of(docs) if bags is None else bags
     kind = "lang string, item string, n bigint"
-    words = materialise(_sums(learn.select("text", "lang").mapInArrow(_count_words, kind)), "words")
+    words = materialise(_sums(bags.select("sizes", "langs", "words", "bag").mapInArrow(_count_words, kind)), "words")
     grams = materialise(_sums(words.mapInArrow(_count_grams, kind)), "grams")
     totals = _totals(words)
     languages = sorted(totals)
@@ -178,7 +200,7 @@ def _gain(place: Column, gain: Column) -> Column:
     return F.struct(place.alias("place"), gain.alias("gain"))
 
 
-def _planes(values: list[int]) -> bytes:
+def _planes(values: Sequence[int]) -> bytes:
     """32-bit numbers, first all lowest bytes, then the next ones; most of those are zero."""
     return np.array(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
@@ -187,34 +209,54 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-BAG = "doc_ids array<bigint>, sizes array<int>, words array<string>, bag binary"
+def _to_bag(at: Sequence[int], counts: Sequence[int], sizes: list[int]) -> bytes:
+    """Places and counts of the words of documents; each document's places in order, as steps."""
+    at, counts = np.array(at, np.int64), np.array(counts, np.int64)
+    order = np.lexsort((at, np.repeat(np.arange(len(sizes)), sizes)))
+    at, counts = at[order], counts[order]
+    steps = np.diff(at, prepend=0)
+    first = np.cumsum([0, *sizes])[:-1][np.array(sizes) > 0]
+    steps[first] = at[first]
+    return pack(_planes(np.concatenate([steps, counts])))
+
+
+def _from_bag(blob: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = np.split(_from_planes(unpack(blob)).astype(np.int64), 2)
+    upto = np.cumsum(steps)
+    before = np.concatenate(([0], upto))[np.cumsum(sizes) - sizes]
+    return upto - np.repeat(before, sizes), counts
+
+
+BAG = "doc_ids array<bigint>, langs array<string>, sizes array<int>, words array<string>, bag binary"
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents: distinct words, and per document their places and counts."""
-    ids, sizes, at, counts = [], [], [], []
+    ids, langs, sizes, at, counts = [], [], [], array("I"), array("I")
     words: dict[str, int] = {}
     held = 0
 
     def packed() -> pa.RecordBatch:
-        row = [[list(ids)], [list(sizes)], [list(words)], [pack(_planes(at + counts))]]
-        for own in (ids, sizes, at, counts, words):
+        row = [[list(ids)], [list(langs)], [list(sizes)], [list(words)], [_to_bag(at, counts, sizes)]]
+        for own in (ids, langs, sizes, words):
             own.clear()
-        kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.binary()
+        del at[:], counts[:]
+        kinds = pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.binary()
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(row, kinds)], ["doc_ids", "sizes", "words", "bag"]
+            [pa.array(c, k) for c, k in zip(row, kinds)], ["doc_ids", "langs", "sizes", "words", "bag"]
         )
 
     for batch in batches:
-        for doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
+        for doc_id, text, lang in zip(*[c.to_pylist() for c in batch.columns]):
             if ids and held + len(text or "") > BLOCK:
                 yield packed()
                 held = 0
             own = Counter(words_of(text))
             ids.append(doc_id)
+            langs.append(lang)
             sizes.append(len(own))
-            at += [words.setdefault(w, len(words)) for w in own]
-            counts += own.values()
+            at.extend([words.setdefault(w, len(words)) for w in own])
+            counts.extend(own.values())
             held += len(text or "") + 100
     if ids:
         yield packed()
@@ -335,11 +377,17 @@ def _answers(questions: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "at", "profile", "profiles"])
 
 
-def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.ndarray):
-    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.ndarray, folder: str):
+    """Sums per document, block by block; each block's answers lie in a folder of their own."""
+
+    def summed_block(block: int, ids: list, sizes: np.ndarray, width: int, bag: bytes) -> pa.RecordBatch:
+        answers = read_block(folder, block, ["at", "profile", "profiles"]) if width else None
+        if width and answers is None:
+            raise FileNotFoundError(f"no answers for block {block} in {folder}")
         # A row per answer: whether it is of a word or of n-grams, and its gain per language.
         kinds, gains, places = [(False, False)], [np.zeros(len(languages))], []
-        for at, profile, profiles in zip(*[answers[c].to_pylist() for c in ("at", "profile", "profiles")]):
+        columns = [answers[c].to_pylist() for c in ("at", "profile", "profiles")] if width else [[], [], []]
+        for at, profile, profiles in zip(*columns):
             places.append((_from_planes(unpack(at)), _from_planes(unpack(profile)).astype(np.int64) + len(kinds)))
             for text in profiles:
                 row = np.zeros(len(languages))
@@ -350,41 +398,44 @@ def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.nd
                 gains.append(row)
         gain = np.array(gains)
         as_word, as_grams = np.array(kinds, float).T
-        out = []
-        for ids, sizes, words, bag in zip(*[block[c] for c in ("doc_ids", "sizes", "words", "bag")]):
-            ids, sizes, width = ids.as_py(), np.array(sizes.as_py()), len(words)
-            of_word = np.zeros(width, np.int64)
-            for at, profile in places:
-                of_word[at] = profile
-            place, counts = np.split(_from_planes(unpack(bag.as_py())).astype(np.int64), 2)
-            document = np.repeat(np.arange(len(ids)), sizes)
-            of_place = of_word[place]
-
-            def summed(per_answer: np.ndarray) -> np.ndarray:
-                return np.bincount(document, per_answer[of_place] * counts, len(ids))
-
-            totals = np.outer(summed(as_word), word_base) + np.outer(summed(as_grams), gram_base)
-            for k in range(len(languages)):
-                totals[:, k] += summed(gain[:, k])
-            predicted, scores = ["und"] * len(ids), [0.0] * len(ids)
-            for i in np.flatnonzero(sizes) if languages else ():
-                best = int(np.argmax(np.round(totals[i], 6)))
-                predicted[i] = languages[best]
-                scores[i] = float(1 / np.exp(np.clip(totals[i] - totals[i, best], -700, 0)).sum())
-            out.append(pa.table(
-                [pa.array(ids, pa.int64()), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            ))
-        return pa.concat_tables(out)
+        of_word = np.zeros(width, np.int64)
+        for at, profile in places:
+            of_word[at] = profile
+        place, counts = _from_bag(bag, sizes)
+        document = np.repeat(np.arange(len(ids)), sizes)
+        of_place = of_word[place]
+
+        def summed(per_answer: np.ndarray) -> np.ndarray:
+            return np.bincount(document, per_answer[of_place] * counts, len(ids))
+
+        totals = np.outer(summed(as_word), word_base) + np.outer(summed(as_grams), gram_base)
+        for k in range(len(languages)):
+            totals[:, k] += summed(gain[:, k])
+        predicted, scores = ["und"] * len(ids), [0.0] * len(ids)
+        for i in np.flatnonzero(sizes) if languages else ():
+            best = int(np.argmax(np.round(totals[i], 6)))
+            predicted[i] = languages[best]
+            scores[i] = float(1 / np.exp(np.clip(totals[i] - totals[i, best], -700, 0)).sum())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+            ["doc_id", "lang_pred", "score"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, ids, sizes, words, bag in zip(*batch.columns):
+                sizes = np.array(sizes.as_py(), np.int64)
+                yield summed_block(block.as_py(), ids.as_py(), sizes, len(words), bag.as_py())
 
     return run
 
 
-def predict(docs: DataFrame, model: LanguageTables) -> DataFrame:
-    """Rows (``doc_id``, ``lang_pred``, ``score``), one per input row; only texts are used."""
-    tune(docs.sparkSession)
-    bags = own_names(docs, "doc_id", "text").mapInArrow(_bags, BAG)
-    bags = materialise(bags.withColumn("block", F.monotonically_increasing_id()), "bags")
+def predict(docs: DataFrame, model: LanguageTables, bags: DataFrame | None = None) -> DataFrame:
+    """Rows (``doc_id``, ``lang_pred``, ``score``), one per input row; only texts are used.
+
+    ``bags`` are the documents' blocks, if :func:`bags_of` has made them already.
+    """
+    bags = bags_of(own_names(docs, "doc_id", "text")) if bags is None else bags
     asked = bags.select(F.sum(F.size("words"))).first()[0] or 0
     buckets = max(1, -(-asked // BUCKET_WORDS))
     questions = materialise(bags.select("block", "words").mapInArrow(_questions(buckets), QUESTIONS), "questions")
@@ -398,14 +449,15 @@ def predict(docs: DataFrame, model: LanguageTables) -> DataFrame:
     known = _word_answers(model.words, model.languages)
     for found in backed_off:
         known = known.unionByName(found.select("item", _answer(UNSEEN, "gain").alias("answer")))
-    answers = met(known, _answers, ANSWERS)
-    return bags.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _sum_documents(model.languages, model.word_base, model.gram_base),
+    folder = store_by_block(met(known, _answers, ANSWERS), "answers")
+    return bags.select("block", "doc_ids", "sizes", "words", "bag").mapInArrow(
+        _sum_documents(model.languages, model.word_base, model.gram_base, folder),
         "doc_id bigint, lang_pred string, score double",
     )
 
 
 def languages(docs: DataFrame) -> DataFrame:
     """Rows (``doc_id``, ``held_out``, ``lang_pred``, ``score``): learn from ``docs``, then predict."""
-    found = predict(docs, fit(docs))
+    bags = bags_of(docs)
+    found = predict(docs, fit(docs, bags), bags)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

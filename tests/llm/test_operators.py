@@ -531,3 +531,16 @@ def test_oracles(spark, name):
 
 def test_oracle_engine_reads_the_folder():
     assert os.path.isdir(FOLDER) and duckdb.connect().execute(f"SELECT count(*) FROM '{FOLDER}/documents.parquet'").fetchone()[0]
+
+
+def test_language_blocks_are_not_shuffled(spark, corpus):
+    """The last step is a scan of the blocks that looks its answers up."""
+    plan = language_id.languages(corpus)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan
+
+
+def test_language_bags_give_back_what_was_packed():
+    sizes = [2, 0, 3, 0]
+    blob = language_id._to_bag([5, 1, 7, 0, 9], [1, 2, 3, 4, 70_000], sizes)
+    at, counts = language_id._from_bag(blob, np.array(sizes))
+    assert at.tolist() == [1, 5, 0, 7, 9] and counts.tolist() == [2, 1, 4, 3, 70_000]
