@@ -26,6 +26,11 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month", F.date_format("date_sale", "yyyy-MM"))
 
 
+def _months(df: DataFrame) -> list[str]:
+    """The months of a table with their column: a few names."""
+    return sorted(r["month"] for r in df.select("month").distinct().collect())
+
+
 def merge_months(
     batch: DataFrame, name: str, target: str, state: str, line_order: Sequence[str] = ()
 ) -> list[str]:
@@ -46,17 +51,21 @@ def merge_months(
     if "finished" in steps:
         return []
     if "staged" not in steps:
-        new = materialise(with_month(batch).where(F.col("month").isNotNull()), "batch")
-        # A few names; as literals they keep the scan of the stored months to those folders.
-        touched = sorted(r["month"] for r in new.select("month").distinct().collect())
-        if touched:
-            stored = or_none(spark.read.schema(STORED).parquet, target)
-            both = new.withColumn("_source", F.lit(1))
-            if stored is not None:
+        new = with_month(batch).where(F.col("month").isNotNull())
+        stored = or_none(spark.read.schema(STORED).parquet, target)
+        if stored is None:
+            # Nothing to merge with: the batch is read once, and its months are those it leaves.
+            dedupe_keep_first(new, SALES_KEY, line_order).select(*SALES_COLUMNS, "month").write.mode("overwrite").parquet(staged)
+            touched = _months(spark.read.schema(STORED).parquet(staged))
+        else:
+            new = materialise(new, "batch")
+            # As literals the months keep the scan of the stored ones to those folders.
+            touched = _months(new)
+            if touched:
                 kept = stored.where(F.col("month").isin(touched)).withColumn("_source", F.lit(0))
-                both = kept.unionByName(both, allowMissingColumns=True)
-            merged = dedupe_keep_first(both, SALES_KEY, ("_source", *line_order))
-            merged.select(*SALES_COLUMNS, "month").write.mode("overwrite").parquet(staged)
+                both = kept.unionByName(new.withColumn("_source", F.lit(1)), allowMissingColumns=True)
+                merged = dedupe_keep_first(both, SALES_KEY, ("_source", *line_order))
+                merged.select(*SALES_COLUMNS, "month").write.mode("overwrite").parquet(staged)
         add_entries(spark, ledger, MERGED, [(name, "staged", touched)])
         steps["staged"] = touched
     if steps["staged"]:

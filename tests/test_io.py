@@ -181,3 +181,14 @@ def test_segment_job_writes_an_empty_table(spark, day):
     jobs.job_segment_recs(spark, none, catalog, f"{base}/a", f"{base}/r")
     out = spark.read.parquet(f"{base}/r")
     assert out.count() == 0 and out.columns == CLUSTER_RECS.names
+
+
+def test_first_batch_is_read_once(spark, day, monkeypatch):
+    """With nothing stored there is nothing to merge, so the batch goes straight to its staging folder."""
+    base = work_dir(spark, "merge")
+    one, two = batches(spark, day)
+    monkeypatch.setattr(months, "materialise", None)
+    assert months.merge_months(two.unionByName(one), "a", f"{base}/out", f"{base}/state", ["line"]) == ["2023-01", "2024-03"]
+    want = rows(incremental_sync(two.unionByName(one).limit(0), two.unionByName(one), 1000, ["line"]))
+    assert rows(spark.read.parquet(f"{base}/out"), *SALES_COLUMNS) == want
+    assert months.merge_months(one.limit(0), "a", f"{base}/none", f"{base}/other", ["line"]) == []

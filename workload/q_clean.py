@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from basketry import work_dir
+from basketry import materialise, work_dir
 from basketry.functions.text import parse_literal_list
 from basketry.operators import clean, metrics, patterns, recommend, segmentation
 from basketry.plans.jobs import job_load, regular_ids
@@ -317,7 +317,7 @@ def _incremental_sync_stream(fx):
 )
 def _job_load(fx):
     base = work_dir(fx.spark, "load")
-    raw = fx.raw_tickets.select(*RAW_TICKETS.names)
+    raw = materialise(fx.raw_tickets.select(*RAW_TICKETS.names), "raw")
     # Two days of loading: all tickets up to the cut, then those that came since.
     old = F.col("date_sale") < F.lit(SYNC_CUT).cast("date")
     for today, part in ((date.fromisoformat(SYNC_CUT), old), (date(2002, 1, 1), F.lit(True))):
