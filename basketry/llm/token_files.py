@@ -43,8 +43,8 @@ from basketry.llm.common import materialise, own_names, tune, with_fields, work_
 MAGIC = b"TOKBITS1"
 BLOCK = 1 << 16
 END = 1
-# Bytes of text behind one file, about.
-FILE_BYTES = 128 << 20
+# Bytes of text behind one file, about. A task sorts and packs a whole file, so this bounds its memory.
+FILE_BYTES = 32 << 20
 # Keys looked at per file to place its border.
 SAMPLED = 100
 # Array and numpy names of the numbers that carry ids of up to 16 bits, and of more.
@@ -90,13 +90,13 @@ def unpack_bits(data: bytes, width: int, count: int, first: int = 0) -> np.ndarr
 
 def write_file(out, ids: np.ndarray, ends: np.ndarray, width: int, block: int = BLOCK) -> None:
     """Write one file; ``ends`` has for each document the ids up to its end."""
-    packed = [pack_bits(ids[i : i + block], width) for i in range(0, len(ids), block)]
-    offsets = np.cumsum([0, *map(len, packed)])[:-1]
+    # All blocks but the last have the same size, so the offsets are known before any is packed.
+    offsets = np.arange(-(-len(ids) // block), dtype=np.int64) * -(-block * width // 8)
     out.write(MAGIC + struct.pack("<IIQQ", width, len(ends), block, len(ids)))
     out.write(ends.astype("<u8").tobytes())
     out.write(offsets.astype("<u8").tobytes())
-    for part in packed:
-        out.write(part)
+    for i in range(0, len(ids), block):
+        out.write(pack_bits(ids[i : i + block], width))
 
 
 class TokenFile:
@@ -149,14 +149,14 @@ def _write(folder: str, width: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        kind, ids, ends, total = NUMBER[width > 16][1], [], [], 0
+        kind, ids, ends, total = NUMBER[width > 16][1], bytearray(), [], 0
         close = np.array([end], kind).tobytes()
         doc_ids: list = []
         for batch in batches:
             for own in batch.column(1).to_pylist():
-                row = np.frombuffer(own + close, kind)
-                ids.append(row)
-                total += len(row)
+                ids += own
+                ids += close
+                total = len(ids) // len(close)
                 ends.append(total)
             doc_ids += batch.column(0).to_pylist()
         if not ends:
@@ -165,7 +165,7 @@ def _write(folder: str, width: int, end: int):
         store.create_dir(path, recursive=True)
         name, draft = f"tokens-{part:06d}.bin", f".{part:06d}-{attempt}-{uuid.uuid4().hex}"
         with store.open_output_stream(f"{path}/{draft}") as out:
-            write_file(out, np.concatenate(ids), np.array(ends, np.int64), width)
+            write_file(out, np.frombuffer(ids, kind), np.array(ends, np.int64), width)
         store.move(f"{path}/{draft}", f"{path}/{name}")
         rows = [[part], [name], [len(ends)], [total]]
         kinds = pa.int32(), pa.string(), pa.int64(), pa.int64()

@@ -533,6 +533,21 @@ def test_oracle_engine_reads_the_folder():
     assert os.path.isdir(FOLDER) and duckdb.connect().execute(f"SELECT count(*) FROM '{FOLDER}/documents.parquet'").fetchone()[0]
 
 
+def test_blocks_of_a_token_file_are_packed_as_they_are_written(monkeypatch):
+    """No block waits for the others in memory, and a file stands for 32 MB of text at most."""
+    events, packing = [], token_files.pack_bits
+
+    class Out:
+        def write(self, data):
+            events.append(len(data))
+
+    monkeypatch.setattr(token_files, "pack_bits", lambda *a: events.append("pack") or packing(*a))
+    token_files.write_file(Out(), np.arange(300, dtype=np.uint32), np.array([300]), 13, block=64)
+    full = -(-64 * 13 // 8)
+    assert events[3:] == ["pack", full] * 4 + ["pack", -(-44 * 13 // 8)]
+    assert token_files.FILE_BYTES <= 32 << 20
+
+
 def test_language_blocks_are_not_shuffled(spark, corpus):
     """The last step is a scan of the blocks that looks its answers up."""
     plan = language_id.languages(corpus)._jdf.queryExecution().executedPlan().toString()
