@@ -26,11 +26,12 @@ import json
 import os
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,9 @@ from basketry.llm.common import materialise, own_names, tune
 
 # Words a task holds before it hands them on, and distinct words looked for in one bucket.
 HELD = 1_000_000
+# Bytes of text whose words are looked up at once, about: so many at least, and for each word of
+# the block's table, which a lookup hashes anew. A longer text is looked up alone.
+PIECE, PER_WORD = 4 << 20, 12
 RESULT = (
     "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 )
@@ -90,7 +94,7 @@ def load_vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 
 def _pack(parts: list[bytes]) -> bytes:
-    return pack(b" ".join(parts), 6)
+    return pack(b" ".join(parts))
 
 
 def _unpack(blob: bytes) -> list[bytes]:
@@ -104,10 +108,10 @@ def _block_words(buckets: int):
         block, held = None, set()
 
         def packed() -> pa.RecordBatch:
-            dealt: dict[int, list[bytes]] = {}
+            dealt: list[list[bytes]] = [[] for _ in range(buckets)]
             for word in held:
-                dealt.setdefault(zlib.crc32(word) % buckets, []).append(word)
-            rows = [(b, block, _pack(sorted(words))) for b, words in dealt.items()]
+                dealt[zlib.crc32(word) % buckets].append(word)
+            rows = [(b, block, _pack(sorted(words))) for b, words in enumerate(dealt) if words]
             columns = list(zip(*rows)) if rows else [[], [], []]
             kinds = pa.int32(), pa.int64(), pa.binary()
             return pa.RecordBatch.from_arrays(
@@ -134,10 +138,12 @@ def _pack_numbers(parts: list[bytes], width: int) -> bytes:
     return pack(counts.tobytes() + b"".join(parts))
 
 
-def _unpack_numbers(blob: bytes, words: int, width: int) -> list[bytes]:
+def _unpack_numbers(blob: bytes, words: int, width: int) -> pa.Array:
+    """The numbers of each word, as a binary array."""
     data = unpack(blob)
-    ends = (np.cumsum(np.frombuffer(data, "<u4", words)) * width + 4 * words).tolist()
-    return [data[a:b] for a, b in zip([4 * words, *ends], ends)]
+    ends = np.cumsum(np.frombuffer(data, "<u4", words), dtype=np.int64) * width
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), words, [None, pa.py_buffer(offsets), pa.py_buffer(data[4 * words :])])
 
 
 def _encode_buckets(vocabulary: Broadcast, kind: str | None = None):
@@ -151,17 +157,24 @@ def _encode_buckets(vocabulary: Broadcast, kind: str | None = None):
         width = array(kind).itemsize
         shown, packed = (lambda ids: array(kind, ids).tobytes()), (lambda parts: _pack_numbers(parts, width))
 
+    class Known(dict):
+        """Ids of the words of a bucket; a new word is encoded."""
+
+        def __init__(self, bpe: WordBpe):
+            super().__init__()
+            self.bpe = bpe
+
+        def __missing__(self, word: bytes) -> bytes:
+            found = self[word] = shown(self.bpe.ids([word])[0])
+            return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, bucket, known = encoder(vocabulary), None, {}
+        bpe, bucket, known = encoder(vocabulary), None, None
         for batch in batches:
             for own, block, blob in zip(*[c.to_pylist() for c in batch.columns]):
-                if own != bucket:
-                    bucket, known = own, {}
-                words = _unpack(blob)
-                new = [w for w in words if w not in known]
-                for word, ids in zip(new, bpe.ids(new)):
-                    known[word] = shown(ids)
-                row = [[block], [blob], [packed([known[w] for w in words])]]
+                if own != bucket or known is None:
+                    bucket, known = own, Known(bpe)
+                row = [[block], [blob], [packed([known[w] for w in _unpack(blob)])]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(row, (pa.int64(), pa.binary(), pa.binary()))],
                     ["block", "words", "ids"],
@@ -263,51 +276,92 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, stored: bool = Fals
     )
 
 
-class _StoredIds(dict):
-    """Ids of the words of one block as packed numbers; a word that is missing is encoded on the spot."""
+class _StoredIds:
+    """Ids of the words of one block as packed numbers, words and ids as two Arrow arrays side by side.
+
+    A word that is missing is encoded on the spot.
+    """
 
     def __init__(self, folder: str, block: int, bpe: WordBpe, kind: str):
-        super().__init__()
         self.bpe, self.kind = bpe, kind
         try:
             table = read_block(folder, block, ["words", "ids"])
         except (OSError, ValueError):  # a store that only Spark can read
             table = None
+        # The split of a text gives an empty word for white space at its ends.
+        words, ids = [pa.array([b""], pa.binary())], [pa.array([b""], pa.binary())]
         if table is not None:
-            for blob, ids in zip(table["words"].to_pylist(), table["ids"].to_pylist()):
-                words = _unpack(blob)
-                self.update(zip(words, _unpack_numbers(ids, len(words), array(kind).itemsize)))
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = array(self.kind, self.bpe.ids([word])[0]).tobytes()
-        if len(self) < 2 * HELD:
-            self[word] = found
-        return found
-
-
-def packed_ids(plain: DataFrame, vocabulary: Broadcast, kind: str, size: int) -> DataFrame:
+            for blob, numbers in zip(table["words"].to_pylist(), table["ids"].to_pylist()):
+                words.append(pa.array(_unpack(blob), pa.binary()))
+                ids.append(_unpack_numbers(numbers, len(words[-1]), array(kind).itemsize))
+        self.words, self.ids = pa.concat_arrays(words), pa.concat_arrays(ids)
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The packed ids of each word."""
+        at = pc.index_in(words, value_set=self.words)
+        if not at.null_count:
+            return self.ids.take(at)
+        new = pc.unique(words.filter(at.is_null()))
+        own = [array(self.kind, ids).tobytes() for ids in self.bpe.ids(new.to_pylist())]
+        known, ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, pa.array(own, pa.binary())])
+        if len(known) < 2 * HELD:
+            self.words, self.ids = known, ids
+        return ids.take(pc.index_in(words, value_set=known))
+
+    def of_texts(self, texts: pa.Array) -> pa.Array:
+        """The packed ids of each text, one word after the other; null is empty."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        found = self.of_words(split.flatten().cast(pa.binary()))
+        # The ids of all words lie one after the other, so those of a text are a range of them.
+        ends = np.cumsum(np.concatenate(([0], pc.list_value_length(split).to_numpy())))
+        word_ends = np.cumsum(np.concatenate(([0], pc.binary_length(found).to_numpy())))
+        at, data = pa.py_buffer(word_ends[ends].astype(np.int32)), found.buffers()[2] or pa.py_buffer(b"")
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, at, data])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], table_of: Callable[[int], _StoredIds]):
+    """Rows (text, block, others) in order, in runs of one block and bounded size, each with its block's table."""
+    held, size, block, table = [], 0, None, None
+    for batch in batches:
+        first, lengths = 0, pc.binary_length(batch.column(0)).fill_null(0).to_pylist()
+        for i, (own, length) in enumerate(zip(batch.column(1).to_pylist(), lengths)):
+            if table is None or own != block or size + length > max(PIECE, PER_WORD * len(table.words)):
+                if i > first:
+                    held.append(batch.slice(first, i - first))
+                if held:
+                    yield table, pa.concat_batches(held)
+                held, size, first = [], 0, i
+                if table is None or own != block:
+                    block, table = own, table_of(own)
+            size += length + 100
+        if batch.num_rows:
+            held.append(batch.slice(first))
+    if held:
+        yield table, pa.concat_batches(held)
+
+
+def packed_ids(
+    plain: DataFrame, vocabulary: Broadcast, kind: str, size: int, after=iter, fields: Sequence[T.StructField] = ()
+) -> DataFrame:
     """``plain`` with ``ids``, numbers of the array ``kind`` as one binary, in place of ``text``.
 
     ``plain`` is a plain scan of a stored table. Each distinct word is encoded once, by
-    :func:`word_table`; ``size`` is the number of bytes of all texts.
+    :func:`word_table`; ``size`` is the number of bytes of all texts. ``after`` goes over the
+    batches in the same task and adds ``fields``.
     """
     folder = word_table(plain, vocabulary, size, kind)
     others = [f for f in plain.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, block, table = encoder(vocabulary), None, None
-        for batch in batches:
-            out = []
-            for text, own in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                if own != block or table is None:
-                    block, table = own, _StoredIds(folder, own, bpe, kind)
-                out.append(b"".join([table[w] for w in (text or b"").split()]))
+        bpe = encoder(vocabulary)
+        for table, rows in _pieces(batches, lambda block: _StoredIds(folder, block, bpe, kind)):
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(out, pa.binary())], [*batch.schema.names[2:], "ids"]
+                [*rows.columns[2:], table.of_texts(rows.column(0))], [*rows.schema.names[2:], "ids"]
             )
 
     rows = plain.select("text", block_of_scan().alias("_block"), *[f.name for f in others])
-    return rows.mapInArrow(run, T.StructType([*others, T.StructField("ids", T.BinaryType())]))
+    kinds = T.StructType([*others, T.StructField("ids", T.BinaryType()), *fields])
+    return rows.mapInArrow(lambda batches: after(run(batches)), kinds)
 
 
 def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:

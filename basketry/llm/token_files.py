@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from basketry.llm.bpe import load_vocabulary, packed_ids, piece_table
-from basketry.llm.common import materialise, own_names, tune, with_fields, work_dir
+from basketry.llm.common import materialise, own_names, tune, work_dir
 
 MAGIC = b"TOKBITS1"
 BLOCK = 1 << 16
@@ -230,8 +230,9 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, folder: str, end: int =
     size = size or 0
     files = max(1, -(-size // FILE_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20))
     borders = _borders(plain.select(*keys), rows, files)
-    encoded = packed_ids(plain.select("text", "doc_id", *keys), vocabulary, NUMBER[width > 16][0], size)
-    dealt = encoded.mapInArrow(_to_files(borders), with_fields(encoded, [("part", T.IntegerType())]))
+    part = T.StructField("part", T.IntegerType())
+    read = plain.select("text", "doc_id", *keys)
+    dealt = packed_ids(read, vocabulary, NUMBER[width > 16][0], size, _to_files(borders), [part])
     ordered = dealt.repartitionById(files, "part").sortWithinPartitions("id", "tie").select("doc_id", "ids")
     return materialise(
         ordered.mapInArrow(_write(folder, width, end), MANIFEST + ", doc_ids array<bigint>"), "manifest"

@@ -230,6 +230,27 @@ def test_bpe_without_stored_blocks(corpus, monkeypatch):
     assert {r.doc_id: r.n_tokens for r in bpe.encode_and_decode(corpus, VOCABULARY, stored=True).collect()} == want
 
 
+def test_packed_ids_look_up_whole_pieces(monkeypatch):
+    """Words are looked up once per run of a block, whose size is bounded, and not one by one."""
+    texts = [None, "", " a  b ", "\tone\x0btwo\x0cé\r\n", "\x1ca\x1d\x85b \x00", "x" * 300, "one two", "b"]
+    blocks = [1, 1, 1, 1, 1, 1, 2, 2]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(blocks), pa.array(range(8))], ["t", "b", "i"])
+    with open(VOCABULARY, encoding="utf-8") as file:
+        words = bpe.WordBpe(file.read())
+    want = [b"".join(np.array(words.ids([w])[0], "<u2").tobytes() for w in (t or "").encode().split()) for t in texts]
+    calls, of_words = [], bpe._StoredIds.of_words
+    monkeypatch.setattr(bpe._StoredIds, "of_words", lambda self, w: calls.append(len(w)) or of_words(self, w))
+    # Rows by lookup: all of a block; a long text alone; each alone.
+    for piece, lookups in ((1 << 20, 2), (800, 3), (1, 8)):
+        monkeypatch.setattr(bpe, "PIECE", piece)
+        monkeypatch.setattr(bpe, "PER_WORD", 0)
+        calls.clear()
+        pieces = bpe._pieces(iter([rows.slice(0, 3), rows.slice(0, 0), rows.slice(3)]), lambda b: bpe._StoredIds("/nowhere", b, words, "H"))
+        found = [(i, ids) for t, r in pieces for i, ids in zip(r.column(2).to_pylist(), t.of_texts(r.column(0)).to_pylist())]
+        assert found == list(enumerate(want))
+        assert len(calls) == lookups
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 31, 32])
 def test_bit_packing(width):
     for n in (0, 1, 63, 64, 65, 1000):
