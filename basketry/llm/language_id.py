@@ -9,8 +9,8 @@ The language of the largest sum wins; the score is its share after a softmax ove
 
 The model is two written tables that grow with the vocabulary, and no task or driver holds one:
 
-1. Documents are packed into blocks of about ``BLOCK`` characters: the distinct words of a block,
-   and per document the places of its words in them and how often each occurs. Training counts the
+1. Documents are packed into blocks of about ``BLOCK`` characters: the distinct words of a block
+   as one packed text, in order of appearance, and per document the places of its words in them and how often each occurs. Training counts the
    blocks too, so texts are cut into words once.
 2. Words are dealt by their hash: a block sends its words to the buckets, packed, one row per
    block and bucket, and the word table is dealt the same way. A bucket's task finds the words
@@ -32,7 +32,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,7 +83,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
         for sizes, langs, words, bag in zip(*batch.columns):
-            langs, words = langs.as_py(), words.as_py()
+            langs, words = langs.as_py(), _unpack_words(words.as_py())
             sizes = np.array(sizes.as_py(), np.int64)
             place, n = _from_bag(bag.as_py(), sizes)
             for lang in set(langs) - {None}:
@@ -227,7 +227,16 @@ def _from_bag(blob: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return upto - np.repeat(before, sizes), counts
 
 
-BAG = "doc_ids array<bigint>, langs array<string>, sizes array<int>, words array<string>, bag binary"
+def _pack_words(words: Iterable[str]) -> bytes:
+    return pack(" ".join(words).encode(), 6)
+
+
+def _unpack_words(blob: bytes) -> list[str]:
+    text = unpack(blob).decode()
+    return text.split(" ") if text else []
+
+
+BAG = "doc_ids array<bigint>, langs array<string>, sizes array<int>, width int, words binary, bag binary"
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,13 +246,14 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def packed() -> pa.RecordBatch:
-        row = [[list(ids)], [list(langs)], [list(sizes)], [list(words)], [_to_bag(at, counts, sizes)]]
+        row = [[list(ids)], [list(langs)], [list(sizes)], [len(words)], [_pack_words(words)], [_to_bag(at, counts, sizes)]]
         for own in (ids, langs, sizes, words):
             own.clear()
         del at[:], counts[:]
-        kinds = pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.binary()
+        lists = pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32())
+        kinds = *lists, pa.int32(), pa.binary(), pa.binary()
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(row, kinds)], ["doc_ids", "langs", "sizes", "words", "bag"]
+            [pa.array(c, k) for c, k in zip(row, kinds)], ["doc_ids", "langs", "sizes", "width", "words", "bag"]
         )
 
     for batch in batches:
@@ -315,6 +325,15 @@ def _word_answers(words: DataFrame, languages: list[str]) -> DataFrame:
     return own.select("item", _answer(SEEN, "n").alias("answer"))
 
 
+def _pack_places(at: list[int]) -> bytes:
+    """Ascending places as steps."""
+    return pack(_planes(np.diff(at, prepend=0)))
+
+
+def _unpack_places(blob: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(unpack(blob)), dtype=np.int64)
+
+
 QUESTIONS = "bucket int, block bigint, at binary, words binary"
 
 
@@ -323,16 +342,15 @@ def _questions(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                dealt: dict[int, list[tuple[str, int]]] = {}
-                for i, word in enumerate(words.as_py()):
-                    dealt.setdefault(bucket_of(word, buckets), []).append((word, i))
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = _unpack_words(blob.as_py())
+                dealt: dict[int, list[int]] = {}
+                for i, word in enumerate(words):
+                    dealt.setdefault(bucket_of(word, buckets), []).append(i)
                 rows = []
-                for bucket, own in dealt.items():
-                    # In order, as neighbours that begin alike pack well.
-                    own.sort()
-                    texts, at = zip(*own)
-                    rows.append((bucket, block, pack(_planes(list(at))), pack(" ".join(texts).encode(), 6)))
+                for bucket, at in dealt.items():
+                    # In order of their places, whose steps are small and pack well.
+                    rows.append((bucket, block, _pack_places(at), _pack_words([words[i] for i in at])))
                 kinds = pa.int32(), pa.int64(), pa.binary(), pa.binary()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)],
@@ -353,7 +371,7 @@ def _dealt(items: DataFrame, buckets: int) -> DataFrame:
 
 def _words_in(column: pa.ChunkedArray) -> Iterator[list[str]]:
     for blob in column:
-        yield unpack(blob.as_py()).decode().split(" ")
+        yield _unpack_words(blob.as_py())
 
 
 def _unseen(questions: pa.Table, known: pa.Table) -> pa.Table:
@@ -388,7 +406,7 @@ def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.nd
         kinds, gains, places = [(False, False)], [np.zeros(len(languages))], []
         columns = [answers[c].to_pylist() for c in ("at", "profile", "profiles")] if width else [[], [], []]
         for at, profile, profiles in zip(*columns):
-            places.append((_from_planes(unpack(at)), _from_planes(unpack(profile)).astype(np.int64) + len(kinds)))
+            places.append((_unpack_places(at), _from_planes(unpack(profile)).astype(np.int64) + len(kinds)))
             for text in profiles:
                 row = np.zeros(len(languages))
                 for part in text[1:].split(",") if len(text) > 1 else ():
@@ -423,9 +441,9 @@ def _sum_documents(languages: list[str], word_base: np.ndarray, gram_base: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, sizes, words, bag in zip(*batch.columns):
+            for block, ids, sizes, width, bag in zip(*batch.columns):
                 sizes = np.array(sizes.as_py(), np.int64)
-                yield summed_block(block.as_py(), ids.as_py(), sizes, len(words), bag.as_py())
+                yield summed_block(block.as_py(), ids.as_py(), sizes, width.as_py(), bag.as_py())
 
     return run
 
@@ -436,7 +454,7 @@ def predict(docs: DataFrame, model: LanguageTables, bags: DataFrame | None = Non
     ``bags`` are the documents' blocks, if :func:`bags_of` has made them already.
     """
     bags = bags_of(own_names(docs, "doc_id", "text")) if bags is None else bags
-    asked = bags.select(F.sum(F.size("words"))).first()[0] or 0
+    asked = bags.select(F.sum("width")).first()[0] or 0
     buckets = max(1, -(-asked // BUCKET_WORDS))
     questions = materialise(bags.select("block", "words").mapInArrow(_questions(buckets), QUESTIONS), "questions")
 
@@ -450,7 +468,7 @@ def predict(docs: DataFrame, model: LanguageTables, bags: DataFrame | None = Non
     for found in backed_off:
         known = known.unionByName(found.select("item", _answer(UNSEEN, "gain").alias("answer")))
     folder = store_by_block(met(known, _answers, ANSWERS), "answers")
-    return bags.select("block", "doc_ids", "sizes", "words", "bag").mapInArrow(
+    return bags.select("block", "doc_ids", "sizes", "width", "bag").mapInArrow(
         _sum_documents(model.languages, model.word_base, model.gram_base, folder),
         "doc_id bigint, lang_pred string, score double",
     )

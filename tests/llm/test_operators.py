@@ -575,6 +575,27 @@ def test_language_blocks_are_not_shuffled(spark, corpus):
     assert "MapInArrow" in plan and "Exchange" not in plan
 
 
+def test_language_words_and_places_are_packed():
+    """A block's words are one packed text, and a bucket's places small steps."""
+    rng = np.random.default_rng(5)
+    words = list(dict.fromkeys("".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 9, 30_000)))
+    docs = pa.table({"doc_id": [1, 2, 3], "text": [" ".join(words[:9]), None, " ".join(words)], "lang": ["en", None, None]})
+    (block,) = language_id._bags(iter(docs.to_batches()))
+    assert block.schema.names == ["doc_ids", "langs", "sizes", "width", "words", "bag"]
+    assert block.column(3).to_pylist() == [len(words)]
+    assert language_id._unpack_words(block.column(4)[0].as_py()) == words
+    assert sum(c.nbytes for c in (block.column(4), block.column(5))) < 0.8 * sum(map(len, words)) + len(words)
+    asked = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), block.column(4)], ["block", "words"])
+    (found,) = language_id._questions(4)(iter([asked]))
+    # A place as a number of its own, in the order of the words, takes two bytes and more.
+    assert sum(len(at.as_py()) for at in found.column(2)) < len(words)
+    got = {}
+    for at, own in zip(found.column(2), found.column(3)):
+        got |= zip(language_id._unpack_places(at.as_py()).tolist(), language_id._unpack_words(own.as_py()))
+    assert [got[i] for i in range(len(words))] == words
+    assert language_id._unpack_words(language_id._pack_words([])) == []
+
+
 def test_language_bags_give_back_what_was_packed():
     sizes = [2, 0, 3, 0]
     blob = language_id._to_bag([5, 1, 7, 0, 9], [1, 2, 3, 4, 70_000], sizes)
