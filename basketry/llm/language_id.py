@@ -97,15 +97,24 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    # A table per language: its keys are plain strings, which hash faster than pairs.
+    counts: dict[str, dict[str, int]] = {}
+
+    def flushed() -> pa.RecordBatch:
+        pairs = Counter({(lang, gram): n for lang, own in counts.items() for gram, n in own.items()})
+        counts.clear()
+        return _flushed(pairs, ["lang", "item", "n"])
+
     for batch in batches:
         for lang, word, n in zip(*[c.to_pylist() for c in batch.columns]):
+            own = counts.setdefault(lang, {})
+            get = own.get
             for size in range(1, LONGEST + 1):
                 for gram in grams_of(word, size):
-                    counts[lang, gram] += n
-        if len(counts) > HELD:
-            yield _flushed(counts, ["lang", "item", "n"])
-    yield _flushed(counts, ["lang", "item", "n"])
+                    own[gram] = get(gram, 0) + n
+        if sum(map(len, counts.values())) > HELD:
+            yield flushed()
+    yield flushed()
 
 
 @dataclass(frozen=True)
