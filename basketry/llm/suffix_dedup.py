@@ -12,14 +12,16 @@ first, and texts are never shuffled:
    documents with the smallest and largest id seen; the answers say which anchors occur in
    more than one document.
 2. A second scan sends the strings of shared anchors, each distinct string of a chunk once.
-   Where they meet, the distinct strings are sorted into a Burrows-Wheeler transform. Intervals
+   Where they meet, they are taken part by part, a part being some anchors with all their
+   strings, so that a task's memory does not depend on the share of text that repeats. The
+   distinct strings of a part are sorted into a Burrows-Wheeler transform. Intervals
    of rows are extended backward through it, breadth first from the empty string, which gives
    the common prefixes of neighbouring rows by increasing value; the search stops at 50. Rows
    not parted by then hold equal windows, and their smallest id is compared with each string's.
 3. A third scan looks up the answers, marks the covered bytes and cuts them out.
 
-An anchor met in very many chunks (a phrase in all kinds of surroundings) is hot: its windows
-are dealt one by one, each by its own 50 bytes, so that no task gets all strings of an anchor.
+An anchor of very many runs (a phrase in all kinds of surroundings) is hot: its windows are
+dealt one by one, each by its own 50 bytes, so that no task gets all strings of an anchor.
 
 A null or empty text has no bytes. A null ``doc_id`` counts as larger than all others; rows of
 equal ids never remove bytes from each other, and repeated rows get equal results.
@@ -46,11 +48,15 @@ ANCHOR = 24
 # Bytes of text handled together; positions within a piece take 20 bits.
 PIECE = 1 << 16
 CHUNK = 2 << 20
-# Chunks that may hold an anchor before its windows go one by one.
-HOT = 1000
-# Bytes of text behind one bucket, of anchors and of strings: about 600,000 anchors, and at most
-# a few MB of distinct strings unless nearly all text repeats.
+# Runs that may have an anchor before its windows go one by one: strings of 3 MB at most.
+HOT = 40_000
+# Bytes of text behind one bucket, of anchors and of strings: about 600,000 anchors, and strings
+# of four times the text at most, if all of it repeats.
 BUCKET = 8 << 20
+# The strings of a bucket lie in so many parts, and parts of so many bytes are sorted together;
+# sorting takes about 90 times the bytes.
+PARTS = 64
+TOGETHER = 1 << 19
 # Symbols by which suffixes are first ranked: as many as fit a 64-bit word.
 WORD = 7
 LAST = np.iinfo(np.int64).max
@@ -105,10 +111,11 @@ def _piece_runs(data, a, b, starts, ends, first, length, anchor):
 
 @dataclass
 class Strings:
-    """Distinct strings of a chunk, each with its bucket and smallest id, and all their places."""
+    """Distinct strings of a chunk, each with its bucket, part and smallest id, and all their places."""
 
     texts: list[bytes]
     bucket: np.ndarray
+    part: np.ndarray
     least: np.ndarray
     start: np.ndarray
     windows: np.ndarray
@@ -116,8 +123,8 @@ class Strings:
     which: np.ndarray
 
     def by_bucket(self) -> Iterator[tuple[int, np.ndarray]]:
-        """Each bucket with the indices of its strings."""
-        order = np.argsort(self.bucket, kind="stable")
+        """Each bucket with the indices of its strings, part by part."""
+        order = np.lexsort((self.part, self.bucket))
         values, begin = np.unique(self.bucket[order], return_index=True)
         for value, members in zip(values.tolist(), np.split(order, begin[1:])):
             yield value, members
@@ -134,15 +141,15 @@ class Chunk:
         self.doc, self.start, self.windows, self.hash = window_runs(self.data, self.offsets)
 
     def anchors(self, buckets: int):
-        """Distinct anchors by bucket: (bucket, residues, runs' places among them, runs)."""
-        bucket = (self.hash % np.uint64(buckets)).astype(np.int64)
-        residue = (self.hash >> np.uint64(32)).astype(np.uint32)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in np.flatnonzero(np.diff(edges)):
-            runs = order[edges[b] : edges[b + 1]]
-            values, place = np.unique(residue[runs], return_inverse=True)
-            yield int(b), values, place, runs
+        """Distinct anchors by bucket and residue, as one number, their runs in that order and
+        where each anchor's begin; and first and last anchor of each bucket that has some."""
+        key = ((self.hash % np.uint64(buckets)) << np.uint64(32)) | (self.hash >> np.uint64(32))
+        order = np.argsort(key)
+        key = key[order]
+        begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+        key = key[begin]
+        edges = np.searchsorted(key >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64)).tolist()
+        return key, order, begin, [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
 
     def strings(self, flags: np.ndarray, buckets: int) -> Strings:
         """The strings of shared anchors; those of hot anchors one window each."""
@@ -162,11 +169,13 @@ class Chunk:
         least = np.full(len(index), LAST)
         np.minimum.at(least, which, orders)
         texts = list(index)
-        bucket = np.zeros(len(index), np.int64)
+        bucket, part = np.zeros(len(index), np.int64), np.zeros(len(index), np.uint8)
         bucket[which] = (self.hash[each] % np.uint64(buckets)).astype(np.int64)
+        part[which] = ((self.hash[each] >> np.uint64(24)) % np.uint64(PARTS)).astype(np.uint8)
         for k in np.unique(which[hot]).tolist():
-            bucket[k] = zlib.crc32(texts[k]) % buckets
-        return Strings(texts, bucket, least, start, windows, orders, which)
+            code = zlib.crc32(texts[k])
+            bucket[k], part[k] = code % buckets, (code >> 24) % PARTS
+        return Strings(texts, bucket, part, least, start, windows, orders, which)
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -191,23 +200,28 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         yield Chunk(block, seq, texts, orders, ids)
 
 
-ASKED = "bucket int, block bigint, seq int, residues binary, least binary, most binary"
+ASKED = "bucket int, block bigint, seq int, anchors binary"
 ANSWER = "block bigint, bucket int, seq int, answer binary"
 
 
 def _ask_anchors(buckets: int):
     def run(batches):
         for chunk in chunks(batches):
+            key, order, begin, edges = chunk.anchors(buckets)
+            if not edges:
+                continue
+            ids = chunk.orders[chunk.doc[order]]
+            low = np.minimum.reduceat(ids, begin)
+            # Most anchors have one run; the rest of what is sent is nearly all zeros then.
+            above = np.maximum.reduceat(ids, begin) - low
+            runs = np.diff(begin, append=len(ids)).astype("<u4")
+            residue = key.astype(np.uint32)
             rows = []
-            for bucket, values, place, runs in chunk.anchors(buckets):
-                order = chunk.orders[chunk.doc[runs]]
-                low, high = np.full(len(values), LAST), np.full(len(values), -LAST - 1)
-                np.minimum.at(low, place, order)
-                np.maximum.at(high, place, order)
-                gaps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
-                rows.append((bucket, chunk.block, chunk.seq, pack(gaps.tobytes()), pack(low.tobytes()), pack(high.tobytes())))
-            if rows:
-                yield _batch(rows, ("i4", "i8", "i4", "b", "b", "b"), ["bucket", "block", "seq", "residues", "least", "most"])
+            for bucket, a, b in edges:
+                gaps = np.diff(residue[a:b], prepend=np.uint32(0)).astype("<u4")
+                body = b"".join(x.tobytes() for x in (gaps, runs[a:b], low[a:b], above[a:b]))
+                rows.append((bucket, chunk.block, chunk.seq, pack(body)))
+            yield _batch(rows, ("i4", "i8", "i4", "b"), ["bucket", "block", "seq", "anchors"])
 
     return run
 
@@ -239,9 +253,15 @@ def _answer_anchors(hot: int):
 
     def run(batches):
         for bucket, rows in _by_bucket(batches):
-            values = [np.cumsum(np.frombuffer(unpack(r[2]), "<u4"), dtype=np.uint32) for r in rows]
-            low = np.concatenate([np.frombuffer(unpack(r[3]), np.int64) for r in rows])
-            high = np.concatenate([np.frombuffer(unpack(r[4]), np.int64) for r in rows])
+            values, runs, low, high = [], [], [], []
+            for _, _, body in rows:
+                body = unpack(body)
+                n = len(body) // 24
+                values.append(np.cumsum(np.frombuffer(body, "<u4", n), dtype=np.uint32))
+                runs.append(np.frombuffer(body, "<u4", n, 4 * n))
+                low.append(np.frombuffer(body, np.int64, n, 8 * n))
+                high.append(low[-1] + np.frombuffer(body, np.int64, n, 16 * n))
+            runs, low, high = (np.concatenate(x) for x in (runs, low, high))
             every = np.concatenate(values)
             order = np.argsort(every, kind="stable")
             new = np.ones(len(every), bool)
@@ -249,8 +269,9 @@ def _answer_anchors(hot: int):
             begin = np.flatnonzero(new)
             shared = np.minimum.reduceat(low[order], begin) < np.maximum.reduceat(high[order], begin)
             counts = np.diff(np.append(begin, len(every)))
+            many = np.add.reduceat(runs[order], begin, dtype=np.int64) > hot
             answer = np.empty(len(every), np.uint8)
-            answer[order] = np.repeat(shared.astype(np.uint8) + (shared & (counts > hot)), counts)
+            answer[order] = np.repeat(shared.astype(np.uint8) + (shared & many), counts)
             at = np.cumsum([0, *map(len, values)])
             replies = [
                 (r[0], bucket, r[1], pack(answer[a:b].tobytes())) for r, a, b in zip(rows, at[:-1], at[1:])
@@ -278,17 +299,19 @@ class Answers:
 
 def _flags(chunk: Chunk, answers: Answers, buckets: int) -> np.ndarray:
     """Answer about the anchor of each run."""
-    flags = np.zeros(len(chunk.hash), np.uint8)
-    got = answers.of(chunk)
-    for bucket, values, place, runs in chunk.anchors(buckets):
-        own = np.frombuffer(got.get(bucket, b""), np.uint8)
-        if len(own) != len(values):
+    key, order, begin, edges = chunk.anchors(buckets)
+    got, own = answers.of(chunk), np.zeros(len(key), np.uint8)
+    for bucket, a, b in edges:
+        answer = np.frombuffer(got.get(bucket, b""), np.uint8)
+        if len(answer) != b - a:
             raise RuntimeError("the blocks of the scan have changed; run the job again")
-        flags[runs] = own[place]
+        own[a:b] = answer
+    flags = np.empty(len(order), np.uint8)
+    flags[order] = np.repeat(own, np.diff(begin, append=len(order)))
     return flags
 
 
-STRINGS = "bucket int, block bigint, seq int, strings binary, sizes binary, least binary"
+STRINGS = "bucket int, block bigint, seq int, strings binary"
 
 
 def _ask_strings(folder: str, buckets: int, string_buckets: int):
@@ -300,10 +323,11 @@ def _ask_strings(folder: str, buckets: int, string_buckets: int):
             for bucket, members in found.by_bucket() if found.texts else ():
                 own = [found.texts[k] for k in members.tolist()]
                 sizes = np.fromiter(map(len, own), "<u2", len(own))
-                least = found.least[members]
-                rows.append((bucket, chunk.block, chunk.seq, pack(b"".join(own)), pack(sizes.tobytes()), pack(least.tobytes())))
+                head = found.least[members].tobytes() + sizes.tobytes() + found.part[members].tobytes()
+                body = b"".join([len(own).to_bytes(8, "little"), head, *own])
+                rows.append((bucket, chunk.block, chunk.seq, pack(body)))
             if rows:
-                yield _batch(rows, ("i4", "i8", "i4", "b", "b", "b"), ["bucket", "block", "seq", "strings", "sizes", "least"])
+                yield _batch(rows, ("i4", "i8", "i4", "b"), ["bucket", "block", "seq", "strings"])
 
     return run
 
@@ -428,38 +452,64 @@ def equal_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
 def _answer_strings(batches):
     """Per string of each chunk one bit for each window: it also starts at a smaller id."""
     for bucket, rows in _by_bucket(batches):
-        index: dict[bytes, int] = {}
-        least: list[int] = []
-        entries = []
-        for block, seq, strings, sizes, low in rows:
-            strings, at, own = unpack(strings), 0, []
-            for size, order in zip(np.frombuffer(unpack(sizes), "<u2").tolist(), np.frombuffer(unpack(low), np.int64).tolist()):
-                string = strings[at : at + size]
-                at += size
-                k = index.setdefault(string, len(least))
-                if k == len(least):
-                    least.append(order)
-                elif order < least[k]:
-                    least[k] = order
-                own.append((k, order))
-            entries.append((block, seq, own))
-        distinct = list(index)
-        owner, offset, group = equal_windows(distinct)
-        low = np.array(least, np.int64)
-        # Rows of a class are neighbours, so its smallest id is a reduction over a range.
-        begin = np.flatnonzero(np.diff(group, prepend=-1))
-        smallest = np.repeat(np.minimum.reduceat(low[owner], begin), np.diff(np.append(begin, len(group))))
-        counts = np.array([len(s) - LENGTH + 1 for s in distinct], np.int64)
+        texts, sizes, parts, low = [], [], [], []
+        for _, _, body in rows:
+            body = unpack(body)
+            n = int.from_bytes(body[:8], "little")
+            low.append(np.frombuffer(body, np.int64, n, 8))
+            sizes.append(np.frombuffer(body, "<u2", n, 8 + 8 * n))
+            parts.append(np.frombuffer(body, np.uint8, n, 8 + 10 * n))
+            texts.append(body[8 + 11 * n :])
+        ends = np.cumsum([0, *map(len, sizes)])
+        data, sizes, parts, low = b"".join(texts), np.concatenate(sizes).astype(np.int64), np.concatenate(parts), np.concatenate(low)
+        texts = None
+        counts = sizes - (LENGTH - 1)
         base = np.concatenate(([0], np.cumsum(counts)))
-        by_window = np.empty(base[-1], np.int64)
-        by_window[base[owner] + offset] = smallest
-        replies = []
-        for block, seq, own in entries:
-            bits = [by_window[base[k] : base[k + 1]] < order for k, order in own]
-            replies.append((block, bucket, seq, pack(np.packbits(np.concatenate(bits)).tobytes())))
+        first = np.cumsum(sizes) - sizes
+        bits = np.zeros(base[-1], bool)
+        for members in _parts(parts, sizes):
+            at = first[members]
+            own = [data[a:b] for a, b in zip(at.tolist(), (at + sizes[members]).tolist())]
+            bits[_ranges(base[members], counts[members])] = _repeats(own, low[members])
+        replies = [
+            (block, bucket, seq, pack(np.packbits(bits[base[a] : base[b]]).tobytes()))
+            for (block, seq, _), a, b in zip(rows, ends[:-1], ends[1:])
+        ]
         yield _batch(replies, ("i8", "i4", "i4", "b"), ["block", "bucket", "seq", "answer"])
 
 
+def _parts(parts: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Strings that are sorted together: whole parts, of ``TOGETHER`` bytes or one part only."""
+    order = np.argsort(parts, kind="stable")
+    edges = np.searchsorted(parts[order], np.arange(PARTS + 1))
+    total = np.concatenate(([0], np.cumsum(sizes[order])))[edges]
+    a = 0
+    while a < PARTS:
+        b = max(a + 1, int(np.searchsorted(total, total[a] + TOGETHER, "right")) - 1)
+        if edges[b] > edges[a]:
+            yield order[edges[a] : edges[b]]
+        a = b
+
+
+def _repeats(texts: list[bytes], orders: np.ndarray) -> np.ndarray:
+    """For every window of the strings: it also starts at an id smaller than its string's."""
+    index: dict[bytes, int] = {}
+    which = np.fromiter((index.setdefault(x, len(index)) for x in texts), np.int64, len(texts))
+    distinct = list(index)
+    low = np.full(len(distinct), LAST)
+    np.minimum.at(low, which, orders)
+    owner, offset, group = equal_windows(distinct)
+    # Rows of a class are neighbours, so its smallest id is a reduction over a range.
+    begin = np.flatnonzero(np.diff(group, prepend=-1))
+    smallest = np.repeat(np.minimum.reduceat(low[owner], begin), np.diff(np.append(begin, len(group))))
+    counts = np.fromiter(map(len, distinct), np.int64, len(distinct)) - (LENGTH - 1)
+    base = np.cumsum(counts) - counts
+    by_window = np.empty(int(counts.sum()), np.int64)
+    by_window[base[owner] + offset] = smallest
+    counts = counts[which]
+    return by_window[_ranges(base[which], counts)] < np.repeat(orders, counts)
+
+
 def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``counts[i]`` numbers from ``first[i]`` on, for each i."""
     shift = (first - (np.cumsum(counts) - counts)).astype(first.dtype)
